@@ -8,6 +8,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: what counts as a link target.
 HREF_PATTERN = r"href=[\"']([^\"']+)"
@@ -18,7 +19,7 @@ def hrefs(page: Column | str) -> Column:
     return F.regexp_extract_all(page, F.lit(HREF_PATTERN), 1)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def resolve_link(base: pd.Series, link: pd.Series) -> pd.Series:
     """Absolute address of a raw link: entities decoded, then resolved against the page address.
 

@@ -125,24 +125,24 @@ def duplicate_excess(df: DataFrame, by: str | None = None) -> DataFrame:
     map side first, so a row copied very often does not fill one task.
     """
     columns, keys = df.columns, [by] if by else []
-    rows = F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows")
-    excess = F.coalesce(F.sum("extra"), F.lit(0)).cast("long").alias("exact_duplicate_excess")
-    n = F.count(F.lit(1)).alias("n")
+    rows = F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows")
+    excess = F.coalesce(F.sum("_extra"), F.lit(0)).cast("long").alias("exact_duplicate_excess")
+    n = F.count(F.lit(1)).alias("_n")
     if len(columns) <= NARROW:
-        counted = df.groupBy(*columns).agg(n).withColumn("extra", F.col("n") - 1)
+        counted = df.groupBy(*columns).agg(n).withColumn("_extra", F.col("_n") - 1)
         return counted.groupBy(*keys).agg(rows, excess)
     # xxhash64 skips nulls; their positions go in as text of their own.
     positions = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
     hashed = df.withColumn("_hash", F.xxhash64(positions, *columns))
     counts = hashed.groupBy(*keys, "_hash").agg(n)
-    suspects = counts.where("n > 1").select("_hash").distinct()
+    suspects = counts.where("_n > 1").select("_hash").distinct()
     extra = (
         hashed.join(suspects, "_hash", "left_semi")
-        .groupBy(*columns).agg((F.count(F.lit(1)) - 1).alias("extra"))
-        .select(*keys, "extra")
+        .groupBy(*columns).agg((F.count(F.lit(1)) - 1).alias("_extra"))
+        .select(*keys, "_extra")
     )
     return (
-        counts.select(*keys, "n").unionByName(extra, allowMissingColumns=True)
+        counts.select(*keys, "_n").unionByName(extra, allowMissingColumns=True)
         .groupBy(*keys).agg(rows, excess)
     )
 

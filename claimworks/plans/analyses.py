@@ -33,6 +33,7 @@ class Breakdown:
     sums: dict[str, str]
     order: tuple[str, ...]
     rows: str | None = None
+    rows_last: bool = False
     negatives: str | None = None
     label: tuple[str, str, str] | None = None
     columns: frozenset[str] = field(init=False)
@@ -46,6 +47,8 @@ class Breakdown:
     def run(self, claims: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         counts = {self.negatives: F.col("FLT_REM_MNT") < 0} if self.negatives else None
         result = totals(claims, self.by, self.sums, self.rows, counts)
+        if self.rows_last:
+            result = result.select(*[c for c in result.columns if c != self.rows], self.rows)
         if self.label:
             variable, code, name = self.label
             result = with_labels(result, labels, variable, code, name)
@@ -56,7 +59,8 @@ _BY_AMOUNT = ("mois_traitement", "-remboursement_part_legale_eur")
 
 ANALYSES: dict[str, Breakdown] = {
     "01_monthly": Breakdown(
-        {}, REIMBURSED | SPENT | EXCESS | QUANTITY, ("mois_traitement",), ROWS, NEGATIVE_ROWS,
+        {}, REIMBURSED | SPENT | EXCESS | QUANTITY, ("mois_traitement",), ROWS,
+        negatives=NEGATIVE_ROWS,
     ),
     "02_regions": Breakdown(
         {"code_region_residence": "BEN_RES_REG"}, REIMBURSED | SPENT,
@@ -67,7 +71,7 @@ ANALYSES: dict[str, Breakdown] = {
     ),
     "04_age": Breakdown(
         {"code_tranche_age": "AGE_BEN_SNDS"}, REIMBURSED,
-        ("mois_traitement", "code_tranche_age"), ROWS,
+        ("mois_traitement", "code_tranche_age"), ROWS, rows_last=True,
     ),
     "05_care_period": Breakdown(
         {"annee_soins": "SOI_ANN", "mois_soins": "SOI_MOI"}, REIMBURSED,

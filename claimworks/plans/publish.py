@@ -81,8 +81,8 @@ def stage(
     path: str,
     spec: TableSpec = CLAIMS,
     month_in_path: str = MONTH_IN_PATH,
-) -> None:
-    """Read archives, clean them and write a candidate table with one partition per month.
+) -> DataFrame:
+    """Read archives, clean them, write a candidate table partitioned by month and return it.
 
     ``archives`` lists ``(header, paths, lots)``. A gzip archive is one task. Its rows are dealt out
     right after the read, in as many lots as the archive is large, so parsing amounts and writing
@@ -104,6 +104,7 @@ def stage(
         frames.append(clean_with_defects(dealt, spec))
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     united.write.mode("overwrite").options(**ZSTD).partitionBy(PARTITION).parquet(path)
+    return spark.read.schema(united.schema).parquet(path)
 
 
 def publish_months(
@@ -220,11 +221,8 @@ def _publish_group(
     """Stage, profile, gate and publish months of one layout; returns the blocked ones."""
     staging = f"{root}/data/staging"
     started = time.monotonic()
-    stage(spark, archives, f"{staging}/candidate", spec, month_in_path)
+    candidate = stage(spark, archives, f"{staging}/candidate", spec, month_in_path)
     seconds = round(time.monotonic() - started, 3)
-    candidate = spark.read.parquet(f"{staging}/candidate").withColumn(
-        PARTITION, F.col(PARTITION).cast("string")
-    )
     data = [c for c in candidate.columns if c not in (PARTITION, DEFECTS)]
 
     profiles = profile(candidate, PARTITION, by=PARTITION, spec=spec, columns=data)

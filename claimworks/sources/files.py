@@ -83,7 +83,7 @@ def _open(path: str):
     # Hadoop and Arrow spell the same object store differently.
     uri = path.replace("s3a://", "s3://", 1) if path.startswith("s3a://") else path
     filesystem, name = fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_stream(name)
+    return filesystem.open_input_stream(name, compression=None)
 
 
 def _header_cells(line: bytes, delimiter: str) -> list[str]:
