@@ -19,20 +19,9 @@ def amount_text(column: Column | str) -> Column:
     return F.replace(strip_to_null(column), F.lit(","), F.lit("."))
 
 
-def is_amount_text(text: Column) -> Column:
-    """Whether prepared text is an exact amount; null for null."""
-    return text.rlike(AMOUNT_PATTERN)
-
-
-def strict_amount(column: str) -> Column:
-    """Text to exact decimal; null stays null, anything unreadable stops the job."""
-    text = amount_text(column)
-    problem = F.concat(F.lit(f"unreadable amount in {column}: "), F.col(column))
-    return (
-        F.when(text.isNull() | is_amount_text(text), text)
-        .otherwise(F.raise_error(problem))
-        .cast(AMOUNT_TYPE)
-    )
+def text_amount(text: Column) -> Column:
+    """Prepared text to exact decimal; null for null and for anything that is no exact amount."""
+    return F.when(text.rlike(AMOUNT_PATTERN), text).cast(AMOUNT_TYPE)
 
 
 def total(column: Column | str) -> Column:

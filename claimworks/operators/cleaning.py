@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimworks.functions import amount_text, is_amount_text, strict_amount, strip_to_null
-from claimworks.schema import AMOUNT_TYPE, CLAIMS, RESERVED_BLANK_NAME, TableSpec, check_required
+from claimworks.functions import amount_text, strip_to_null, text_amount
+from claimworks.schema import CLAIMS, RESERVED_BLANK_NAME, TableSpec, check_required
 from claimworks.sources.archives import MALFORMED
 
 DEFECTS = "_defects"
@@ -18,20 +20,14 @@ def clean(df: DataFrame, spec: TableSpec = CLAIMS) -> DataFrame:
     The unnamed trailing column must be null in every row. That check rides on a column that stays,
     so it costs no pass of its own and column pruning cannot skip it unless the month is not read.
     """
-    check_required(df.columns, spec)
-    blank = RESERVED_BLANK_NAME in df.columns
-    columns = []
-    for name in df.columns:
-        if name == RESERVED_BLANK_NAME:
-            continue
-        value = strict_amount(name) if name in spec.numeric else strip_to_null(name)
-        if blank and name == spec.month:
-            value = F.when(
-                F.col(RESERVED_BLANK_NAME).isNotNull(),
-                F.raise_error(F.lit("the unnamed column is not empty: the layout has changed")),
-            ).otherwise(value)
-        columns.append(value.alias(name))
-    return df.select(*columns)
+    typed, columns, defects = _typed(df, spec)
+    for name, test in defects.items():
+        bearer = name if name in columns else spec.month
+        what = F.lit(f"the column {name} holds something it must not: ")
+        text = F.col(name) if name in df.columns else F.lit("")
+        stop = F.raise_error(F.concat(what, text))
+        columns[bearer] = F.when(test, stop).otherwise(columns[bearer])
+    return typed.select(*[column.alias(name) for name, column in columns.items()])
 
 
 def clean_with_defects(df: DataFrame, spec: TableSpec = CLAIMS) -> DataFrame:
@@ -41,35 +37,37 @@ def clean_with_defects(df: DataFrame, spec: TableSpec = CLAIMS) -> DataFrame:
     entry is the column whose text is no exact amount, the reserved name when the unnamed column
     holds something, or ``_malformed`` for a row with the wrong number of cells.
     """
+    typed, columns, defects = _typed(df, spec)
+    some = reduce(lambda a, b: a | b, defects.values())
+    names = F.array_compact(F.array(*[F.when(test, F.lit(c)) for c, test in defects.items()]))
+    return typed.select(
+        *[column.alias(name) for name, column in columns.items()],
+        F.when(some, names).alias(DEFECTS),
+    )
+
+
+def _typed(
+    df: DataFrame, spec: TableSpec
+) -> tuple[DataFrame, dict[str, Column], dict[str, Column]]:
+    """The table with prepared columns, its output columns and the tests for defects.
+
+    Each amount is prepared, tested and cast once: the steps are projections of their own, which
+    Spark does not merge because later steps use the earlier ones more than once.
+    """
     check_required(df.columns, spec)
     numeric = [c for c in df.columns if c in spec.numeric]
-    prepared = df.select(
-        "*",
-        *[amount_text(c).alias(f"_text_{c}") for c in numeric],
-    )
+    prepared = df.select("*", *[amount_text(c).alias(f"_text_{c}") for c in numeric])
     typed = prepared.select(
-        "*",
-        *[
-            F.when(is_amount_text(F.col(f"_text_{c}")), F.col(f"_text_{c}"))
-            .cast(AMOUNT_TYPE).alias(f"_amount_{c}")
-            for c in numeric
-        ],
+        "*", *[text_amount(F.col(f"_text_{c}")).alias(f"_amount_{c}") for c in numeric]
     )
-    wrong = {
+    columns = {
+        c: F.col(f"_amount_{c}") if c in numeric else strip_to_null(c)
+        for c in df.columns if c not in (RESERVED_BLANK_NAME, MALFORMED)
+    }
+    defects = {
         c: F.col(f"_text_{c}").isNotNull() & F.col(f"_amount_{c}").isNull() for c in numeric
     }
     for c in (RESERVED_BLANK_NAME, MALFORMED):
         if c in df.columns:
-            wrong[c] = F.col(c).isNotNull()
-    some = F.lit(False)
-    for test in wrong.values():
-        some = some | test
-    names = F.array_compact(F.array(*[F.when(test, F.lit(c)) for c, test in wrong.items()]))
-    kept = [c for c in df.columns if c not in (RESERVED_BLANK_NAME, MALFORMED)]
-    return typed.select(
-        *[
-            (F.col(f"_amount_{c}") if c in numeric else strip_to_null(c)).alias(c)
-            for c in kept
-        ],
-        F.when(some, names).alias(DEFECTS),
-    )
+            defects[c] = F.col(c).isNotNull()
+    return typed, columns, defects

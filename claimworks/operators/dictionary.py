@@ -21,7 +21,7 @@ def forward_fill(
     last value of each block, one row per block, is filled in turn and carried into the next
     blocks. So no task holds a whole sheet, even if one sheet holds most rows.
     """
-    block = F.floor(F.col(row_no) / block_rows).alias("_block")
+    block = F.col(row_no) - F.pmod(F.col(row_no), F.lit(block_rows))
     rows = df.withColumn("_value", value).withColumn("_block", block)
     inside = (
         Window.partitionBy(sheet, "_block").orderBy(row_no)

@@ -113,37 +113,39 @@ def long_metrics(profiles: DataFrame, by: list[str], prefix: str, name: str) ->
     return renamed.unpivot(by, [c[len(prefix):] for c in family], name, "value")
 
 
-# Rows this narrow are no dearer to shuffle than their hashes.
-NARROW = 8
+# Rows this narrow are no dearer to shuffle than their digests.
+NARROW = 4
+
+
+def row_digest(columns: Sequence[str]) -> Column:
+    """SHA-256 of a row; equal digests mean equal rows, nulls included.
+
+    Each value is written with its length, and null as a sign no length starts with, so different
+    rows cannot give the same text.
+    """
+    parts = []
+    for c in columns:
+        text = F.col(c).cast("string")
+        parts += [F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-"))]
+    return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
 def duplicate_excess(df: DataFrame, by: str | None = None) -> DataFrame:
     """``(by, rows, exact_duplicate_excess)`` of whole groups, nulls equal; nothing is removed.
 
-    Wide rows go in two exact steps: hashes that occur more than once, then a full comparison of
-    the rows with such a hash. Only hashes and suspect rows are shuffled. Both steps count on the
-    map side first, so a row copied very often does not fill one task.
+    One scan. Wide rows travel as their digests, so the exchange carries 32 bytes a row instead of
+    all columns. Copies are counted on the map side first, so a row copied very often does not fill
+    one task.
     """
-    columns, keys = df.columns, [by] if by else []
-    rows = F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows")
-    excess = F.coalesce(F.sum("_extra"), F.lit(0)).cast("long").alias("exact_duplicate_excess")
-    n = F.count(F.lit(1)).alias("_n")
-    if len(columns) <= NARROW:
-        counted = df.groupBy(*columns).agg(n).withColumn("_extra", F.col("_n") - 1)
-        return counted.groupBy(*keys).agg(rows, excess)
-    # xxhash64 skips nulls; their positions go in as text of their own.
-    positions = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
-    hashed = df.withColumn("_hash", F.xxhash64(positions, *columns))
-    counts = hashed.groupBy(*keys, "_hash").agg(n)
-    suspects = counts.where("_n > 1").select("_hash").distinct()
-    extra = (
-        hashed.join(suspects, "_hash", "left_semi")
-        .groupBy(*columns).agg((F.count(F.lit(1)) - 1).alias("_extra"))
-        .select(*keys, "_extra")
-    )
-    return (
-        counts.select(*keys, "_n").unionByName(extra, allowMissingColumns=True)
-        .groupBy(*keys).agg(rows, excess)
+    keys = [by] if by else []
+    if len(df.columns) <= NARROW:
+        groups = df.groupBy(*df.columns)
+    else:
+        groups = df.select(*keys, row_digest(df.columns).alias("_digest")).groupBy(*keys, "_digest")
+    counted = groups.agg(F.count(F.lit(1)).alias("_n"))
+    return counted.groupBy(*keys).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("exact_duplicate_excess"),
     )
 
 

@@ -204,7 +204,7 @@ SELECT DISTINCT * FROM {claims("BEN_RES_REG", "AGE_BEN_SNDS", "TOP_PS5_TRG")}"""
 
 # --- Cleaning ------------------------------------------------------------------------------------
 ORACLE["clean_decimals"] = f"""
-SELECT l_orderkey, l_linenumber, PRS_REM_TYP, FLT_REM_MNT, FLT_PAI_MNT, PRS_ACT_NBR
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, PRS_REM_TYP, FLT_REM_MNT, FLT_PAI_MNT, PRS_ACT_NBR
 FROM {claims("PRS_REM_TYP", "FLT_REM_MNT", "FLT_PAI_MNT", "PRS_ACT_NBR",
              keep="l_orderkey, l_linenumber")}"""
 ORACLE["clean_defects"] = f"""

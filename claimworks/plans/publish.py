@@ -13,6 +13,7 @@ from claimworks.operators.cleaning import DEFECTS, clean_with_defects
 from claimworks.operators.fixity import ACCEPTED, check_archives, fingerprints
 from claimworks.operators.quality import POLICY, duplicate_excess, gate, profile
 from claimworks.schema import CLAIMS, StructureError, TableSpec, check_required
+from claimworks.session import small_methods
 from claimworks.sources.archives import MONTH_IN_PATH, header_problem, read_delimited
 from claimworks.sources.curated import PARTITION, curated_path
 from claimworks.sources.files import file_facts
@@ -164,9 +165,11 @@ def publish_months(
         if problem:
             blocked |= {m: [problem] for m in group}
             continue
-        blocked |= _publish_group(
-            spark, root, archives, group, accepted, sources, spec, month_in_path, audit_duplicates
-        )
+        with small_methods(spark):
+            blocked |= _publish_group(
+                spark, root, archives, group, accepted, sources, spec, month_in_path,
+                audit_duplicates,
+            )
     if blocked:
         raise PublishBlocked(blocked)
     return read_manifests(spark, root).where(F.col(PARTITION).isin(months))

@@ -8,11 +8,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.functions import fr_number, month_key, strict_amount, total, valid_month
+from claimworks.functions import fr_number, month_key, total, valid_month
 from claimworks.functions.links import host, resolve_link
-from claimworks.functions.text import strip_to_null
 from claimworks.operators import aggregates, catalogue, dictionary, quality, reconcile, report_tables
-from claimworks.operators.cleaning import DEFECTS, clean_with_defects
+from claimworks.operators.cleaning import DEFECTS, clean, clean_with_defects
 from claimworks.operators.fixity import check_archives
 from claimworks.plans import formats
 from claimworks.plans.analyses import ANALYSES, exact_json, run_sql_dir, write_results
@@ -181,21 +180,24 @@ def _typed_text(spark, folder) -> DataFrame:
     )
 
 
+TYPED = TableSpec(
+    month="PRS_REM_TYP", codes=("PRS_REM_TYP",), money=("FLT_REM_MNT", "FLT_PAI_MNT"),
+    volumes=("PRS_ACT_NBR",), rates=(), never_null=(),
+)
+
+
 @query
 def clean_decimals(spark, folder):
-    return _typed_text(spark, folder).select(
-        "l_orderkey", "l_linenumber", strip_to_null("PRS_REM_TYP").alias("PRS_REM_TYP"),
-        *[strict_amount(c).alias(c) for c in ("FLT_REM_MNT", "FLT_PAI_MNT", "PRS_ACT_NBR")],
+    text = _typed_text(spark, folder)
+    keys = {c: F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber")}
+    return clean(text.withColumns(keys), TYPED).withColumns(
+        {c: F.col(c).cast("long") for c in keys}
     )
 
 
 @query
 def clean_defects(spark, folder):
     """Which unreadable amounts a lenient clean names, and how often."""
-    spec = TableSpec(
-        month="PRS_REM_TYP", codes=("PRS_REM_TYP",), money=("FLT_REM_MNT", "FLT_PAI_MNT"),
-        volumes=("PRS_ACT_NBR",), rates=(), never_null=(),
-    )
     key = F.col("l_orderkey")
     damaged = _typed_text(spark, folder).withColumns({
         "FLT_REM_MNT": F.when(key % 11 == 0, "1e3").when(key % 11 == 1, "0.1234567")
@@ -204,7 +206,7 @@ def clean_defects(spark, folder):
         .otherwise(F.col("FLT_PAI_MNT")),
     })
     return (
-        clean_with_defects(damaged, spec)
+        clean_with_defects(damaged.drop("l_linenumber"), TYPED)
         .groupBy(F.array_join(DEFECTS, ",").alias("defects"))
         .agg(F.count(F.lit(1)).alias("rows"), total("FLT_REM_MNT").alias("readable"))
     )

@@ -5,10 +5,29 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 
+# Wide projections and aggregates compile to methods longer than HotSpot will optimise, and then run
+# interpreted. From this size on Spark splits them instead. It is a session setting; clusters that
+# run the wide jobs (cleaning, profiles, publication) should have it too.
+METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+@contextmanager
+def small_methods(spark: SparkSession):
+    """Run actions with the method limit, then restore the session as it was."""
+    key, value = METHOD_LIMIT
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
     """A local session for tests and benches; clusters bring their own session and settings."""
     builder = (
@@ -17,6 +36,7 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        .config(*METHOD_LIMIT)
         .config("spark.driver.memory", "16g")
     )
     for key, value in conf.items():
