@@ -15,7 +15,7 @@ from claimworks.operators.quality import POLICY, duplicate_excess, gate, profile
 from claimworks.schema import CLAIMS, StructureError, TableSpec, check_required
 from claimworks.session import small_methods
 from claimworks.sources.archives import MONTH_IN_PATH, header_problem, read_delimited
-from claimworks.sources.curated import PARTITION, curated_path
+from claimworks.sources.curated import PARTITION, curated_path, record_schema
 from claimworks.sources.files import file_facts
 from claimworks.sources.metadata import (
     manifests_path, quality_path, read_manifests, read_sidecars,
@@ -270,6 +270,7 @@ def _publish_group(
             )
         )
         _write_monthly(manifests, manifests_path(root))
+        record_schema(spark, root, spec.numeric)
     return blocked
 
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimworks.sources.labels import read_labels
+from claimworks.sources.metadata import read_manifests
 
 PARTITION = "month"
 
@@ -14,6 +19,33 @@ def curated_path(root: str) -> str:
     return f"{root.rstrip('/')}/data/curated"
 
 
+def schema_path(root: str) -> str:
+    return f"{root.rstrip('/')}/data/curated_schema"
+
+
+def record_schema(spark: SparkSession, root: str, numeric: Sequence[str]) -> None:
+    """Write down the columns of all published months, in order of first position.
+
+    Readers then unite months by name from this one document. Merging footers would open every
+    published file for every query.
+    """
+    columns = (
+        read_manifests(spark, root)
+        .select(F.posexplode("source_columns").alias("at", "name"))
+        .groupBy("name").agg(F.min("at").alias("at"))
+        .orderBy("at", "name").collect()
+    )
+    schema = T.StructType([
+        T.StructField(
+            c["name"], T.DecimalType(24, 6) if c["name"] in numeric else T.StringType()
+        )
+        for c in columns
+    ])
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode(
+        "overwrite"
+    ).text(schema_path(root))
+
+
 def read_curated(
     spark: SparkSession, root: str, months: list[str] | None = None, keep_month: bool = False
 ) -> DataFrame:
@@ -22,12 +54,13 @@ def read_curated(
     The partition column is hidden unless asked for: the table has its own month column.
     """
     try:
-        table = spark.read.option("mergeSchema", "true").parquet(curated_path(root))
+        document = spark.read.text(schema_path(root)).first()
     except Exception as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+        if "PATH_NOT_FOUND" in str(error):
             raise ValueError(f"no published month under {root}") from error
         raise
-    table = table.withColumn(PARTITION, F.col(PARTITION).cast("string"))
+    schema = T.StructType.fromJson(json.loads(document["value"])).add(PARTITION, T.StringType())
+    table = spark.read.schema(schema).parquet(curated_path(root))
     if months is not None:
         table = table.where(F.col(PARTITION).isin(list(months)))
     return table if keep_month else table.drop(PARTITION)
