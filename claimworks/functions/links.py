@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import html
+import sys
 from urllib.parse import urljoin
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The function below travels to the executors whole, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: what counts as a link target.
 HREF_PATTERN = r"href=[\"']([^\"']+)"
 

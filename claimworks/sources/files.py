@@ -6,13 +6,18 @@ import csv
 import gzip
 import hashlib
 import io
+import sys
 import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The functions below travel to the executors whole, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FACTS_SCHEMA = (
     "path string, bytes long, sha256 string, magic string, text_bytes long, "
     "header array<string>, problem string"
