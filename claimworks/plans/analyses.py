@@ -125,13 +125,16 @@ def write_results(results: dict[str, DataFrame], folder: str) -> None:
     """Each result as CSV in result order, and all of them as JSON rows by query.
 
     Results are sorted aggregates. Spark writes them as ordered parts and merges small ones, so a
-    short result is a single file and a long one never goes through a single task.
+    short result is a single file and a long one never goes through a single task. A result is kept
+    between its two writes, so the table is read once for both.
     """
     for name, result in results.items():
+        result.persist()
         result.write.mode("overwrite").options(header="true", nullValue="", emptyValue="").csv(
             f"{folder}/{name}"
         )
         exact_json(result).write.mode("overwrite").text(f"{folder}/results/query={name}")
+        result.unpersist()
 
 
 def exact_json(df: DataFrame) -> DataFrame:
