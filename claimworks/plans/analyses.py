@@ -24,6 +24,9 @@ NEGATIVE_ROWS = "lignes_remboursement_negatif"
 SERVICE_LABEL = "libelle_prestation"
 # ---------------------------------------------------------------------------------------------
 
+# Results up to this length are written as one file.
+ONE_FILE_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class Breakdown:
@@ -124,17 +127,17 @@ def analyse(
 def write_results(results: dict[str, DataFrame], folder: str) -> None:
     """Each result as CSV in result order, and all of them as JSON rows by query.
 
-    Results are sorted aggregates. Spark writes them as ordered parts and merges small ones, so a
-    short result is a single file and a long one never goes through a single task. A result is kept
-    between its two writes, so the table is read once for both.
+    A result is kept between its writes, so the table is read once for both. Short results become
+    a single file; longer ones stay in ordered parts and never go through a single task.
     """
     for name, result in results.items():
-        result.persist()
-        result.write.mode("overwrite").options(header="true", nullValue="", emptyValue="").csv(
+        kept = result.persist()
+        rows = kept.coalesce(1) if kept.count() <= ONE_FILE_ROWS else kept
+        rows.write.mode("overwrite").options(header="true", nullValue="", emptyValue="").csv(
             f"{folder}/{name}"
         )
-        exact_json(result).write.mode("overwrite").text(f"{folder}/results/query={name}")
-        result.unpersist()
+        exact_json(rows).write.mode("overwrite").text(f"{folder}/results/query={name}")
+        kept.unpersist()
 
 
 def exact_json(df: DataFrame) -> DataFrame:

@@ -97,3 +97,8 @@ def write_summary(summary: DataFrame, folder: str) -> None:
     rows = summary.orderBy("mode")
     rows.write.mode("overwrite").option("header", "true").csv(f"{folder}/summary_csv")
     rows.write.mode("overwrite").json(f"{folder}/summary_json")
+
+
+def read_summary(spark: SparkSession, folder: str) -> DataFrame:
+    schema = "mode string, median_seconds double, min_seconds double, max_seconds double"
+    return spark.read.schema(schema).json(f"{folder}/summary_json")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimworks.functions import fr_number
 from claimworks.operators.report_tables import QUALITY_COUNTS, kpis, quality_rollup, top_totals
 from claimworks.plans.analyses import ANALYSES
+from claimworks.plans.formats import read_summary
 from claimworks.sources.curated import read_curated
 from claimworks.sources.labels import read_labels
 from claimworks.sources.metadata import read_manifests, read_quality
@@ -14,10 +18,20 @@ from claimworks.sources.metadata import read_manifests, read_quality
 AMOUNT = "remboursement_part_legale_eur"
 
 
-def report_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def millions(column: str) -> Column:
+    """An amount in millions with one decimal, as text; the division is exact."""
+    exact = F.col(column).cast("decimal(30,6)") * F.lit(Decimal("0.000001"))
+    return F.concat(fr_number(exact, 1), F.lit(" M€"))
+
+
+def report_tables(
+    spark: SparkSession, root: str, formats_folder: str | None = None
+) -> dict[str, DataFrame]:
     """``kpis``, ``top_regions`` and ``quality`` over all published months.
 
-    Every published month must have its quality report.
+    Every published month must have its quality report. With the folder of a format comparison its
+    timing summary comes along as ``formats``. Display columns hold numbers as French readers
+    expect them.
     """
     root = root.rstrip("/")
     manifests = read_manifests(spark, root)
@@ -32,8 +46,19 @@ def report_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     claims = read_curated(spark, root)
     labels = read_labels(spark, f"{root}/references")
     regions = ANALYSES["02_regions"].run(claims)
-    return {
-        "kpis": kpis(manifests, ANALYSES["01_monthly"].run(claims), AMOUNT),
-        "top_regions": top_totals(regions, labels, "BEN_RES_REG", "code_region_residence", AMOUNT),
+    indicators = kpis(manifests, ANALYSES["01_monthly"].run(claims), AMOUNT)
+    top = top_totals(regions, labels, "BEN_RES_REG", "code_region_residence", AMOUNT)
+    tables = {
+        "kpis": indicators.withColumns({
+            "rows_display": fr_number(F.col("rows")),
+            "amount_display": F.concat(fr_number(F.col("amount"), 2), F.lit(" EUR")),
+        }),
+        "top_regions": top.withColumn("display", millions("total")),
         "quality": quality_rollup(quality.join(manifests.select("month"), "month")),
     }
+    if formats_folder:
+        summary = read_summary(spark, formats_folder)
+        tables["formats"] = summary.withColumn(
+            "median_display", F.concat(fr_number(F.col("median_seconds"), 3), F.lit(" s"))
+        )
+    return tables

@@ -7,17 +7,27 @@ from pyspark.sql import functions as F
 
 LABELS_SCHEMA = "variable string, code string, libelle string"
 LABELS_GLOB = "modalites*.json"
+LABEL_TABLE = "labels"
 
 
 def read_labels(spark: SparkSession, folder: str, glob: str = LABELS_GLOB) -> DataFrame:
-    """Labels from JSON documents ``{variable: {code: label}}``; no document, no labels."""
-    try:
-        documents = spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return spark.createDataFrame([], LABELS_SCHEMA)
-        raise
-    return labels_from_json(documents, "value")
+    """Labels from the table a dimension build left, or else from JSON documents.
+
+    A document is ``{variable: {code: label}}``. Without either there are no labels.
+    """
+    readers = (
+        lambda: spark.read.schema(LABELS_SCHEMA).parquet(f"{folder}/{LABEL_TABLE}"),
+        lambda: labels_from_json(
+            spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True), "value"
+        ),
+    )
+    for read in readers:
+        try:
+            return read()
+        except Exception as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+    return spark.createDataFrame([], LABELS_SCHEMA)
 
 
 def labels_from_json(documents: DataFrame, column: str) -> DataFrame:

@@ -11,6 +11,7 @@ from claimworks.functions import fr_number, strip, valid_month
 from claimworks.operators import aggregates, catalogue, dictionary, quality, reconcile, report_tables
 from claimworks.operators.cleaning import DEFECTS, clean, clean_with_defects
 from claimworks.operators.labels import with_labels
+from claimworks.plans.dimensions import write_dimensions
 from claimworks.schema import CLAIMS, RESERVED_BLANK_NAME, StructureError, TableSpec
 from claimworks.session import local_session, scratch_dir, small_methods
 from claimworks.sources.archives import read_archives, read_delimited, read_typed_csv
@@ -261,6 +262,19 @@ def test_definitions(spark):
     assert codes.count() == 0
 
 
+def test_dimensions_become_the_labels_of_a_root(spark, tmp_path):
+    columns = "sheet string, row_no long, c0 string, c1 string, c2 string, c3 string"
+    definition = spark.createDataFrame([("s", 5, "V", "label", "cat", None)], columns)
+    codes = spark.createDataFrame(
+        [("m", 1, "V", None, None, None), ("m", 2, " 01 ", " one ", None, None)], columns
+    )
+    write_dimensions(definition, codes, str(tmp_path))
+    labels = read_labels(spark, str(tmp_path / "references"))
+    assert [tuple(r) for r in labels.collect()] == [("V", "01", "one")]
+    variables = spark.read.parquet(str(tmp_path / "references/variables")).first()
+    assert (variables["name"], variables["category"], variables["comment"]) == ("V", "cat", None)
+
+
 # --- Reconciliation, catalogue, report ---------------------------------------------------------
 
 
