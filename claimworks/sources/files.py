@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import csv
 import gzip
 import hashlib
@@ -45,7 +46,7 @@ def file_facts(
 
     ``binaryFile`` content would hold a whole file in memory and stops at 2 GB, so only the listing
     comes from it. Depths: ``digest`` hashes the bytes; ``full`` also reads gzip to its end, which
-    checks the CRC, counts the decoded bytes and yields the header cells; ``header`` stops after
+    checks the CRC and the encoding, counts the decoded bytes and yields the header cells; ``header`` stops after
     the first line and gives no digest. A damaged file gives a ``problem``, not a failed job.
     """
     if depth not in ("digest", "header", "full"):
@@ -104,17 +105,21 @@ def _facts_of(path: str, size: int, depth: str, delimiter: str) -> dict:
             try:
                 text = gzip.GzipFile(fileobj=source) if path.endswith(".gz") else source
                 line, text_bytes = b"", 0
+                utf8 = codecs.getincrementaldecoder("utf-8")()
                 while block := text.read(BLOCK):
                     text_bytes += len(block)
+                    utf8.decode(block)
                     if b"\n" not in line:
                         line += block
                     if depth == "header" and b"\n" in line:
                         break
+                if depth == "full":
+                    utf8.decode(b"", final=True)
                 header = _header_cells(line.split(b"\n", 1)[0], delimiter)
             except (OSError, EOFError, zlib.error) as error:
                 text_bytes, problem = None, f"unreadable archive: {error}"
             except UnicodeDecodeError:
-                problem = "header is not UTF-8"
+                problem = "text is not UTF-8"
         if depth != "header":
             source.drain()
     whole = depth != "header"

@@ -124,6 +124,8 @@ def test_file_facts(spark, tmp_path):
     double = gzip.compress(b"a;b\n") + gzip.compress(b"1;2\n")
     path.with_name("A202502.csv.gz").write_bytes(double)
     path.with_name("A202503.csv.gz").write_bytes(path.read_bytes()[:-9])
+    path.with_name("A202504.csv.gz").write_bytes(gzip.compress("a;b\né;2\n".encode("latin-1")))
+    path.with_name("A202505.csv.gz").write_bytes(gzip.compress("a;b\n1;é".encode()[:-1]))
     facts = {r["path"][-13:-7]: r for r in file_facts(spark, str(path.parent), "*.csv.gz").collect()}
     whole = facts["202501"]
     assert whole["sha256"] == hashlib.sha256(path.read_bytes()).hexdigest()
@@ -132,6 +134,8 @@ def test_file_facts(spark, tmp_path):
     assert whole["header"] == [*CLAIMS.required, ""]
     assert (facts["202502"]["text_bytes"], facts["202502"]["header"]) == (8, ["a", "b"])
     assert facts["202503"]["problem"].startswith("unreadable archive")
+    assert facts["202504"]["problem"] == facts["202505"]["problem"] == "text is not UTF-8"
+    assert whole["problem"] is None
     head = file_facts(spark, str(path), depth="header").first()
     assert head["sha256"] is None and head["header"] == whole["header"]
 
