@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.llm import substring
+from claimworks.llm import simhash, substring, suffixes
 from claimworks.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,21 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_suffix_dedup(spark, folder):
+    found = suffixes.drop_repeated_bytes(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@query
+def op3_simhash_dedup(spark, folder):
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op4_substring_dedup(spark, folder):
     found = substring.drop_repeated_windows(table(spark, folder, "documents"))

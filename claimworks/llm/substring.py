@@ -109,7 +109,7 @@ class _Group:
         return at, A.mix(self.spans.at(at, self.window)), A.mix(second.at(at, self.window)) >> U64(32)
 
 
-def _by_bucket(keys: np.ndarray, bits: int, buckets: int):
+def by_bucket(keys: np.ndarray, bits: int, buckets: int):
     """Slices of ascending keys; the bucket is a range of the key's leading bits."""
     top = (keys >> U64(bits - 20)).astype(np.int64) * buckets >> 20
     edges = np.searchsorted(top, np.arange(buckets + 1))
@@ -129,7 +129,7 @@ def _probes(table, window, buckets):
     in_doc = at - group.first[group.doc[at]]
     anchor[back[in_doc % group.block == 0]] = True
     marked = keys << U64(2) | anchor.astype(U64) << U64(1) | (n > 1).astype(U64)
-    for bucket, part in _by_bucket(keys, 48, buckets):
+    for bucket, part in by_bucket(keys, 48, buckets):
         yield bucket, A.pack(marked[part])
 
 
@@ -141,15 +141,16 @@ def _shared_blocks(groups, bodies):
     anchor, twice = np.zeros(len(n), bool), n > 1
     anchor[back[(every & U64(2)) > 0]] = True
     twice[back[(every & U64(1)) > 0]] = True
-    return _split((anchor & twice)[back], parts)
+    return split((anchor & twice)[back], [len(p) for p in parts])
 
 
-def _split(flags: np.ndarray, parts) -> list[bytes]:
-    edges = np.cumsum([len(p) for p in parts])[:-1]
+def split(flags: np.ndarray, sizes: list[int]) -> list[bytes]:
+    """Flags of several messages as one packed body each."""
+    edges = np.cumsum(sizes)[:-1]
     return [len(f).to_bytes(8, "little") + np.packbits(f).tobytes() for f in np.split(flags, edges)]
 
 
-def _flags(bodies: list[bytes]) -> np.ndarray:
+def flags_of(bodies: list[bytes]) -> np.ndarray:
     made = [
         np.unpackbits(np.frombuffer(b, np.uint8, offset=8), count=int.from_bytes(b[:8], "little"))
         for b in bodies
@@ -162,7 +163,7 @@ def _candidates(table, bits, window):
     group = _Group(table, window)
     at, _, back, _ = _grouped_blocks(group)
     hits = np.zeros(len(group.starts), bool)
-    hits[at] = _flags(bits)[back] if len(at) else False
+    hits[at] = flags_of(bits)[back] if len(at) else False
     at, one, two = group.windows(hits)
     order = np.lexsort((at, two, one))
     new = np.ones(len(order), bool)
@@ -176,7 +177,7 @@ def _candidates(table, bits, window):
 
 def _windows(table, bits, window, buckets):
     _, _, _, _, one, two = _candidates(table, bits, window)
-    for bucket, part in _by_bucket(one, 64, buckets):
+    for bucket, part in by_bucket(one, 64, buckets):
         packed = A.pack(one[part])
         yield bucket, len(packed).to_bytes(8, "little") + packed + two[part].astype("<u4").tobytes()
 
@@ -196,7 +197,7 @@ def _seen_before(groups, bodies):
     later[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
     flags = np.empty(len(order), bool)
     flags[order] = later
-    return _split(flags, ones)
+    return split(flags, [len(x) for x in ones])
 
 
 def _kept(table, bits, seen, window):
@@ -204,7 +205,7 @@ def _kept(table, bits, seen, window):
     repeated = np.ones(len(at), bool)
     repeated[lead] = False
     if len(at):
-        repeated |= _flags(seen)[back]
+        repeated |= flags_of(seen)[back]
     n = len(group.starts)
     gone = A.covered(n, at[repeated], window)
     keep = ~gone
@@ -226,14 +227,14 @@ def _kept(table, bits, seen, window):
     )
     n_words = np.diff(group.first)
     removed = np.diff(np.concatenate(([0], np.cumsum(gone)))[group.first])
-    spans = _doc_runs(gone, group.first, group.doc)
+    spans = doc_runs(gone, group.first, group.doc)
     return pa.table({
         "doc_id": group.table.column("doc_id"), "n_words": n_words, "n_removed": removed, "spans": spans,
         "kept_text": out.cast(pa.string()),
     })
 
 
-def _doc_runs(flags: np.ndarray, first: np.ndarray, doc: np.ndarray) -> pa.Array:
+def doc_runs(flags: np.ndarray, first: np.ndarray, doc: np.ndarray) -> pa.Array:
     """Runs of marked places, cut at document borders and counted from the document's start."""
     start, end = flags.copy(), flags.copy()
     start[1:] &= ~flags[:-1] | (doc[1:] != doc[:-1])

@@ -30,3 +30,55 @@ def substring(rows, window=20):
         kept = " ".join(w for i, w in enumerate(words) if i not in gone)
         out.append((doc_id, len(words), len(gone), sha(kept)))
     return sorted(out, key=str)
+
+
+def suffix(rows, length=200):
+    """``[(doc_id, text)]`` to sorted ``(doc_id, n_bytes, n_removed, n_spans, sha)``."""
+    texts = [(text or "").encode() for _, text in rows]
+    seen = {}
+    for t in texts:
+        for s in range(len(t) - length + 1):
+            key = t[s : s + length]
+            seen[key] = seen.get(key, 0) + 1
+    out = []
+    for (doc_id, _), t in zip(rows, texts):
+        gone = bytearray(len(t))
+        for s in range(len(t) - length + 1):
+            if seen[t[s : s + length]] > 1:
+                gone[s : s + length] = b"\x01" * length
+        spans = re.findall(b"\x01+", bytes(gone))
+        kept = bytes(b for b, g in zip(t, gone) if not g)
+        out.append((doc_id, len(t), sum(gone), len(spans), sha(kept)))
+    return sorted(out, key=str)
+
+
+def simhash(rows, shingle=3, distance=2):
+    """``[(doc_id, text)]`` to sorted ``(doc_id, fingerprint, component_id)``."""
+    import xxhash
+
+    prints = []
+    for _, text in rows:
+        words = SPACE_WORD.findall(lower(text))
+        width = min(shingle, len(words))
+        votes = [
+            xxhash.xxh64_intdigest(" ".join(words[i : i + width]), 42) for i in range(len(words) - width + 1)
+        ] if words else []
+        prints.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in votes) > len(votes)))
+    least = {}
+    for (doc_id, _), fp in zip(rows, prints):
+        least[fp] = min(least.get(fp, doc_id), doc_id)
+    nodes, root = sorted(least), {fp: fp for fp in least}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(nodes):
+        for b in nodes[:i]:
+            if (a ^ b).bit_count() <= distance:
+                root[find(a)] = find(b)
+    ids = {}
+    for fp in nodes:
+        ids[find(fp)] = min(ids.get(find(fp), least[fp]), least[fp])
+    return sorted((d, f"{fp:016x}", ids[find(fp)]) for (d, _), fp in zip(rows, prints))
