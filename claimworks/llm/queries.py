@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.llm import simhash, substring, suffixes
+from claimworks.llm import mixing, simhash, substring, suffixes
 from claimworks.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,11 @@ def op3_simhash_dedup(spark, folder):
 def op4_substring_dedup(spark, folder):
     found = substring.drop_repeated_windows(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op6_source_mix(spark, folder):
+    found = mixing.mix(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
+    )
