@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.llm import mixing, simhash, substring, suffixes
+from claimworks.llm import decontamination, mixing, simhash, substring, suffixes
 from claimworks.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,18 @@ def op4_substring_dedup(spark, folder):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op5_benchmark_decontamination(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.find_contamination(docs, table(spark, folder, "benchmark"))
+    items, spans = F.col("contamination.items"), F.col("contamination.spans")
+    n_hit = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "contamination.n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
 @query
 def op6_source_mix(spark, folder):
     found = mixing.mix(table(spark, folder, "documents"))

@@ -82,3 +82,24 @@ def simhash(rows, shingle=3, distance=2):
     for fp in nodes:
         ids[find(fp)] = min(ids.get(find(fp), least[fp]), least[fp])
     return sorted((d, f"{fp:016x}", ids[find(fp)]) for (d, _), fp in zip(rows, prints))
+
+
+def decontamination(rows, benchmark, window=10):
+    """Rows and ``[(item_id, text)]`` to sorted ``(doc_id, n_words, n_hit, n_items, sha, contaminated)``."""
+    windows = {}
+    for item, text in benchmark:
+        words = PLAIN_WORD.findall(lower(text))
+        width = min(window, len(words))
+        for s in range(len(words) - width + 1 if width else 0):
+            windows.setdefault(tuple(words[s : s + width]), set()).add("" if item is None else str(item))
+    sizes = sorted({len(w) for w in windows})
+    out = []
+    for doc_id, text in rows:
+        words, hit, items = PLAIN_WORD.findall(lower(text)), set(), set()
+        for size in sizes:
+            for s in range(len(words) - size + 1):
+                if (found := windows.get(tuple(words[s : s + size]))) is not None:
+                    hit.update(range(s, s + size))
+                    items |= found
+        out.append((doc_id, len(words), len(hit), len(items), sha(",".join(sorted(items))), bool(hit)))
+    return sorted(out, key=str)
