@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.llm import decontamination, mixing, simhash, substring, suffixes
+from claimworks.llm import decontamination, mixing, quality, simhash, substring, suffixes
 from claimworks.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,12 @@ def op6_source_mix(spark, folder):
     return found.select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
     )
+
+
+@query
+def op8_quality_rules(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return quality.judge(docs).select(
+        "doc_id", *[f"quality.{c}" for c in counts], "base_failed", "kept", "quality.log_perplexity"
+    )

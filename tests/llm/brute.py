@@ -103,3 +103,24 @@ def decontamination(rows, benchmark, window=10):
                     items |= found
         out.append((doc_id, len(words), len(hit), len(items), sha(",".join(sorted(items))), bool(hit)))
     return sorted(out, key=str)
+
+
+def quality_base(rows):
+    """``[(doc_id, text)]`` to sorted ``(doc_id, five counts, base_failed)``."""
+    out = []
+    for doc_id, text in rows:
+        text = text or ""
+        words = SPACE_WORD.findall(text)
+        lines = [x for x in text.split("\n") if SPACE_WORD.search(x)]
+        times, hit = {}, set()
+        for s in range(len(words) - 2):
+            times[tuple(words[s : s + 3])] = times.get(tuple(words[s : s + 3]), 0) + 1
+        for s in range(len(words) - 2):
+            if times[tuple(words[s : s + 3])] > 1:
+                hit.update(range(s, s + 3))
+        n = len(words)
+        out.append((
+            doc_id, n, sum(map(len, words)), len(re.findall("[#*$%&|<>]", text)), len(lines) - len(set(lines)),
+            len(hit), n < 50 or 100 * len(hit) > 50 * n,
+        ))
+    return sorted(out, key=str)
