@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.llm import decontamination, mixing, quality, simhash, substring, suffixes
+from claimworks.llm import decontamination, mixing, quality, simhash, substring, suffixes, warc
 from claimworks.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,10 @@ def op8_quality_rules(spark, folder):
     return quality.judge(docs).select(
         "doc_id", *[f"quality.{c}" for c in counts], "base_failed", "kept", "quality.log_perplexity"
     )
+
+
+@query
+def op9_warc_packages(spark, folder):
+    return warc.archive_round_trip(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )

@@ -124,3 +124,19 @@ def quality_base(rows):
             len(hit), n < 50 or 100 * len(hit) > 50 * n,
         ))
     return sorted(out, key=str)
+
+
+def warc(rows):
+    """``[(page_id, html)]`` to sorted ``(page_id, bytes, digest, type, refers_to)``."""
+    import base64
+
+    first = {}
+    for page_id, html in rows:
+        first[html or ""] = max(first.get(html or "", page_id), page_id)
+    out = []
+    for page_id, html in rows:
+        raw, lead = (html or "").encode(), first[html or ""]
+        sha1 = base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        again = lead != page_id
+        out.append((page_id, len(raw), sha1, "revisit" if again else "response", lead if again else None))
+    return sorted(out)
