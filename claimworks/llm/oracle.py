@@ -3,3 +3,38 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op2_url_filter"] = r"""
+WITH captures AS (
+  SELECT page_id, url, CAST((page_id * 37) % 730 AS INTEGER) AS day,
+    regexp_replace(lower(regexp_replace(
+      regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', '')), '\.?(:[0-9]*)?$', '') AS host,
+    [x FOR x IN string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') IF x <> ''] AS steps
+  FROM pages
+), keyed AS (
+  SELECT DISTINCT page_id, url, day, array_to_string(string_split(host, '.')[i:], '.') AS pattern
+  FROM captures, LATERAL (SELECT unnest(generate_series(1, len(string_split(host, '.')))) AS i) WHERE host <> ''
+  UNION
+  SELECT page_id, url, day, host || '/' || array_to_string(steps[:i], '/')
+  FROM captures, LATERAL (SELECT unnest(generate_series(1, len(steps))) AS i) WHERE host <> ''
+), numbered AS (
+  SELECT pattern, n, n % 400 AS day
+  FROM (SELECT DISTINCT pattern, CAST('0x' || substr(md5(pattern), 1, 6) AS BIGINT) AS n FROM keyed) WHERE n % 3 = 0
+), entries AS (
+  SELECT pattern, day, true AS listed FROM numbered
+  UNION SELECT pattern, day + 30 + n % 200, false FROM numbered
+  UNION SELECT pattern, day + 300, true FROM numbered WHERE n % 5 = 0
+), spans AS (
+  SELECT pattern, day AS since, listed, lead(day) OVER (PARTITION BY pattern ORDER BY day, listed DESC) AS until
+  FROM entries
+), met AS (
+  SELECT k.page_id, k.url, k.day, count(*) AS n_entries,
+    first(k.pattern ORDER BY length(k.pattern) DESC, k.pattern) AS pattern
+  FROM keyed k JOIN spans s ON k.pattern = s.pattern AND s.listed AND k.day >= s.since
+    AND k.day < coalesce(s.until, 1000000)
+  GROUP BY ALL
+)
+SELECT c.page_id, c.day, coalesce(n_entries, 0) AS n_entries, pattern, n_entries IS NOT NULL AS blocked
+FROM captures c LEFT JOIN met m ON c.page_id IS NOT DISTINCT FROM m.page_id
+  AND c.url IS NOT DISTINCT FROM m.url AND c.day IS NOT DISTINCT FROM m.day
+"""

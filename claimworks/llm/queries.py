@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.llm import decontamination, mixing, quality, simhash, substring, suffixes, warc
+from claimworks.llm import decontamination, licenses, mixing, quality, simhash, substring, suffixes, urls, warc
 from claimworks.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,33 @@ def op1_suffix_dedup(spark, folder):
     )
 
 
+def _dated_entries(pages: DataFrame) -> DataFrame:
+    """A dated list drawn from the pages' own hosts, domains and first path steps.
+
+    Which patterns are listed, and when, follows from digests of their text, so that SQL can make the
+    same list: added, taken off, and for some added again.
+    """
+    keys = pages.select(F.explode(urls.url_keys("url")).alias("pattern")).distinct()
+    number = F.conv(F.substring(F.md5("pattern"), 1, 6), 16, 10).cast("long")
+    keys = keys.withColumn("n", number).where("n % 3 = 0")
+    day = F.col("n") % 400
+    return keys.select("pattern", F.inline(F.array(
+        F.struct(day.alias("day"), F.lit(True).alias("listed")),
+        F.struct((day + 30 + F.col("n") % 200).alias("day"), F.lit(False).alias("listed")),
+        F.struct(F.when(F.col("n") % 5 == 0, day + 300).alias("day"), F.lit(True).alias("listed")),
+    )))
+
+
+@query
+def op2_url_filter(spark, folder):
+    """Pages have no fetch time; the day follows from the page_id."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    captures = pages.withColumn("day", ((F.col("page_id") * 37) % 730).cast("int"))
+    return urls.filter_captures(captures, _dated_entries(pages)).select(
+        "page_id", "day", "n_entries", "pattern", "blocked"
+    )
+
+
 @query
 def op3_simhash_dedup(spark, folder):
     found = simhash.near_duplicates(table(spark, folder, "documents"))
@@ -60,6 +87,16 @@ def op6_source_mix(spark, folder):
     )
 
 
+@query
+def op7_license_scan(spark, folder):
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").cast("long").alias("first_word"), F.array_max("places").cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 @query
 def op8_quality_rules(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")

@@ -140,3 +140,20 @@ def warc(rows):
         again = lead != page_id
         out.append((page_id, len(raw), sha1, "revisit" if again else "response", lead if again else None))
     return sorted(out)
+
+
+def license_base(rows):
+    """``[(doc_id, text)]`` to sorted ``(doc_id, n_words, n_base, first, last, base_labels)``."""
+    phrases = {("mit", "license"): "mit", ("apache", "license"): "apache", ("general", "public", "license"): "gpl"}
+    out = []
+    for doc_id, text in rows:
+        words, at, labels = PLAIN_WORD.findall(lower(text)), [], set()
+        for i in range(len(words)):
+            for phrase, label in phrases.items():
+                if tuple(words[i : i + len(phrase)]) == phrase:
+                    at.append(i)
+                    labels.add(label)
+        out.append((
+            doc_id, len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
+        ))
+    return sorted(out, key=str)
