@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.llm import decontamination, licenses, mixing, quality, simhash, substring, suffixes, urls, warc
+from claimworks.llm import decontamination, licenses, mixing, quality, secret_scan, simhash, substring, suffixes, urls, warc
 from claimworks.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,19 @@ def op9_warc_packages(spark, folder):
     return warc.archive_round_trip(table(spark, folder, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query
+def op10_secret_scan(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secret_scan.find_secrets(docs)
+    kinds = F.array(*[F.lit(k) for k in secret_scan.KINDS])
+    named = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", F.get(kinds, s["rank"] - 1), s["start"].cast("string"), s["end"].cast("string"))
+    ), ",")
+    number = lambda rank: F.size(F.filter("secrets", lambda s: s["rank"] == rank)).cast("long")
+    return found.select(
+        "doc_id", number(1).alias("n_assign"), number(2).alias("n_access"), number(3).alias("n_hex"),
+        F.sha2(named(F.filter("secrets", lambda s: s["rank"] <= 3)), 256).alias("base_sha256"),
+        named(F.col("secrets")).alias("spans"),
+    )

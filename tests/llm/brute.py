@@ -157,3 +157,22 @@ def license_base(rows):
             doc_id, len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
         ))
     return sorted(out, key=str)
+
+
+def secret_base(rows):
+    """``[(doc_id, text)]`` to sorted ``(doc_id, n_assign, n_access, n_hex, base_sha256)``."""
+    assign = re.compile(
+        r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII
+    )
+    kinds = (("assign", assign, 12), ("access", re.compile("AKIA[A-Z0-9]+"), 18), ("hex", re.compile("[0-9a-f]+"), 16))
+    out = []
+    for doc_id, text in rows:
+        spans, n = [], []
+        for rank, (kind, pattern, least) in enumerate(kinds):
+            group = 2 if kind == "assign" else 0
+            found = [m for m in pattern.finditer(text or "") if len(m[group]) >= least]
+            n.append(len(found))
+            spans += [(m.start(), rank, m.end(), kind) for m in found]
+        joined = ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in sorted(spans))
+        out.append((doc_id, *n, sha(joined)))
+    return sorted(out, key=str)
