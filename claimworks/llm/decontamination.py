@@ -13,10 +13,11 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from claimworks.llm import arrays as A
 from claimworks.llm.substring import doc_runs
@@ -261,3 +262,31 @@ def _occurrences(keys, first, doc, phrases):
     n = high - low
     rows = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
     return word[index.locate(rows)], np.repeat(np.arange(len(n)), n)
+
+
+def cut_contamination(found: DataFrame) -> DataFrame:
+    """What ``find_contamination`` gives, with the words hit cut out of ``text``, and without its column.
+
+    A span goes from its first word to the start of the word behind it. Texts without spans stay as
+    they are, byte for byte; null texts stay null.
+    """
+    at, last = found.columns.index("text"), len(found.columns) - 1
+
+    def run(batches):
+        for batch in batches:
+            spans = batch.column(last).field("spans")
+            texts = batch.column(at).to_pylist()
+            for row in np.flatnonzero(np.asarray(pc.list_value_length(spans)) > 0).tolist():
+                data, offsets = A.texts(pa.array([texts[row]], pa.string()))
+                starts, _, _ = A.words(A.lower_ascii(data), offsets, A.BREAK)
+                edges = np.append(starts, len(data))
+                marks = [(edges[s["start"]], edges[s["end"]]) for s in spans[row].as_py()]
+                low = np.array([a for a, _ in marks])
+                keep = ~A.covered(len(data), low, np.array([b for _, b in marks]) - low)
+                texts[row] = data[keep].tobytes().decode()
+            columns = list(batch.columns[:last])
+            columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:last])
+
+    schema = StructType([f if f.name != "text" else StructField("text", StringType()) for f in found.schema][:last])
+    return found.mapInArrow(run, schema)

@@ -17,9 +17,11 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from claimworks.llm import arrays as A
 from claimworks.llm.components import components
+from claimworks.llm.tables import digest, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -27,26 +29,28 @@ SLICE = 1 << 20  # bytes of text worked on at a time
 BITS = 64
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """The rows' ``doc_id`` with the SimHash of their words, as a signed long.
+def fingerprints(docs: DataFrame, keep: list[str], shingle: int = 3, seed: int = 42) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and ``fp``, the SimHash of ``text``'s words, as a signed long.
 
     A-Z are lowered; words are what stands between blanks. Each shingle of ``shingle`` words, repeats
     included, votes with its XXH64; a bit is set when more than half of the votes have it. A text of
     fewer words is one shingle; one without words, or null, has the fingerprint zero.
     """
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("__text"))
+
     def run(batches):
         for batch in batches:
-            data, offsets = A.texts(batch.column(1))
+            data, offsets = A.texts(batch.column(len(keep)))
             data = A.lower_ascii(data)
             out = np.zeros(batch.num_rows, np.uint64)
             cut = np.unique(np.searchsorted(offsets[:-1], np.arange(0, len(data) + 1, SLICE)))
             for low, high in itertools.pairwise([*cut.tolist(), batch.num_rows]):
                 at = offsets[low : high + 1]
                 out[low:high] = _votes(data[at[0] : at[-1]], at - at[0], shingle, seed)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out.view(np.int64))], [*keep, "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    schema = StructType([*rows.drop("__text").schema, StructField("fp", LongType())])
+    return rows.mapInArrow(run, schema)
 
 
 def _votes(data, offsets, shingle, seed) -> np.ndarray:
@@ -93,7 +97,10 @@ def _met(fps: DataFrame, distance: int) -> DataFrame:
     ]
     signed = [m - (1 << BITS) if m >= 1 << (BITS - 1) else m for m in masks]
     ball = F.array(*[F.lit(m).cast("long") for m in signed])
-    return fps.select("fp").distinct().select("fp", F.explode(ball).alias("mask")).select(
+    # As many parts as a shuffle has: the few bytes of fingerprints become many rows here.
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = fps.select("fp").repartition(parts, "fp").distinct()
+    return spread.select("fp", F.explode(ball).alias("mask")).select(
         F.col("fp").bitwiseXOR(F.col("mask")).alias("value"), "fp"
     )
 
@@ -102,22 +109,40 @@ def _differ(a: str, b: str):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
+def roots(fps: DataFrame, distance: int = 2) -> DataFrame:
+    """``fp, root``: every distinct fingerprint with the one that stands for its component."""
+    nodes = fps.select("fp").distinct()
+    label = components(links(nodes, distance)).withColumnRenamed("node", "fp")
+    return nodes.join(label, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): ``doc_id, fp, component_id``.
 
     Documents are linked when their fingerprints differ in at most ``distance`` bits; a component's id
     is its smallest doc_id. Rows of one fingerprint are one node, so copies cost nothing. A null doc_id
     is a document like any other and never the smallest id unless the component has no other; a
-    repeated row belongs to its twin's component. Empty table, no rows.
+    repeated row belongs to its twin's component. Other columns are not read. Empty table, no rows.
     """
-    from claimworks.llm.tables import stored
-
-    rows = stored(fingerprints(docs, shingle), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    label = components(links(nodes, distance))
-    nodes = nodes.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = stored(fingerprints(rows, ["doc_id"], shingle), "fingerprints")
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots(rows, distance), "fp")
     smallest = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = nodes.select("fp", "root").join(smallest, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """``docs`` with one document of each component: the smallest doc_id, then the smallest digest.
+
+    A null doc_id comes last; of fully equal rows one stays. All columns stay. Only keys are compared
+    to find the documents that stay; a component of any size is one aggregate.
+    """
+    keys, none = ["__k1", "__k2"], F.col("doc_id").isNull()
+    rows = docs.select("*", *digest("doc_id", "text"))
+    rows = stored(fingerprints(rows, rows.columns, shingle), "fingerprints")
+    first = F.struct(none.alias("none"), "doc_id", *keys)
+    best = rows.join(roots(rows, distance), "fp").groupBy("root").agg(F.min(first).alias("best"))
+    return rows.join(best.select("best.__k1", "best.__k2"), keys).dropDuplicates(keys).select(
+        *[F.col(f"`{c}`") for c in docs.columns]
+    )
