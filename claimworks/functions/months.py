@@ -18,3 +18,9 @@ def valid_month(column: Column, first_year: int = FIRST_SUPPORTED_YEAR) -> Colum
     shape = column.rlike(r"^[0-9]{4}(?:0[1-9]|1[0-2])\z")
     year = F.when(shape, F.substring(column, 1, 4)).cast("int")
     return F.coalesce(shape & (year >= first_year), F.lit(False))
+
+
+def utc_now() -> Column:
+    """The time of the query in UTC, as text to the second."""
+    utc = F.to_utc_timestamp(F.now(), F.current_timezone())
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -12,6 +12,11 @@ UNICODE_WHITESPACE = "".join(
 )
 
 
+def quoted(name: str) -> Column:
+    """A column by its literal name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def strip(column: Column | str) -> Column:
     """Strip Unicode whitespace at both ends.
 

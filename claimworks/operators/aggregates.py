@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimworks.functions import total
+from claimworks.session import scratch_dir
 
 
 def totals(
@@ -55,59 +56,85 @@ def distinct_in_order(df: DataFrame, key: str, position: str) -> DataFrame:
 def first_rows(df: DataFrame, n: int, partition: str, order: Column) -> DataFrame:
     """The first ``n`` rows in partition order, or all when there are fewer.
 
-    ``order`` makes the choice within a partition repeatable. Partitions that cannot contribute are
-    left out first, from counts that need no data columns, so the sort sees few rows beyond ``n``.
+    ``order`` makes the choice within a partition repeatable. Only the partition in which the sample
+    ends is sorted, over all tasks, and cut by the counts of its parts, so no task holds ``n`` rows.
+    The driver holds one count per partition value and one per part.
     """
     if n < 1:
         raise ValueError("the sample needs at least one row")
     sizes = df.groupBy(partition).count().orderBy(F.col(partition).asc_nulls_last()).collect()
-    wanted, seen = [], 0
+    whole, last, rest = [], [], n
     for size in sizes:
-        if seen >= n:
+        if size["count"] > rest:
+            last = [size[partition]] if rest else []
             break
-        wanted.append(size[partition])
-        seen += size["count"]
-    keep = F.col(partition).isin([w for w in wanted if w is not None])
-    if None in wanted:
-        keep = keep | F.col(partition).isNull()
-    return df.where(keep).orderBy(F.col(partition).asc_nulls_last(), order).limit(n)
+        whole.append(size[partition])
+        rest -= size["count"]
+    kept = df.where(_one_of(partition, whole))
+    if not last:
+        return kept
+    parts = _in_parts(df.where(_one_of(partition, last)), order)
+    counts = parts.groupBy("_part").count().orderBy("_part").collect()
+    for part in counts:
+        if part["count"] > rest:
+            break
+        rest -= part["count"]
+    chosen = (F.col("_part") < part["_part"]) | ((F.col("_part") == part["_part"]) & (F.col("_at") <= rest))
+    return kept.unionByName(parts.where(chosen).drop("_part", "_at"))
+
+
+def _one_of(column: str, values: list) -> Column:
+    test = F.col(column).isin([v for v in values if v is not None])
+    return test | F.col(column).isNull() if None in values else test
 
 
-def exact_median(df: DataFrame, by: str, value: str, accuracy: int = 10_000) -> DataFrame:
+def _in_parts(df: DataFrame, *order: Column) -> DataFrame:
+    """The rows sorted over all tasks, with the number of their part and their place in it.
+
+    Written to the scratch folder, because the borders of the parts are drawn anew by every run.
+    """
+    spark = df.sparkSession
+    keyed = df.select("*", F.struct(*order).alias("_order"), F.monotonically_increasing_id().alias("_id"))
+    dealt = keyed.repartitionByRange("_order", "_id").withColumn("_part", F.spark_partition_id())
+    at = F.row_number().over(Window.partitionBy("_part").orderBy("_order", "_id"))
+    path = scratch_dir(spark, "parts")
+    dealt.withColumn("_at", at).drop("_order", "_id").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def exact_median(df: DataFrame, by: str, value: str) -> DataFrame:
     """``(by, median, min, max)``, the median exact without holding a group in one task.
 
-    A sketch with a guaranteed rank error brackets the middle of each group; a second pass counts
-    what lies below the bracket and ranks only the few distinct values inside it.
+    Equal values are counted on the map side first, so a raw row never travels. The counts are sorted
+    over all tasks, added up per part, and ranked inside the parts.
     """
-    # Twice the guaranteed error on each side, so that the middle ranks cannot fall outside.
-    margin = 2.0 / accuracy
-    present = df.where(F.col(value).isNotNull()).select(by, F.col(value).alias("v"))
-    sketch = F.percentile_approx("v", [0.5 - margin, 0.5 + margin], accuracy)
-    groups = present.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max"),
-        sketch.alias("b"),
+    steps = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(F.col(by).alias("_by"), F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
     )
-    # Small groups are all bracket: the rank error of the sketch is below one row only from there on.
-    bracket = groups.select(
-        F.col(by).alias("_by"), "n", "min", "max",
-        F.when(F.col("n") <= accuracy, F.col("min")).otherwise(F.col("b")[0]).alias("lo"),
-        F.when(F.col("n") <= accuracy, F.col("max")).otherwise(F.col("b")[1]).alias("hi"),
+    steps = _in_parts(steps, F.col("_by"), F.col("v"))
+    parts = steps.groupBy("_by", "_part").agg(
+        F.sum("c").alias("c"), F.min("v").alias("min"), F.max("v").alias("max")
     )
-    placed = present.join(bracket, present[by].eqNullSafe(F.col("_by")))
-    below = F.when(F.col("v") < F.col("lo"), F.lit(None)).otherwise(F.col("v"))
-    steps = (
-        placed.where(F.col("v") <= F.col("hi"))
-        .groupBy("_by", "n", "min", "max", below.alias("v"))
-        .agg(F.count(F.lit(1)).alias("c"))
+    earlier = Window.partitionBy("_by").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy("_by")
+    parts = parts.select(
+        "_by", "_part", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("before"),
+        F.sum("c").over(group).alias("n"), F.min("min").over(group).alias("min"),
+        F.max("max").over(group).alias("max"),
     )
-    upto = Window.partitionBy("_by").orderBy(F.col("v").asc_nulls_first())
-    ranked = steps.withColumn("last", F.sum("c").over(upto))
+    inside = Window.partitionBy("_by", "_part").orderBy("_at")
+    ranked = steps.withColumn("upto", F.sum("c").over(inside)).alias("s").join(
+        parts.alias("p"),
+        F.col("s._by").eqNullSafe(F.col("p._by")) & (F.col("s._part") == F.col("p._part")),
+    ).select("s._by", "v", "n", "min", "max", (F.col("upto") + F.col("before")).alias("last"))
     low_rank, high_rank = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
     return (
-        ranked.groupBy("_by", "n", "min", "max")
+        ranked.groupBy("_by")
         .agg(
             F.min(F.when(F.col("last") >= low_rank, F.col("v"))).alias("m1"),
             F.min(F.when(F.col("last") >= high_rank, F.col("v"))).alias("m2"),
+            F.first("min").alias("min"), F.first("max").alias("max"),
         )
         .select(
             F.col("_by").alias(by), ((F.col("m1") + F.col("m2")) / 2).alias("median"), "min", "max"

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimworks.functions import amount_text, strip_to_null, text_amount
+from claimworks.functions import amount_text, quoted, strip_to_null, text_amount
 from claimworks.schema import CLAIMS, RESERVED_BLANK_NAME, TableSpec, check_required
 from claimworks.sources.archives import MALFORMED
 
@@ -17,17 +17,17 @@ DEFECTS = "_defects"
 def clean(df: DataFrame, spec: TableSpec = CLAIMS) -> DataFrame:
     """Strip text, turn blanks to null and amounts to exact decimals; any defect stops the job.
 
-    The unnamed trailing column must be null in every row. That check rides on a column that stays,
-    so it costs no pass of its own and column pruning cannot skip it unless the month is not read.
+    The unnamed trailing column must be null in every row. The checks are one filter over all of
+    them, so they hold whichever columns are read later, and for a mere count.
     """
     typed, columns, defects = _typed(df, spec)
-    for name, test in defects.items():
-        bearer = name if name in columns else spec.month
+    sound = F.lit(True)
+    for name, test in reversed(defects.items()):
         what = F.lit(f"the column {name} holds something it must not: ")
-        text = F.col(name) if name in df.columns else F.lit("")
-        stop = F.raise_error(F.concat(what, text))
-        columns[bearer] = F.when(test, stop).otherwise(columns[bearer])
-    return typed.select(*[column.alias(name) for name, column in columns.items()])
+        stop = F.raise_error(F.concat(what, quoted(name))).cast("boolean")
+        sound = F.when(test, stop).otherwise(sound)
+    kept = typed.where(sound) if defects else typed
+    return kept.select(*[column.alias(name) for name, column in columns.items()])
 
 
 def clean_with_defects(df: DataFrame, spec: TableSpec = CLAIMS) -> DataFrame:
@@ -61,7 +61,7 @@ def _typed(
         "*", *[text_amount(F.col(f"_text_{c}")).alias(f"_amount_{c}") for c in numeric]
     )
     columns = {
-        c: F.col(f"_amount_{c}") if c in numeric else strip_to_null(c)
+        c: F.col(f"_amount_{c}") if c in numeric else strip_to_null(quoted(c))
         for c in df.columns if c not in (RESERVED_BLANK_NAME, MALFORMED)
     }
     defects = {
@@ -69,5 +69,5 @@ def _typed(
     }
     for c in (RESERVED_BLANK_NAME, MALFORMED):
         if c in df.columns:
-            defects[c] = F.col(c).isNotNull()
+            defects[c] = quoted(c).isNotNull()
     return typed, columns, defects

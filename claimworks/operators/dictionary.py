@@ -9,6 +9,7 @@ from claimworks.functions import strip
 
 # Rows a sheet block may hold; one task ranks one block.
 BLOCK_ROWS = 1_000_000
+INLINE_NAMES = 1_000
 HEADER_ROWS = 4  # fixed value: title rows above the definitions
 
 
@@ -19,31 +20,34 @@ def forward_fill(
 
     A sheet is cut into blocks of consecutive row numbers. Each block is filled on its own; the
     last value of each block, one row per block, is filled in turn and carried into the next
-    blocks. So no task holds a whole sheet, even if one sheet holds most rows.
+    blocks. So no task holds a whole sheet, even if one sheet holds most rows, and rows travel once:
+    the fill and the carry use the same blocks. A null sheet is the sheet without a name.
     """
     block = F.col(row_no) - F.pmod(F.col(row_no), F.lit(block_rows))
     rows = df.withColumn("_value", value).withColumn("_block", block)
+    named = F.coalesce(F.col(sheet).cast("string"), F.lit("")).alias("_sheet")
+    rows = rows.select("*", named, F.col(sheet).isNull().alias("_none"))
+    keys = ["_none", "_sheet", "_block"]
     inside = (
-        Window.partitionBy(sheet, "_block").orderBy(row_no)
+        Window.partitionBy(*keys).orderBy(row_no)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     above = (
-        Window.partitionBy("_sheet").orderBy("_b")
+        Window.partitionBy("_none", "_sheet").orderBy("_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
-        rows.groupBy(F.col(sheet).alias("_sheet"), F.col("_block").alias("_b"))
-        .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(row_no))).alias("_last"))
-        .withColumn("_carry", F.last("_last", ignorenulls=True).over(above))
-        .where(F.col("_carry").isNotNull())
-        .select("_sheet", "_b", "_carry")
+        rows.where(F.col("_value").isNotNull()).groupBy(*keys)
+        .agg(F.max_by("_value", row_no).alias("_last"))
+    )
+    blocks = rows.select(*keys).distinct().join(carried, keys, "left")
+    carried = (
+        blocks.withColumn("_carry", F.last("_last", ignorenulls=True).over(above))
+        .where(F.col("_carry").isNotNull()).select(*keys, "_carry")
     )
     return (
         rows.withColumn("_here", F.last("_value", ignorenulls=True).over(inside))
-        .join(
-            carried,
-            F.col(sheet).eqNullSafe(F.col("_sheet")) & (F.col("_block") == F.col("_b")), "left",
-        )
+        .join(carried, keys, "left")
         .select(*df.columns, F.coalesce("_here", "_carry").alias(name))
     )
 
@@ -64,6 +68,19 @@ def definitions(rows: DataFrame, sheet: str = "sheet") -> DataFrame:
     )
 
 
+def heading(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """``rows`` with ``_name``: the section a row opens, or null.
+
+    A dictionary has a short list of names: up to ``INLINE_NAMES`` are put into the expression, so the
+    rows need not travel; longer lists are joined, with the same result.
+    """
+    known = names.select(F.col("name").alias("_name")).where(F.col("name").isNotNull()).distinct()
+    few = [r["_name"] for r in known.limit(INLINE_NAMES + 1).collect()]
+    if len(few) > INLINE_NAMES:
+        return rows.join(known, strip("c0") == F.col("_name"), "left")
+    return rows.withColumn("_name", F.when(strip("c0").isin(few), strip("c0")))
+
+
 def sections(
     rows: DataFrame, names: DataFrame, sheet: str = "sheet", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -72,8 +89,10 @@ def sections(
     A row whose first cell is a known name opens a section; ``opened`` is its row number. Rows above
     the first section and rows without a code are left out.
     """
-    known = names.select(F.col("name").alias("_name")).distinct()
-    marked = rows.join(known, strip("c0") == F.col("_name"), "left")
+    return _sections(heading(rows, names), sheet, block_rows)
+
+
+def _sections(marked: DataFrame, sheet: str, block_rows: int) -> DataFrame:
     head = F.when(
         F.col("_name").isNotNull(), F.struct(F.col("_name").alias("name"), F.col("row_no").alias("at"))
     )
@@ -91,26 +110,44 @@ def latest_labels(
 ) -> DataFrame:
     """``(sheet, variable, code, libelle)``; a reopened section starts afresh, the last code wins.
 
-    The last opening of each variable comes from the heading rows alone, and the last label of each
-    code from an aggregate that combines on the map side, so neither step ranks rows.
+    Of each code only the label of its latest opening and row is kept, by an aggregate that combines on
+    the map side; the last opening of each variable comes from the heading rows alone.
     """
-    known = names.select(F.col("name").alias("_name")).distinct()
+    marked = heading(rows, names)
     final = (
-        rows.join(known, strip("c0") == F.col("_name"))
+        marked.where(F.col("_name").isNotNull())
         .groupBy(F.col(sheet).alias("_s"), "_name").agg(F.max("row_no").alias("_final"))
     )
-    current = sections(rows, names, sheet, block_rows).join(
+    newest = F.struct("opened", "row_no")
+    codes = _sections(marked, sheet, block_rows).groupBy(sheet, "variable", "code").agg(
+        F.max_by("label", newest).alias("libelle"), F.max("opened").alias("_opened")
+    )
+    return codes.join(
         final,
         F.col(sheet).eqNullSafe(F.col("_s")) & (F.col("variable") == F.col("_name"))
-        & (F.col("opened") == F.col("_final")),
+        & (F.col("_opened") == F.col("_final")),
         "left_semi",
-    )
-    return current.groupBy(sheet, "variable", "code").agg(F.max_by("label", "row_no").alias("libelle"))
+    ).select(sheet, "variable", "code", "libelle")
 
 
 def build_dimensions(
     definition_rows: DataFrame, label_rows: DataFrame, sheet: str = "sheet"
 ) -> tuple[DataFrame, DataFrame]:
-    """Both dimension tables: variable definitions and code labels."""
-    variables = definitions(definition_rows, sheet)
-    return variables, latest_labels(label_rows, variables, sheet)
+    """Both dimension tables: variable definitions by name, and labels by variable and code.
+
+    Where several sheets define the same name or code, the last sheet in order wins, a null sheet
+    being the first.
+    """
+    defined = definitions(definition_rows, sheet)
+    labelled = latest_labels(label_rows, defined, sheet)
+    variables = defined.groupBy("name").agg(
+        F.max_by(F.struct("label", "category", "comment"), _sheet_order(sheet)).alias("d")
+    ).select("name", "d.*")
+    labels = labelled.groupBy("variable", "code").agg(
+        F.max_by("libelle", _sheet_order(sheet)).alias("libelle")
+    )
+    return variables, labels
+
+
+def _sheet_order(sheet: str) -> Column:
+    return F.struct(F.col(sheet).isNotNull(), F.col(sheet))

@@ -24,7 +24,7 @@ def with_labels(
     no broadcast hint. Spark broadcasts the labels when it has measured them to be small and
     otherwise joins by shuffle.
     """
-    wanted = checked_labels(labels.where(F.col("variable") == variable)).select(
+    wanted = checked_labels(labels).where(F.col("variable") == variable).select(
         F.col("code").alias("_code"), F.col("libelle").alias("_label")
     )
     fallback = F.lit(NO_LABEL) if default is None else default

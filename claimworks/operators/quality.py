@@ -113,19 +113,18 @@ def long_metrics(profiles: DataFrame, by: list[str], prefix: str, name: str) ->
     return renamed.unpivot(by, [c[len(prefix):] for c in family], name, "value")
 
 
-# Rows this narrow are no dearer to shuffle than their digests.
-NARROW = 4
-
-
-def row_digest(columns: Sequence[str]) -> Column:
+def row_digest(df: DataFrame) -> Column:
     """SHA-256 of a row; equal digests mean equal rows, nulls included.
 
     Each value is written with its length, and null as a sign no length starts with, so different
-    rows cannot give the same text.
+    rows cannot give the same text. Both zeros of floating numbers are one value, as in a group.
     """
     parts = []
-    for c in columns:
-        text = F.col(c).cast("string")
+    for c, kind in df.dtypes:
+        value = F.col(f"`{c}`")
+        if kind in ("double", "float"):
+            value = F.when(value == 0, F.lit(0).cast(kind)).otherwise(value)
+        text = value.cast("string")
         parts += [F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-"))]
     return F.unhex(F.sha2(F.concat(*parts), 256))
 
@@ -133,15 +132,12 @@ def row_digest(columns: Sequence[str]) -> Column:
 def duplicate_excess(df: DataFrame, by: str | None = None) -> DataFrame:
     """``(by, rows, exact_duplicate_excess)`` of whole groups, nulls equal; nothing is removed.
 
-    One scan. Wide rows travel as their digests, so the exchange carries 32 bytes a row instead of
-    all columns. Copies are counted on the map side first, so a row copied very often does not fill
-    one task.
+    One scan. Rows travel as their digests, so the exchange carries 32 bytes a row instead of all
+    columns. Copies are counted on the map side first, so a row copied very often does not fill one
+    task.
     """
     keys = [by] if by else []
-    if len(df.columns) <= NARROW:
-        groups = df.groupBy(*df.columns)
-    else:
-        groups = df.select(*keys, row_digest(df.columns).alias("_digest")).groupBy(*keys, "_digest")
+    groups = df.select(*keys, row_digest(df).alias("_digest")).groupBy(*keys, "_digest")
     counted = groups.agg(F.count(F.lit(1)).alias("_n"))
     return counted.groupBy(*keys).agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),

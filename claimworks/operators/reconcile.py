@@ -32,10 +32,12 @@ def counts_and_sums(df: DataFrame, by: str, amounts: dict[str, Column]) -> DataF
 def reconcile(left: DataFrame, right: DataFrame, by: str, metrics: list[str]) -> DataFrame:
     """``(by, metric, raw, curated, equal)`` of two wide summaries, nulls equal to nulls.
 
-    Groups found on one side only show up with the other side null.
+    Groups found on one side only show up with the other side null; a null group meets a null group.
     """
-    both = left.select(by, *[F.col(m).alias(f"l_{m}") for m in metrics]).join(
-        right.select(by, *[F.col(m).alias(f"r_{m}") for m in metrics]), by, "full_outer"
+    a = left.select(F.col(by).alias("_l"), *[F.col(m).alias(f"l_{m}") for m in metrics])
+    b = right.select(F.col(by).alias("_r"), *[F.col(m).alias(f"r_{m}") for m in metrics])
+    both = a.join(b, F.col("_l").eqNullSafe(F.col("_r")), "full_outer").withColumn(
+        by, F.coalesce("_l", "_r")
     )
     entries = F.array(
         *[

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimworks.functions import fr_number, total
+from claimworks.functions import total
 from claimworks.operators.aggregates import exact_median
 from claimworks.operators.labels import with_labels
 
@@ -27,7 +27,10 @@ def top_totals(
         top.withColumn("share", F.round(share, 2)), labels, variable, "code", "label",
         default=F.concat(F.lit("Code "), F.coalesce("code", F.lit(""))),
     )
-    return named.select("code", "total", "label", "share")
+    # A shuffle join returns the few rows in any order.
+    return named.select("code", "total", "label", "share").orderBy(
+        F.col("total").desc_nulls_last(), F.col("code").asc_nulls_last()
+    )
 
 
 def kpis(manifests: DataFrame, monthly: DataFrame, amount: str) -> DataFrame:
@@ -66,8 +69,3 @@ def bench_summary(measurements: DataFrame, mode: str = "mode", seconds: str = "s
         mode, F.col("median").alias("median_seconds"), F.col("min").alias("min_seconds"),
         F.col("max").alias("max_seconds"),
     )
-
-
-def display_amounts(df: DataFrame, column: str, name: str = "display", decimals: int = 2) -> DataFrame:
-    """Add an amount as it is shown to French readers."""
-    return df.withColumn(name, fr_number(F.col(column), decimals))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Types, code lists and column names of the source files.
 DEC, TOT = "DECIMAL(24,6)", "DECIMAL(38,6)"
 KNOWN = "('0','1','2','3','4','5','6','7','10','11','12','13')"
 MONEY = (
@@ -50,13 +51,13 @@ def claims(*columns: str, keep: str = "") -> str:
     needed = {_NEEDS.get(c) for c in columns}
     joins = ""
     if needed & {"orders", "customer"}:
-        joins += " JOIN orders ON o_orderkey = l_orderkey"
+        joins += " LEFT JOIN orders ON o_orderkey = l_orderkey"
     if "customer" in needed:
-        joins += " JOIN customer ON c_custkey = o_custkey"
+        joins += " LEFT JOIN customer ON c_custkey = o_custkey"
     if "supplier" in needed:
-        joins += " JOIN supplier ON s_suppkey = l_suppkey"
+        joins += " LEFT JOIN supplier ON s_suppkey = l_suppkey"
     if "part" in needed:
-        joins += " JOIN part ON p_partkey = l_partkey"
+        joins += " LEFT JOIN part ON p_partkey = l_partkey"
     items = [f"{_COLUMN[c]} AS {c}" for c in columns] + ([keep] if keep else [])
     return f"(SELECT {', '.join(items)} FROM lineitem{joins}) AS claims"
 

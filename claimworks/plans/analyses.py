@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from claimworks.operators.aggregates import ordered, totals
 from claimworks.operators.labels import with_labels
+from claimworks.sources.archives import CSV_TEXT
 from claimworks.sources.curated import read_curated, register_views
 from claimworks.sources.labels import read_labels
 
@@ -24,9 +25,6 @@ NEGATIVE_ROWS = "lignes_remboursement_negatif"
 SERVICE_LABEL = "libelle_prestation"
 # ---------------------------------------------------------------------------------------------
 
-# Results up to this length are written as one file.
-ONE_FILE_ROWS = 1_000_000
-
 
 @dataclass(frozen=True)
 class Breakdown:
@@ -119,7 +117,10 @@ def analyse(
     results = run_analyses(spark, root, months)
     if sql_folder:
         register_views(spark, root, months)
-        results |= run_sql_dir(spark, sql_folder)
+        own = run_sql_dir(spark, sql_folder)
+        if taken := sorted(set(own) & set(results)):
+            raise ValueError(f"SQL files named like standing analyses: {', '.join(taken)}")
+        results |= own
     write_results(results, f"{root.rstrip('/')}/reports/analyses")
     return results
 
@@ -127,17 +128,23 @@ def analyse(
 def write_results(results: dict[str, DataFrame], folder: str) -> None:
     """Each result as CSV in result order, and all of them as JSON rows by query.
 
-    A result is kept between its writes, so the table is read once for both. Short results become
-    a single file; longer ones stay in ordered parts and never go through a single task.
+    A result is kept between its writes, so the table is read once for both. Parts are in order, part
+    after part. ``listing`` names the results of this run with their folders, one JSON line each, so a
+    reader finds all of them and none of an earlier run.
     """
     for name, result in results.items():
         kept = result.persist()
-        rows = kept.coalesce(1) if kept.count() <= ONE_FILE_ROWS else kept
-        rows.write.mode("overwrite").options(header="true", nullValue="", emptyValue="").csv(
-            f"{folder}/{name}"
-        )
-        exact_json(rows).write.mode("overwrite").text(f"{folder}/results/query={name}")
-        kept.unpersist()
+        try:
+            kept.write.mode("overwrite").options(**CSV_TEXT).csv(f"{folder}/{name}")
+            exact_json(kept).write.mode("overwrite").text(f"{folder}/results/query={name}")
+        finally:
+            kept.unpersist()
+    if results:
+        session = next(iter(results.values())).sparkSession
+        names = [(name, name, f"results/query={name}") for name in results]
+        session.createDataFrame(names, "query string, csv string, json string").coalesce(1).write.mode(
+            "overwrite"
+        ).json(f"{folder}/listing")
 
 
 def exact_json(df: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """The sample tables seen as a claims table, so that every operator can run on them.
 
-One claims row is one order line. Codes come from the dimension tables; a binding joins only the
+One claims row is one order line, whichever columns are asked for. Codes come from the dimension tables; a binding joins only the
 tables that the asked columns need, and Catalyst prunes what is left. No side is forced to be
 broadcast: Spark does so for dimension files it knows to be small and joins by shuffle otherwise.
 """
@@ -72,16 +72,16 @@ def claims(
     rows = table(spark, folder, "lineitem")
     if needed & {"orders", "customer"}:
         orders = table(spark, folder, "orders")
-        rows = rows.join(orders, rows.l_orderkey == orders.o_orderkey)
+        rows = rows.join(orders, rows.l_orderkey == orders.o_orderkey, "left")
     if "customer" in needed:
         customer = table(spark, folder, "customer")
-        rows = rows.join(customer, F.col("o_custkey") == customer.c_custkey)
+        rows = rows.join(customer, F.col("o_custkey") == customer.c_custkey, "left")
     if "supplier" in needed:
         supplier = table(spark, folder, "supplier")
-        rows = rows.join(supplier, F.col("l_suppkey") == supplier.s_suppkey)
+        rows = rows.join(supplier, F.col("l_suppkey") == supplier.s_suppkey, "left")
     if "part" in needed:
         part = table(spark, folder, "part")
-        rows = rows.join(part, F.col("l_partkey") == part.p_partkey)
+        rows = rows.join(part, F.col("l_partkey") == part.p_partkey, "left")
     return rows.select(*[mapping[c][1].alias(c) for c in columns], *(keep or []))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from claimworks.operators.aggregates import count_and_sum, first_rows
 from claimworks.operators.report_tables import bench_summary
 from claimworks.plans.publish import ZSTD
-from claimworks.sources.archives import read_typed_csv
+from claimworks.sources.archives import CSV_TEXT, read_typed_csv
 from claimworks.sources.curated import PARTITION
 
 # The columns and the aggregate that are compared.
@@ -25,8 +25,9 @@ MEASUREMENTS = "mode string, repeat int, seconds double"
 def write_both(df: DataFrame, folder: str) -> dict[str, str]:
     """The same rows as CSV and as Parquet; returns the folder of each."""
     paths = {"csv": f"{folder}/sample_csv", "parquet": f"{folder}/sample_parquet"}
-    df.write.mode("overwrite").option("header", "true").csv(paths["csv"])
     df.write.mode("overwrite").options(**ZSTD).parquet(paths["parquet"])
+    written = df.sparkSession.read.schema(df.schema).parquet(paths["parquet"])
+    written.write.mode("overwrite").options(**CSV_TEXT).csv(paths["csv"])
     return paths
 
 
@@ -57,18 +58,20 @@ def format_equivalence(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def compare_formats(
-    spark: SparkSession, claims: DataFrame, folder: str, rows: int = 1_000_000, repeats: int = 3
+    spark: SparkSession, claims: DataFrame, folder: str, rows: int | None = None, repeats: int = 3
 ) -> tuple[DataFrame, DataFrame]:
-    """Sample, write both formats, check equality, then time each: ``(measurements, summary)``.
+    """Write both formats, check equality, then time each: ``(measurements, summary)``.
 
-    ``claims`` has the month partition column, which orders the sample. Each format is read once
-    before it is timed.
+    The whole table is compared, or the first ``rows`` rows where a sample is asked for; ``claims``
+    has the month partition column, which orders the sample. Each format is read once before it is
+    timed.
     """
-    if rows < 1 or repeats < 1:
+    if (rows is not None and rows < 1) or repeats < 1:
         raise ValueError("rows and repeats must be at least 1")
-    sample = first_rows(
-        claims.select(PARTITION, *COLUMNS), rows, PARTITION, F.xxhash64(*COLUMNS)
-    ).select(*COLUMNS)
+    sample = claims.select(PARTITION, *COLUMNS)
+    if rows is not None:
+        sample = first_rows(sample, rows, PARTITION, F.xxhash64(*COLUMNS))
+    sample = sample.select(*COLUMNS)
     paths = write_both(sample, folder)
     content = spark.read.parquet(paths["parquet"]).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col(VALUE).isNull()).alias("nulls")
@@ -95,7 +98,7 @@ def compare_formats(
 def write_summary(summary: DataFrame, folder: str) -> None:
     """The timing summary as CSV and as JSON."""
     rows = summary.orderBy("mode")
-    rows.write.mode("overwrite").option("header", "true").csv(f"{folder}/summary_csv")
+    rows.write.mode("overwrite").options(**CSV_TEXT).csv(f"{folder}/summary_csv")
     rows.write.mode("overwrite").json(f"{folder}/summary_json")
 
 

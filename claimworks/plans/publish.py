@@ -5,10 +5,10 @@ from __future__ import annotations
 import time
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.functions import valid_month
+from claimworks.functions import utc_now, valid_month
 from claimworks.operators.cleaning import DEFECTS, clean_with_defects
 from claimworks.operators.fixity import ACCEPTED, check_archives, fingerprints
 from claimworks.operators.quality import POLICY, duplicate_excess, gate, profile
@@ -266,7 +266,7 @@ def _publish_group(
                 F.lit(PIPELINE_VERSION).alias("pipeline_version"), "source_sha256", "parquet_sha256",
                 F.array(*[F.lit(c) for c in dict.fromkeys(columns)]).alias("source_columns"),
                 "rows", "csv_bytes", "gzip_bytes", "parquet_bytes",
-                F.lit(seconds).alias("transform_seconds"), _now().alias("completed_at"), PARTITION,
+                F.lit(seconds).alias("transform_seconds"), utc_now().alias("completed_at"), PARTITION,
             )
         )
         _write_monthly(manifests, manifests_path(root))
@@ -280,15 +280,11 @@ def quality_reports(judged: DataFrame) -> DataFrame:
     metrics = [c for c in judged.columns if c not in meta]
     pairs = [x for c in metrics for x in (F.lit(c), F.col(c).cast("string"))]
     return judged.select(
-        _now().alias("checked_at"), "status", "blocking_errors",
+        utc_now().alias("checked_at"), "status", "blocking_errors",
         F.create_map(*pairs).alias("metrics"), F.lit(POLICY).alias("policy"), PARTITION,
     )
 
 
-def _now() -> Column:
-    return F.date_format(F.to_utc_timestamp(F.now(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-
 def _overwrite_partitions(df: DataFrame):
     """A writer that replaces the months present in the data and no others."""
     return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.functions import total
+from claimworks.functions import total, utc_now
 from claimworks.operators.reconcile import counts_and_sums, raw_amount, reconcile, reconcile_tolerance
 from claimworks.schema import CLAIMS, TableSpec
-from claimworks.sources.archives import MONTH_IN_PATH, read_archives
+from claimworks.sources.archives import CSV_TEXT, MONTH_IN_PATH, read_archives
 from claimworks.sources.curated import PARTITION, read_curated
 from claimworks.sources.metadata import read_manifests
 
@@ -22,8 +22,8 @@ def verify_source(
 ) -> DataFrame:
     """Compare archives with published months: row counts and the exact sum of every amount.
 
-    Rows are also compared with the manifests. Returns ``(month, metric, raw, curated, equal)`` and
-    stores it beside the reports. Any difference raises before anything is stored.
+    Rows are also compared with the manifests. Returns ``(month, metric, raw, curated, equal,
+    checked_at, method)`` and stores it beside the reports. Any difference raises before anything is stored.
     """
     root = root.rstrip("/")
     raw = raw or f"{root}/data/raw"
@@ -40,13 +40,14 @@ def verify_source(
     right = counts_and_sums(
         read_curated(spark, root, months, keep_month=True), PARTITION, {c: F.col(c) for c in amounts}
     )
+    # One wide comparison, so that every archive is read once.
+    left = left.withColumn("manifest_rows", F.col("rows"))
     recorded = manifests.select(PARTITION, F.col("rows").alias("manifest_rows"))
-    result = reconcile(left, right, PARTITION, ["rows", *amounts]).unionByName(
-        reconcile(
-            left.select(PARTITION, F.col("rows").alias("manifest_rows")), recorded,
-            PARTITION, ["manifest_rows"],
-        )
-    )
+    right = right.join(recorded, PARTITION, "full_outer")
+    result = reconcile(left, right, PARTITION, ["rows", "manifest_rows", *amounts])
+    result = result.withColumns({
+        "checked_at": utc_now(), "method": F.lit("sums read from archive text against decimals"),
+    })
     verdict = f"{root}/data/staging/verification"
     result.write.mode("overwrite").parquet(verdict)
     result = spark.read.parquet(verdict)
@@ -69,14 +70,16 @@ def verify_regions(spark: SparkSession, root: str, stored: DataFrame, tolerance:
     tolerance. The recomputed totals are stored as text.
     """
     root = root.rstrip("/")
-    again = region_totals_as_text(read_curated(spark, root))
+    computed = f"{root}/data/staging/regions"
+    region_totals_as_text(read_curated(spark, root)).write.mode("overwrite").parquet(computed)
+    again = spark.read.parquet(computed)
     left = again.withColumn(REGION_VALUE, F.col(REGION_VALUE).cast("decimal(38,6)"))
     right = stored.withColumn(REGION_VALUE, F.col(REGION_VALUE).cast("decimal(38,6)"))
     compared = reconcile_tolerance(left, right, REGION_KEYS, REGION_VALUE, tolerance)
     wrong = compared.groupBy("verdict").count().where("verdict <> 'same'").collect()
     if wrong:
         raise AssertionError("; ".join(f"{r['count']} groups {r['verdict']}" for r in wrong))
-    again.orderBy(*REGION_KEYS).write.mode("overwrite").option("header", "true").csv(
+    again.orderBy(*REGION_KEYS).write.mode("overwrite").options(**CSV_TEXT).csv(
         f"{root}/reports/analyses/regions_recomputed"
     )
     return compared

@@ -10,6 +10,12 @@ from claimworks.schema import RESERVED_BLANK_NAME, StructureError
 from claimworks.sources.files import file_facts
 
 MALFORMED = "_malformed"
+# How this package writes comma-separated text: quotes are doubled, blanks kept, null is an empty cell
+# and an empty text a quoted one. Readers of such files use the same quoting.
+CSV_TEXT = {
+    "header": "true", "escape": '"', "nullValue": "", "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 MONTH_IN_PATH = r"(?:A|month=)([0-9]{6})(?:\.csv|/)"
 
 
@@ -92,6 +98,6 @@ def read_typed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Comma-separated file with a declared schema; anything that does not fit stops the job."""
     return (
         spark.read.schema(schema)
-        .options(header="true", mode="FAILFAST", escape='"', columnPruning="false")
+        .options(**CSV_TEXT, mode="FAILFAST", columnPruning="false")
         .csv(path)
     )

@@ -40,20 +40,19 @@ def labels_from_json(documents: DataFrame, column: str) -> DataFrame:
 
 
 def checked_labels(labels: DataFrame) -> DataFrame:
-    """The same labels, stopping the job when a key is null or given twice.
+    """The same labels, stopping the job when a key is null or given twice, for whichever variable.
 
-    Spark has no primary keys; a repeated key would multiply rows in a label join.
+    Spark has no primary keys; a repeated key would multiply rows in a label join. The key that comes
+    back holds the check, so a filter on a variable comes after it.
     """
     key = F.concat_ws("/", "variable", "code")
+    wrong = (F.col("n") > 1) | F.col("variable").isNull() | F.col("code").isNull()
+    stop = F.raise_error(F.concat(F.lit("label key is null or repeated: "), key))
     return (
         labels.groupBy("variable", "code")
         .agg(F.count(F.lit(1)).alias("n"), F.max("libelle").alias("libelle"))
         .select(
-            "variable",
-            F.when(
-                (F.col("n") > 1) | F.col("variable").isNull() | F.col("code").isNull(),
-                F.raise_error(F.concat(F.lit("label key is null or repeated: "), key)),
-            ).otherwise(F.col("code")).alias("code"),
-            "libelle",
+            F.when(wrong, stop).otherwise(F.col("variable")).alias("variable"),
+            "code", "libelle",
         )
     )

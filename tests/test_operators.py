@@ -210,8 +210,7 @@ def test_exact_median(spark, n):
     values = [round(rng.lognormvariate(0, 2), 3) for _ in range(n)]
     frame = spark.createDataFrame([("hot", v) for v in values] + [("one", 4.0), ("one", None)],
                                   "mode string, seconds double")
-    # The low accuracy sends all but the smallest groups through the bracket.
-    rows = {r["mode"]: r for r in aggregates.exact_median(frame, "mode", "seconds", 50).collect()}
+    rows = {r["mode"]: r for r in aggregates.exact_median(frame, "mode", "seconds").collect()}
     assert rows["hot"]["median"] == statistics.median(values)
     assert (rows["hot"]["min"], rows["hot"]["max"]) == (min(values), max(values))
     assert rows["one"]["median"] == 4.0
@@ -326,8 +325,6 @@ def test_top_totals(spark):
     }
     zero = report_tables.top_totals(groups.withColumn("v", F.col("v") * 0), labels, "R", "k", "v", 1)
     assert zero.first()["share"] == 0.0
-    shown = report_tables.display_amounts(groups.limit(1), "v").first()["display"]
-    assert shown == "8,00"
 
 
 # --- Session -----------------------------------------------------------------------------------
