@@ -18,14 +18,18 @@ def plain_path(column: str):
 def check_archives(facts: DataFrame, sidecars: DataFrame) -> DataFrame:
     """All archives and sidecars with a ``verdict``; the first broken rule is named.
 
-    A declared length of 0 or null is not checked, a declared digest always is.
+    A declared length of 0 or null is not checked, a declared digest always is. Sidecars may have a
+    ``sidecar_problem`` of their own.
     """
+    if "sidecar_problem" not in sidecars.columns:
+        sidecars = sidecars.withColumn("sidecar_problem", F.lit(None).cast("string"))
     found = facts.withColumn("_path", plain_path("path")).drop("path")
     declared = sidecars.withColumn("_path", plain_path("path")).drop("path")
     both = found.join(declared, "_path", "full_outer").withColumnRenamed("_path", "path")
     length = F.col("declared_bytes")
     verdict = (
         F.when(F.col("bytes").isNull(), "archive missing")
+        .when(F.col("sidecar_problem").isNotNull(), F.col("sidecar_problem"))
         .when(F.col("declared_sha256").isNull(), "sidecar missing")
         .when(F.col("bytes") == 0, "empty archive")
         .when(F.col("magic") != GZIP_MAGIC, "not gzip")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimworks.functions import total
+from claimworks.functions import quoted, total
 from claimworks.operators.cleaning import DEFECTS
 from claimworks.schema import (
     CLAIMS, KNOWN_REIMBURSEMENT_TYPES, LEGAL_PART_TYPES, TOTAL_TYPE, UNKNOWN_CODE, TableSpec,
@@ -42,7 +42,7 @@ def rule_counts(file_month: Column, spec: TableSpec = CLAIMS) -> dict[str, Colum
 
 
 def null_counts(columns: Sequence[str]) -> list[Column]:
-    return [F.count_if(F.col(c).isNull()).alias(f"{NULLS}{c}") for c in columns]
+    return [F.count_if(quoted(c).isNull()).alias(f"{NULLS}{c}") for c in columns]
 
 
 def checksums(columns: Sequence[str]) -> list[Column]:
@@ -109,7 +109,7 @@ def gate(profiles: DataFrame, spec: TableSpec = CLAIMS) -> DataFrame:
 def long_metrics(profiles: DataFrame, by: list[str], prefix: str, name: str) -> DataFrame:
     """Wide metrics of one family as ``(by…, name, value)`` rows."""
     family = [c for c in profiles.columns if c.startswith(prefix)]
-    renamed = profiles.select(*by, *[F.col(c).alias(c[len(prefix):]) for c in family])
+    renamed = profiles.select(*by, *[quoted(c).alias(c[len(prefix):]) for c in family])
     return renamed.unpivot(by, [c[len(prefix):] for c in family], name, "value")
 
 
@@ -121,7 +121,7 @@ def row_digest(df: DataFrame) -> Column:
     """
     parts = []
     for c, kind in df.dtypes:
-        value = F.col(f"`{c}`")
+        value = quoted(c)
         if kind in ("double", "float"):
             value = F.when(value == 0, F.lit(0).cast(kind)).otherwise(value)
         text = value.cast("string")

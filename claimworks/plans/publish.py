@@ -3,25 +3,28 @@
 from __future__ import annotations
 
 import time
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.functions import utc_now, valid_month
+from claimworks.functions import quoted, utc_now, valid_month
 from claimworks.operators.cleaning import DEFECTS, clean_with_defects
-from claimworks.operators.fixity import ACCEPTED, check_archives, fingerprints
+from claimworks.operators.fixity import ACCEPTED, check_archives, fingerprints, plain_path
 from claimworks.operators.quality import POLICY, duplicate_excess, gate, profile
 from claimworks.schema import CLAIMS, StructureError, TableSpec, check_required
 from claimworks.session import small_methods
 from claimworks.sources.archives import MONTH_IN_PATH, header_problem, read_delimited
-from claimworks.sources.curated import PARTITION, curated_path, record_schema
+from claimworks.sources.curated import (
+    PARTITION, SOUND, UNREADABLE, curated_path, current_runs, record_schema, remove_old_runs,
+)
 from claimworks.sources.files import file_facts
 from claimworks.sources.metadata import (
-    manifests_path, quality_path, read_manifests, read_sidecars,
+    manifests_path, quality_path, read_manifests, read_quality, read_sidecars,
 )
 
-PIPELINE_VERSION = "1"
+PIPELINE_VERSION = "2"
 ZSTD = {
     "compression": "zstd",
     "parquet.compression.codec.zstd.level": "3",
@@ -39,11 +42,14 @@ class PublishBlocked(ValueError):
         super().__init__("; ".join(f"{m}: {', '.join(r)}" for m, r in sorted(reasons.items())))
 
 
-def plan_months(sources: DataFrame, manifests: DataFrame, outputs: DataFrame) -> DataFrame:
+def plan_months(
+    sources: DataFrame, manifests: DataFrame, outputs: DataFrame, reports: DataFrame | None = None
+) -> DataFrame:
     """``(sources columns…, action)``: ``keep`` months whose source, version and output match.
 
     ``sources`` is ``(month, source_sha256, …)``, ``outputs`` ``(month, parquet_sha256)`` as found
-    on disk now. Anything else is ``publish``.
+    on disk now. With ``reports`` (month) a month is kept only if its report is there too. Anything
+    else is ``publish``.
     """
     kept = (
         manifests.where(F.col("pipeline_version") == PIPELINE_VERSION)
@@ -51,6 +57,8 @@ def plan_months(sources: DataFrame, manifests: DataFrame, outputs: DataFrame) ->
         .join(outputs, ["month", "parquet_sha256"])
         .select("month", "source_sha256", F.lit("keep").alias("_kept"))
     )
+    if reports is not None:
+        kept = kept.join(reports.select("month").distinct(), "month", "left_semi")
     return (
         sources.join(kept, ["month", "source_sha256"], "left")
         .withColumn("action", F.coalesce("_kept", F.lit("publish")))
@@ -58,12 +66,20 @@ def plan_months(sources: DataFrame, manifests: DataFrame, outputs: DataFrame) ->
     )
 
 
-def output_fingerprints(spark: SparkSession, root: str, months: list[str]) -> DataFrame:
-    """``(month, parquet_sha256, parquet_bytes)`` of the published files of some months."""
-    month = F.regexp_extract("path", rf"/{PARTITION}=([0-9]+)/[^/]+\z", 1)
+def output_fingerprints(spark: SparkSession, root: str, runs: dict[str, str]) -> DataFrame:
+    """``(month, parquet_sha256, parquet_bytes)`` of the files of months in their runs, as found now."""
+    at = rf"/run=([^/]+)/{PARTITION}=([0-9]+)/{UNREADABLE}={SOUND}/[^/]+\z"
+    wanted = spark.createDataFrame(list(runs.items()), f"{PARTITION} string, run string")
+
+    def named(files: DataFrame) -> DataFrame:
+        return files.withColumns({
+            "run": F.regexp_extract("path", at, 1), PARTITION: F.regexp_extract("path", at, 2),
+        })
+
     try:
         facts = file_facts(
-            spark, [f"{curated_path(root)}/{PARTITION}={m}" for m in months], "*.parquet", "digest"
+            spark, curated_path(root), "*.parquet", "digest",
+            keep=lambda files: named(files).join(wanted, ["run", PARTITION], "left_semi"),
         )
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error):
@@ -71,7 +87,7 @@ def output_fingerprints(spark: SparkSession, root: str, months: list[str]) -> Da
                 [], "month string, parquet_sha256 string, parquet_bytes long"
             )
         raise
-    return fingerprints(facts.withColumn(PARTITION, month), PARTITION).select(
+    return fingerprints(named(facts), PARTITION).select(
         PARTITION, F.col("fingerprint").alias("parquet_sha256"), F.col("bytes").alias("parquet_bytes")
     )
 
@@ -83,11 +99,12 @@ def stage(
     spec: TableSpec = CLAIMS,
     month_in_path: str = MONTH_IN_PATH,
 ) -> DataFrame:
-    """Read archives, clean them, write a candidate table partitioned by month and return it.
+    """Read archives, clean them, write a candidate table by month and soundness, and return it.
 
     ``archives`` lists ``(header, paths, lots)``. A gzip archive is one task. Its rows are dealt out
     right after the read, in as many lots as the archive is large, so parsing amounts and writing
-    run wide; one lot becomes one part file.
+    run wide; lots of a month that meet in one task share a part file. Rows with defects go to a
+    folder that names them, so the sound files can be published as they are.
     """
     frames = []
     for header, paths, lots in archives:
@@ -104,8 +121,12 @@ def stage(
         )
         frames.append(clean_with_defects(dealt, spec))
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    united.write.mode("overwrite").options(**ZSTD).partitionBy(PARTITION).parquet(path)
-    return spark.read.schema(united.schema).parquet(path)
+    parted = united.withColumn(
+        UNREADABLE, F.coalesce(F.array_join(DEFECTS, ","), F.lit(SOUND))
+    ).drop(DEFECTS)
+    parted.write.mode("overwrite").options(**ZSTD).partitionBy(PARTITION, UNREADABLE).parquet(path)
+    defects = F.when(F.col(UNREADABLE) != SOUND, F.split(UNREADABLE, ","))
+    return spark.read.schema(parted.schema).parquet(path).withColumn(DEFECTS, defects).drop(UNREADABLE)
 
 
 def publish_months(
@@ -134,20 +155,14 @@ def publish_months(
     if wrong:
         raise ValueError(f"not a supported month: {', '.join(r[0] for r in wrong)}")
 
+    remove_old_runs(spark, root)
     # Digests are dear, so the verdicts are written once and read back.
     glob = glob or f"A{{{','.join(months)}}}.csv.gz"
     declared = read_sidecars(spark, raw) if sidecars is None else sidecars
     staging = f"{root}/data/staging"
-    check_archives(
-        file_facts(spark, raw, glob).withColumn(
-            "_month", F.regexp_extract("path", month_in_path, 1)
-        ),
-        declared.where(F.col(PARTITION).isin(months)),
-    ).withColumn(PARTITION, F.coalesce("_month", PARTITION)).drop("_month").write.mode(
-        "overwrite"
-    ).parquet(f"{staging}/archives")
-    checks = requested.join(spark.read.parquet(f"{staging}/archives"), PARTITION, "left").withColumn(
-        "verdict", F.coalesce("verdict", F.lit("archive and sidecar missing"))
+    checks = _checked(
+        spark, f"{staging}/archives", requested, file_facts(spark, raw, glob, "digest"),
+        declared.where(F.col(PARTITION).isin(months)), month_in_path,
     )
     blocked = _reasons(checks.where(F.col("verdict") != ACCEPTED), "verdict")
 
@@ -155,12 +170,31 @@ def publish_months(
     sources = fingerprints(accepted, PARTITION).select(
         PARTITION, F.col("fingerprint").alias("source_sha256"), F.col("bytes").alias("gzip_bytes")
     )
+    record_schema(spark, root, spec.numeric)
     plan = plan_months(
         sources, read_manifests(spark, root),
-        output_fingerprints(spark, root, months).select(PARTITION, "parquet_sha256"),
+        output_fingerprints(spark, root, current_runs(spark, root, months)).select(
+            PARTITION, "parquet_sha256"
+        ),
+        read_quality(spark, root),
     ).collect()
     todo = [row[PARTITION] for row in plan if row["action"] == "publish"]
-    for archives, group in _by_layout(accepted.where(F.col(PARTITION).isin(todo))):
+    if todo:
+        # Only archives that will be published are decoded.
+        wanted = accepted.where(F.col(PARTITION).isin(todo)).select("path")
+        details = _checked(
+            spark, f"{staging}/details", requested.where(F.col(PARTITION).isin(todo)),
+            file_facts(
+                spark, raw, glob, "full",
+                keep=lambda files: files.join(wanted, plain_path(files["path"]) == wanted["path"], "left_semi"),
+            ),
+            declared.where(F.col(PARTITION).isin(todo)), month_in_path,
+        )
+        broken = _reasons(details.where(F.col("verdict") != ACCEPTED), "verdict")
+        blocked |= broken
+        accepted = details.where(~F.col(PARTITION).isin(list(broken)))
+        todo = [m for m in todo if m not in broken]
+    for archives, group in _by_layout(accepted) if todo else ():
         problem = _layout_problem(archives, spec)
         if problem:
             blocked |= {m: [problem] for m in group}
@@ -175,6 +209,21 @@ def publish_months(
     return read_manifests(spark, root).where(F.col(PARTITION).isin(months))
 
 
+def _checked(
+    spark: SparkSession, path: str, requested: DataFrame, facts: DataFrame, declared: DataFrame,
+    month_in_path: str,
+) -> DataFrame:
+    """Archives of the requested months with their verdicts, written once and read back."""
+    check_archives(
+        facts.withColumn("_month", F.regexp_extract("path", month_in_path, 1)), declared
+    ).withColumn(PARTITION, F.coalesce("_month", PARTITION)).drop("_month").write.mode(
+        "overwrite"
+    ).parquet(path)
+    return requested.join(spark.read.parquet(path), PARTITION, "left").withColumn(
+        "verdict", F.coalesce("verdict", F.lit("archive and sidecar missing"))
+    )
+
+
 def _reasons(df: DataFrame, column: str) -> dict[str, list[str]]:
     rows = df.groupBy(PARTITION).agg(F.sort_array(F.collect_set(column)).alias("r")).collect()
     return {row[PARTITION]: row["r"] for row in rows}
@@ -222,9 +271,9 @@ def _publish_group(
     sources: DataFrame, spec: TableSpec, month_in_path: str, audit_duplicates: bool,
 ) -> dict[str, list[str]]:
     """Stage, profile, gate and publish months of one layout; returns the blocked ones."""
-    staging = f"{root}/data/staging"
+    staging, run = f"{root}/data/staging", uuid.uuid4().hex
     started = time.monotonic()
-    candidate = stage(spark, archives, f"{staging}/candidate", spec, month_in_path)
+    candidate = stage(spark, archives, f"{curated_path(root)}/run={run}", spec, month_in_path)
     seconds = round(time.monotonic() - started, 3)
     data = [c for c in candidate.columns if c not in (PARTITION, DEFECTS)]
 
@@ -251,26 +300,25 @@ def _publish_group(
     if blocked:
         _write_monthly(reports.where("status = 'failed'"), quality_path(root, "failed"))
     if passed:
-        _overwrite_partitions(
-            candidate.where(F.col(PARTITION).isin(passed)).drop(DEFECTS)
-        ).options(**ZSTD).parquet(curated_path(root))
+        # The files lie in their run already; a month is published when its manifest names the run.
         _write_monthly(reports.where("status = 'passed'"), quality_path(root))
         columns = [c for header, _, _ in archives for c in header if c]
+        record_schema(spark, root, spec.numeric, list(dict.fromkeys(columns)))
         sizes = checks.groupBy(PARTITION).agg(F.sum("text_bytes").alias("csv_bytes"))
         manifests = (
             judged.where("status = 'passed'").select(PARTITION, "rows")
             .join(sources, PARTITION)
             .join(sizes, PARTITION)
-            .join(output_fingerprints(spark, root, passed), PARTITION)
+            .join(output_fingerprints(spark, root, dict.fromkeys(passed, run)), PARTITION)
             .select(
                 F.lit(PIPELINE_VERSION).alias("pipeline_version"), "source_sha256", "parquet_sha256",
                 F.array(*[F.lit(c) for c in dict.fromkeys(columns)]).alias("source_columns"),
                 "rows", "csv_bytes", "gzip_bytes", "parquet_bytes",
-                F.lit(seconds).alias("transform_seconds"), utc_now().alias("completed_at"), PARTITION,
+                F.lit(seconds).alias("transform_seconds"), utc_now().alias("completed_at"),
+                F.lit(run).alias("run"), PARTITION,
             )
         )
         _write_monthly(manifests, manifests_path(root))
-        record_schema(spark, root, spec.numeric)
     return blocked
 
 
@@ -278,7 +326,7 @@ def quality_reports(judged: DataFrame) -> DataFrame:
     """One report row per month; metrics as exact text by name."""
     meta = (PARTITION, "status", "blocking_errors", "defect_columns")
     metrics = [c for c in judged.columns if c not in meta]
-    pairs = [x for c in metrics for x in (F.lit(c), F.col(c).cast("string"))]
+    pairs = [x for c in metrics for x in (F.lit(c), quoted(c).cast("string"))]
     return judged.select(
         utc_now().alias("checked_at"), "status", "blocking_errors",
         F.create_map(*pairs).alias("metrics"), F.lit(POLICY).alias("policy"), PARTITION,

@@ -25,6 +25,8 @@ KNOWN_REIMBURSEMENT_TYPES = ("0", "1", "2", "3", "4", "5", "6", "7", "10", "11",
 LEGAL_PART_TYPES = ("0", "1")
 UNKNOWN_CODE = "99"
 RESERVED_BLANK_NAME = "__empty_column__"
+# Names the package gives to columns of its own; a source column called so is refused.
+RESERVED_NAMES = (RESERVED_BLANK_NAME, "_malformed", "_defects", "month", "run", "unreadable")
 FIRST_SUPPORTED_YEAR = 2015
 AMOUNT_TYPE = "decimal(24,6)"
 TOTAL_TYPE = "decimal(38,6)"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimworks.schema import RESERVED_BLANK_NAME, StructureError
+from claimworks.schema import RESERVED_BLANK_NAME, RESERVED_NAMES, StructureError
 from claimworks.sources.files import file_facts
 
 MALFORMED = "_malformed"
@@ -26,9 +26,9 @@ def header_problem(header: list[str] | None) -> str | None:
     """
     if not header:
         return "empty file"
-    if RESERVED_BLANK_NAME in header:
-        return f"reserved column name {RESERVED_BLANK_NAME}"
     folded = [name.lower() for name in header]
+    if taken := [name for name in folded if name in RESERVED_NAMES]:
+        return f"reserved column name {taken[0]}"
     if len(set(folded)) != len(folded):
         return "duplicate column names"
     return None

@@ -9,7 +9,7 @@ import hashlib
 import io
 import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -41,13 +41,15 @@ def file_facts(
     glob: str | None = None,
     depth: str = "full",
     delimiter: str = ";",
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row of facts per file, each file streamed in blocks by one task.
 
     ``binaryFile`` content would hold a whole file in memory and stops at 2 GB, so only the listing
     comes from it. Depths: ``digest`` hashes the bytes; ``full`` also reads gzip to its end, which
     checks the CRC and the encoding, counts the decoded bytes and yields the header cells; ``header`` stops after
-    the first line and gives no digest. A damaged file gives a ``problem``, not a failed job.
+    the first line and gives no digest. A damaged file gives a ``problem``, not a failed job. ``keep``
+    narrows the listing before any content is read.
     """
     if depth not in ("digest", "header", "full"):
         raise ValueError(f"unknown depth: {depth}")
@@ -58,7 +60,8 @@ def file_facts(
                 [_facts_of(p, n, depth, delimiter) for p, n in zip(batch["path"], batch["bytes"])]
             )
 
-    return list_files(spark, paths, glob).mapInPandas(scan, FACTS_SCHEMA)
+    listing = list_files(spark, paths, glob)
+    return (keep(listing) if keep else listing).select("path", "bytes").mapInPandas(scan, FACTS_SCHEMA)
 
 
 class _Digesting:
@@ -104,18 +107,20 @@ def _facts_of(path: str, size: int, depth: str, delimiter: str) -> dict:
         if depth != "digest":
             try:
                 text = gzip.GzipFile(fileobj=source) if path.endswith(".gz") else source
-                line, text_bytes = b"", 0
+                parts, text_bytes, open_line = [], 0, True
                 utf8 = codecs.getincrementaldecoder("utf-8")()
                 while block := text.read(BLOCK):
                     text_bytes += len(block)
                     utf8.decode(block)
-                    if b"\n" not in line:
-                        line += block
-                    if depth == "header" and b"\n" in line:
+                    if open_line:
+                        head, end, _ = block.partition(b"\n")
+                        parts.append(head)
+                        open_line = not end
+                    if depth == "header" and not open_line:
                         break
                 if depth == "full":
                     utf8.decode(b"", final=True)
-                header = _header_cells(line.split(b"\n", 1)[0], delimiter)
+                header = _header_cells(b"".join(parts), delimiter)
             except (OSError, EOFError, zlib.error) as error:
                 text_bytes, problem = None, f"unreadable archive: {error}"
             except UnicodeDecodeError:

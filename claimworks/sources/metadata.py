@@ -12,7 +12,7 @@ SIDECAR_SCHEMA = (
 MANIFEST_SCHEMA = (
     "pipeline_version string, source_sha256 string, parquet_sha256 string, "
     "source_columns array<string>, rows long, csv_bytes long, gzip_bytes long, "
-    "parquet_bytes long, transform_seconds double, completed_at string, month string"
+    "parquet_bytes long, transform_seconds double, completed_at string, run string, month string"
 )
 QUALITY_SCHEMA = (
     "checked_at string, status string, blocking_errors array<string>, "
@@ -32,17 +32,22 @@ def quality_path(root: str, status: str = "passed") -> str:
 def read_sidecars(spark: SparkSession, raw_folder: str) -> DataFrame:
     """Declared facts of each archive, one JSON document ``<archive>.json`` beside it.
 
-    The month comes from the archive name, so a sidecar needs no field but the digest.
+    The month comes from the archive name, so a sidecar needs no field but the digest. A document that
+    cannot be read has a ``sidecar_problem`` and stops nothing else.
     """
     documents = (
-        spark.read.schema(SIDECAR_SCHEMA)
-        .options(multiLine="true", pathGlobFilter="*.csv.gz.json", mode="FAILFAST")
+        spark.read.schema(f"{SIDECAR_SCHEMA}, _corrupt string")
+        .options(
+            multiLine="true", pathGlobFilter="*.csv.gz.json", mode="PERMISSIVE",
+            columnNameOfCorruptRecord="_corrupt",
+        )
         .json(raw_folder)
         .withColumn("path", F.regexp_replace(F.col("_metadata.file_path"), r"\.json\z", ""))
     )
     return documents.select(
         F.regexp_extract("path", r"A([0-9]{6})\.csv\.gz\z", 1).alias("month"),
         "path", F.col("bytes").alias("declared_bytes"), F.col("sha256").alias("declared_sha256"),
+        F.when(F.col("_corrupt").isNotNull(), "unreadable sidecar").alias("sidecar_problem"),
     )
 
 
