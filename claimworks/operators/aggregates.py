@@ -94,11 +94,11 @@ def _in_parts(df: DataFrame, *order: Column) -> DataFrame:
     Written to the scratch folder, because the borders of the parts are drawn anew by every run.
     """
     spark = df.sparkSession
-    keyed = df.select("*", F.struct(*order).alias("_order"), F.monotonically_increasing_id().alias("_id"))
-    dealt = keyed.repartitionByRange("_order", "_id").withColumn("_part", F.spark_partition_id())
-    at = F.row_number().over(Window.partitionBy("_part").orderBy("_order", "_id"))
+    keyed = df.withColumn("_id", F.monotonically_increasing_id())
+    dealt = keyed.repartitionByRange(*order, "_id").withColumn("_part", F.spark_partition_id())
+    at = F.row_number().over(Window.partitionBy("_part").orderBy(*order, "_id"))
     path = scratch_dir(spark, "parts")
-    dealt.withColumn("_at", at).drop("_order", "_id").write.parquet(path)
+    dealt.withColumn("_at", at).drop("_id").write.parquet(path)
     return spark.read.parquet(path)
 
 
