@@ -13,6 +13,7 @@ a landmark travel as one piece of text, once per group of documents and distinct
 
 from __future__ import annotations
 
+import itertools
 import sys
 
 import numpy as np
@@ -29,6 +30,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 U64 = np.uint64
 PLACE = 28  # bits for a place in a group of documents
+CHUNK = 1 << 20  # bytes of pieces sorted at a time
 RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
 _ARROW = pa.schema([
     ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
@@ -38,7 +40,7 @@ _ARROW = pa.schema([
 
 
 def drop_repeated_bytes(
-    docs: DataFrame, length: int = 200, group_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20
+    docs: DataFrame, length: int = 200, group_bytes: int = 2 << 20, bucket_bytes: int = 16 << 20
 ) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): bytes, removed bytes, removed runs and the kept bytes.
 
@@ -102,7 +104,7 @@ class _Group:
         last[:-1] &= ~whole[1:] | (at[1:] != at[:-1])
         self.low, self.high = np.flatnonzero(new), np.flatnonzero(last)
         self.mark = at[self.low]
-        self.key = hashes[self.mark]
+        self.key = A.mix(hashes[self.mark])  # the smallest hashes, spread again over all buckets
 
     def keys(self):
         return np.unique(self.key, return_inverse=True, return_counts=True)
@@ -140,7 +142,7 @@ class _Pieces:
         key, left = group.key[shared], group.mark[shared] - self.low
         size = self.high - self.low + length
         one = A.mix(group.spans.at(self.low, size))
-        two = A.mix(A.Spans(A.byte_values(11)[group.data], A.BASE ^ 0x5A5A0).at(self.low, size))
+        two = A.mix(A.Spans(A.byte_values(11)[group.data]).at(self.low, size))
         order = np.lexsort((left, size, two, one, key))
         new = np.ones(len(order), bool)
         if len(order):
@@ -183,16 +185,41 @@ def _open(body: bytes):
 
 
 def _repeats(bodies, length):
-    """For each piece sent: which of its suffixes agree on ``length`` bytes with another's?"""
+    """For each piece sent: which of its suffixes agree on ``length`` bytes with another's?
+
+    Pieces are worked on in ranges of landmarks, each with about ``CHUNK`` bytes of text.
+    """
     opened = [_open(b) for b in bodies]
     key = np.concatenate([k for k, _, _ in opened])
     left, width, count = np.concatenate([h for _, h, _ in opened], axis=1)
     text = np.concatenate([t for _, _, t in opened])
+    sizes = [int(h[1].sum()) for _, h, _ in opened]
+    del opened
+    size = width + length - 1
+    start = np.cumsum(size) - size
+    flags_at = np.cumsum(width) - width
+    flags = np.zeros(int(width.sum()), bool)
+    order = np.argsort(key, kind="stable")
+    sorted_key = key[order]
+    edge = np.flatnonzero(np.concatenate(([True], sorted_key[1:] != sorted_key[:-1])))
+    before = np.cumsum(size[order]) - size[order]
+    cut = edge[np.unique(before[edge] // CHUNK, return_index=True)[1]]
+    for low, high in itertools.pairwise([*cut.tolist(), len(order)]):
+        own = order[low:high]
+        part = text[_gather(start[own], size[own])]
+        flags[_gather(flags_at[own], width[own])] = _sorted_repeats(
+            part, key[own], left[own], width[own], count[own], length
+        )
+    return split(flags, sizes)
+
+
+def _sorted_repeats(text, key, left, width, count, length) -> np.ndarray:
+    """Flags of all suffixes of some landmarks' pieces, which lie in ``text`` one after another."""
     size = width + length - 1
     start = np.cumsum(size) - size
+    two = A.mix(A.Spans(A.byte_values(11)[text]).at(start, size))
     spans = A.Spans(A.byte_values(5)[text])
     one = A.mix(spans.at(start, size))
-    two = A.mix(A.Spans(A.byte_values(11)[text], A.BASE ^ 0x5A5A0).at(start, size))
     order = np.lexsort((two, one, width, left, key))
     new = np.zeros(len(order), bool)
     new[:1] = True
@@ -208,7 +235,7 @@ def _repeats(bodies, length):
     flags = np.repeat(copies, width[lead])
 
     # Suffixes of landmarks with several distinct pieces, laid out by landmark and distance.
-    groups, which, n = np.unique(key[lead], return_inverse=True, return_counts=True)
+    _, which, n = np.unique(key[lead], return_inverse=True, return_counts=True)
     several = np.flatnonzero(n[which] > 1)
     w = width[lead][several]
     step = _gather(np.zeros(len(w), np.int64), w)
@@ -218,21 +245,20 @@ def _repeats(bodies, length):
     cell = which[piece] * far + left[lead][piece] - step
     order = np.argsort(cell, kind="stable")
     cell, place, slot = cell[order], place[order], (flags_at[piece] + step)[order]
-    edge = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else np.zeros(0, np.int64)
+    edge = np.flatnonzero(np.concatenate((np.ones(min(1, len(cell)), bool), cell[1:] != cell[:-1])))
     sizes = np.diff(np.append(edge, len(cell)))
     full = np.repeat(sizes > 1, sizes)
     place, slot, sizes = place[full], slot[full], sizes[sizes > 1]
     if len(place):
         first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        sorted_at = sort_suffixes(text, spans, place, first, np.repeat(sizes, sizes), length)
-        place, slot = place[sorted_at], slot[sorted_at]
+        in_order = sort_suffixes(text, spans, place, first, np.repeat(sizes, sizes), length)
+        place, slot = place[in_order], slot[in_order]
         same = np.flatnonzero(first[1:] == first[:-1])
         same = same[common(spans, place[same], place[same + 1], length) >= length]
         same = same[_equal(text, place[same], place[same + 1], length)]
         flags[slot[same]] = True
         flags[slot[same + 1]] = True
-    sent = flags[_gather(flags_at[back], width)]
-    return split(sent, [int(h[1].sum()) for _, h, _ in opened])
+    return flags[_gather(flags_at[back], width)]
 
 
 def common(spans: A.Spans, x: np.ndarray, y: np.ndarray, limit: int) -> np.ndarray:
