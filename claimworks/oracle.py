@@ -354,6 +354,43 @@ SELECT {_LATER} AS FLX_ANN_MOI, count(*) AS "rows", count(PRS_ACT_NBR) AS act_ro
        {", ".join(total(c, c) for c in MONEY)}
 FROM {claims(*REQUIRED)} GROUP BY 1"""
 
+ORACLE["quality_reports"] = f"""
+SELECT {_LATER} AS month, 'passed' AS status, 0 AS errors, CAST(count(*) AS VARCHAR) AS "rows",
+       CAST(count(*) FILTER (WHERE FLT_REM_MNT < 0) AS VARCHAR) AS negative_reimbursement_rows,
+       CAST(count(*) FILTER (WHERE PRS_ACT_NBR IS NULL) AS VARCHAR) AS missing_act_count_rows,
+       CAST(CAST(sum(FLT_REM_MNT) AS {TOT}) AS VARCHAR) AS sum__FLT_REM_MNT
+FROM {claims("FLX_ANN_MOI", "FLT_REM_MNT", "PRS_ACT_NBR")} GROUP BY 1"""
+_LATER_MONTH = "CAST(CAST(month AS INTEGER) + 2500 AS VARCHAR)"
+ORACLE["failed_reports"] = f"""
+SELECT {_LATER_MONTH} AS month, blocking_errors FROM ({ORACLE["gate_status"]}) WHERE status = 'failed'"""
+ORACLE["stored_manifests"] = f"""
+SELECT {_LATER_MONTH} AS month, "rows", "rows" AS reported, {len(REQUIRED)} AS source_columns
+FROM ({ORACLE["gate_status"]}) WHERE status = 'passed'"""
+ORACLE["source_verification"] = f"""
+WITH c AS (SELECT * FROM {claims("FLX_ANN_MOI", *MONEY)}),
+s AS (SELECT {_LATER} AS month, 'rows' AS metric, CAST(count(*) AS {TOT}) AS raw FROM c GROUP BY 1
+  UNION ALL SELECT {_LATER}, 'manifest_rows', CAST(count(*) AS {TOT}) FROM c GROUP BY 1
+  {" ".join(f"UNION ALL SELECT {_LATER}, '{m}', CAST(sum({m}) AS {TOT}) FROM c GROUP BY 1" for m in MONEY)})
+SELECT month, metric, raw, raw AS curated, true AS equal FROM s"""
+ORACLE["region_verification"] = f"""
+SELECT {_LATER} AS mois_traitement, BEN_RES_REG AS code_region_residence,
+       CAST(CAST(sum(FLT_REM_MNT) AS {TOT}) AS VARCHAR) AS remboursement_part_legale_eur
+FROM {claims("FLX_ANN_MOI", "BEN_RES_REG", "FLT_REM_MNT")} GROUP BY 1, 2"""
+_GROUPS = {
+    "01_monthly": [], "02_regions": ["BEN_RES_REG"], "03_prestations": ["PRS_NAT"], "04_age": ["AGE_BEN_SNDS"],
+    "05_care_period": ["SOI_ANN", "SOI_MOI"], "06_scope": ["TOP_PS5_TRG"], "07_prestations_labels": ["PRS_NAT"],
+}
+ORACLE["analyses_written"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS query, count(*) AS "rows" FROM (SELECT DISTINCT {", ".join(["FLX_ANN_MOI", *by])}
+    FROM {claims("FLX_ANN_MOI", *by)})""" for name, by in _GROUPS.items()
+)
+ORACLE["report_kpis"] = f"""
+SELECT CAST(sum(n) AS BIGINT) AS "rows", string_agg(month, ', ' ORDER BY month) AS months, {total("a", "amount")}
+FROM (SELECT {_LATER} AS month, count(*) AS n, sum(FLT_REM_MNT) AS a
+      FROM {claims("FLX_ANN_MOI", "FLT_REM_MNT")} GROUP BY 1)"""
+ORACLE["dimension_build"] = f"""
+SELECT variable, code, arg_max(libelle, sheet) AS libelle FROM ({ORACLE["dictionary_latest"]}) GROUP BY ALL"""
+
 # --- Catalogue -----------------------------------------------------------------------------------
 _LINKS = "regexp_extract_all(html, 'href=[\"'']([^\"'']+)', 1)"
 ORACLE["href_links"] = f"""

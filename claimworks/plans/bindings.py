@@ -85,7 +85,9 @@ def claims(
     return rows.select(*[mapping[c][1].alias(c) for c in columns], *(keep or []))
 
 
-def revision(spark: SparkSession, folder: str, columns: list[str] | None = None) -> DataFrame:
+def revision(
+    spark: SparkSession, folder: str, columns: list[str] | None = None, keep: list[str] | None = None
+) -> DataFrame:
     """The claims table with a ``month`` of its file and some damage for the gate to find.
 
     A few orders lose their month, have a type nobody knows, or miss the reimbursement.
@@ -100,7 +102,7 @@ def revision(spark: SparkSession, folder: str, columns: list[str] | None = None)
     return (
         rows.withColumns({c: e for c, e in damage.items() if c in rows.columns})
         .withColumn("month", month_key("l_shipdate"))
-        .drop("l_orderkey", "l_shipdate")
+        .drop(*({"l_orderkey", "l_shipdate"} - set(keep or [])))
     )
 
 

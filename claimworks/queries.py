@@ -14,15 +14,19 @@ from claimworks.operators import aggregates, catalogue, dictionary, quality, rec
 from claimworks.operators.cleaning import DEFECTS, clean, clean_with_defects
 from claimworks.operators.fixity import check_archives
 from claimworks.plans import formats
-from claimworks.plans.analyses import ANALYSES, exact_json, run_sql_dir, write_results
+from claimworks.plans.analyses import ANALYSES, analyse, exact_json, run_sql_dir, write_results
 from claimworks.plans.bindings import as_text, claims, labels, revision, table
-from claimworks.plans.publish import PIPELINE_VERSION, plan_months, publish_months
-from claimworks.plans.verify import region_totals_as_text
+from claimworks.plans.dimensions import write_dimensions
+from claimworks.plans.publish import PIPELINE_VERSION, PublishBlocked, plan_months, publish_months
+from claimworks.plans.report import report_tables as report_tables_of
+from claimworks.plans.verify import region_totals_as_text, verify_regions, verify_source
 from claimworks.schema import AMOUNT_TYPE, CLAIMS, MONEY, TOTAL_TYPE, TableSpec
 from claimworks.session import scratch_dir
+from claimworks.sources.archives import CSV_TEXT
 from claimworks.sources.curated import PARTITION, read_curated
 from claimworks.sources.files import file_facts
-from claimworks.sources.labels import labels_from_json
+from claimworks.sources.labels import labels_from_json, read_labels
+from claimworks.sources.metadata import read_manifests, read_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -392,20 +396,22 @@ def result_json(spark, folder):
     return exact_json(_analysis("04_age")(spark, folder)).withColumnRenamed("value", "document")
 
 
-def _raw_files(spark, folder) -> str:
+def _raw_files(spark, folder, damaged: bool = False) -> str:
     """The claims as monthly gzip archives with a trailing separator; returns their folder.
 
     The sample is older than the first supported year, so its months are moved.
     The rebalance hint lets Spark split a month that holds most rows over several archives.
     """
     out = scratch_dir(spark, "raw")
-    rows = claims(spark, folder, keep=["l_orderkey"])
-    later = (F.col("FLX_ANN_MOI").cast("int") + YEARS_LATER * 100).cast("string")
+    if damaged:
+        rows = revision(spark, folder, keep=["l_orderkey"])
+    else:
+        rows = claims(spark, folder, keep=["l_orderkey"]).withColumn("month", F.col("FLX_ANN_MOI"))
+    later = lambda c: (F.col(c).cast("int") + YEARS_LATER * 100).cast("string")
     text = as_text(rows, list(CLAIMS.numeric), F.col("l_orderkey") % 4).drop("l_orderkey")
     (
-        text.withColumn("FLX_ANN_MOI", later)
-        .select("*", F.lit(None).cast("string").alias(""))
-        .withColumn(PARTITION, F.col("FLX_ANN_MOI"))
+        text.withColumns({"FLX_ANN_MOI": later("FLX_ANN_MOI"), PARTITION: later("month")})
+        .select(*[c for c in text.columns if c != PARTITION], F.lit(None).cast("string").alias(""), PARTITION)
         .hint("rebalance", PARTITION)
         .write.partitionBy(PARTITION)
         .options(sep=";", header="true", compression="gzip", emptyValue="", nullValue="")
@@ -467,18 +473,119 @@ def publish_plan(spark, folder):
     return plan_months(state(rows), manifests, found).select("month", "action")
 
 
+MONTH_FOLDER = r"month=([0-9]{6})/"
+_ROOTS: dict[tuple[str, str, str], tuple[str, str]] = {}
+
+
+def _published(spark, folder, kind: str = "sound") -> tuple[str, str]:
+    """``(root, raw)`` of the claims after publication; one publication serves all queries of a session.
+
+    The damaged kind has the claims of a bad revision, so some months are blocked.
+    """
+    key = (spark.sparkContext.applicationId, folder, kind)
+    if key not in _ROOTS:
+        raw = _raw_files(spark, folder, damaged=kind == "damaged")
+        root = scratch_dir(spark, "publish")
+        declared = _declared(file_facts(spark, raw, "*.csv.gz", "digest"))
+        months = [row["month"] for row in declared.select("month").distinct().collect()]
+        try:
+            publish_months(
+                spark, root, sorted(months), raw=raw, sidecars=declared, glob="*.csv.gz",
+                month_in_path=MONTH_FOLDER,
+            )
+        except PublishBlocked:
+            if kind == "sound":
+                raise
+        _ROOTS[key] = root, raw
+    return _ROOTS[key]
+
+
+@query
+def quality_reports(spark, folder):
+    """Some metrics of the stored reports of all published months."""
+    root, _ = _published(spark, folder)
+    metric = lambda name: F.col("metrics")[name].alias(name)
+    return read_quality(spark, root).select(
+        "month", "status", F.size("blocking_errors").alias("errors"), metric("rows"),
+        metric("negative_reimbursement_rows"), metric("missing_act_count_rows"), metric("sum__FLT_REM_MNT"),
+    )
+
+
+@query
+def failed_reports(spark, folder):
+    """The reports that a bad revision leaves for its blocked months."""
+    root, _ = _published(spark, folder, "damaged")
+    return read_quality(spark, root, "failed").select(
+        "month", F.array_join("blocking_errors", "; ").alias("blocking_errors")
+    )
+
+
+@query
+def stored_manifests(spark, folder):
+    """Manifests beside their reports, for the months that a bad revision did not block."""
+    root, _ = _published(spark, folder, "damaged")
+    reports = read_quality(spark, root).select("month", F.col("metrics")["rows"].cast("long").alias("reported"))
+    return read_manifests(spark, root).join(reports, "month", "left").select(
+        "month", "rows", "reported", F.size("source_columns").alias("source_columns")
+    )
+
+
+@query
+def source_verification(spark, folder):
+    """Archive text added up again against the published months; what the job stored."""
+    root, raw = _published(spark, folder)
+    verify_source(
+        spark, root, raw=raw, month_in_path=MONTH_FOLDER, archive_glob="month={month}/*.csv.gz"
+    )
+    stored = spark.read.json(f"{root}/reports/source_verification")
+    return stored.select(
+        "month", "metric", *[F.col(c).cast(TOTAL_TYPE).alias(c) for c in ("raw", "curated")], "equal"
+    )
+
+
+@query
+def region_verification(spark, folder):
+    """Region totals computed again from the published months; the totals that the job stored."""
+    root, _ = _published(spark, folder)
+    later = (F.col("mois_traitement").cast("int") + YEARS_LATER * 100).cast("string")
+    verify_regions(spark, root, region_text_totals(spark, folder).withColumn("mois_traitement", later))
+    schema = f"mois_traitement string, code_region_residence string, {AMOUNT} string"
+    return spark.read.schema(schema).options(**CSV_TEXT).csv(f"{root}/reports/analyses/regions_recomputed")
+
+
+@query
+def analyses_written(spark, folder):
+    """How many rows each stored analysis has, by its listing."""
+    root, _ = _published(spark, folder)
+    analyse(spark, root)
+    stored = f"{root}/reports/analyses"
+    rows = spark.read.option("basePath", f"{stored}/results").text(f"{stored}/results")
+    counted = rows.groupBy(F.col("query").cast("string").alias("query")).agg(F.count(F.lit(1)).alias("rows"))
+    return spark.read.json(f"{stored}/listing").select("query").join(counted, "query", "left")
+
+
+@query
+def report_kpis(spark, folder):
+    root, _ = _published(spark, folder)
+    return report_tables_of(spark, root)["kpis"].select("rows", "months", "amount")
+
+
+@query
+def dimension_build(spark, folder):
+    """Labels stored from sheets that share codes: the last sheet wins."""
+    root = scratch_dir(spark, "dimensions")
+    names = _section_names(spark, folder).select(
+        F.lit(0).alias("sheet"), (F.lit(5) + F.monotonically_increasing_id()).alias("row_no"),
+        F.col("name").alias("c0"), *[F.lit(None).cast("string").alias(c) for c in ("c1", "c2", "c3")],
+    )
+    write_dimensions(names, _sheet(spark, folder), root)
+    return read_labels(spark, f"{root}/references")
+
+
 @query
 def publish_roundtrip(spark, folder):
     """Archives in, published partitions out: one row per month."""
-    raw = _raw_files(spark, folder)
-    root = scratch_dir(spark, "publish")
-    facts = file_facts(spark, raw, "*.csv.gz", "digest")
-    declared = _declared(facts)
-    months = [row["month"] for row in declared.select("month").distinct().collect()]
-    publish_months(
-        spark, root, sorted(months), raw=raw, sidecars=declared, glob="*.csv.gz",
-        month_in_path=r"month=([0-9]{6})/",
-    )
+    root, _ = _published(spark, folder)
     return read_curated(spark, root).groupBy("FLX_ANN_MOI").agg(
         F.count(F.lit(1)).alias("rows"), F.count("PRS_ACT_NBR").alias("act_rows"),
         *[total(c).alias(c) for c in MONEY],
