@@ -1,8 +1,8 @@
 """Web archive records in ZIP packages: writing, and reading by ranges without extraction.
 
-A package holds ``archive/data.warc``, the records one after another, and ``indexes/index.cdxj``, one
-line per record with its place in that member. Both are stored, not compressed, so a record is a byte
-range of the package. The reader takes the directory from the package's end, with its ZIP64 form, finds
+A package holds ``archive/data.warc.gz``, the records one after another, each a gzip member of its own,
+and ``indexes/index.cdxj``, one line per record with its place in that member. Both members are stored
+in the package without further compression, so a record is a byte range of the package. The reader takes the directory from the package's end, with its ZIP64 form, finds
 the members' data behind their local headers, and reads ranges.
 
 Paths go through ``pyarrow.fs``, so packages may lie in any store it knows; the folder must be one that
@@ -12,6 +12,7 @@ all executors reach.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import json
@@ -31,8 +32,9 @@ from claimworks.session import scratch_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-DATA, INDEX = "archive/data.warc", "indexes/index.cdxj"
-PACKAGE = 64 << 20  # bytes of payload in a package, about
+DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+PACKAGE = 64 << 20  # bytes of records in a package, about, before they are compressed
+LEVEL = 6
 # Fixed values of the ZIP format: signatures, and the sizes that say "see ZIP64".
 END, END64, LOCATOR64, ENTRY, LOCAL = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
 MAX16, MAX32, EXTRA64, STORED = 0xFFFF, 0xFFFFFFFF, 0x0001, 0
@@ -135,6 +137,7 @@ class Package:
         self.member = self.zip.open(_entry(DATA), "w", force_zip64=True)
 
     def add(self, url, raw: bytes) -> None:
+        raw = gzip.compress(raw, LEVEL, mtime=0)
         self.member.write(raw)
         line = {"url": url, "offset": self.offset, "length": len(raw)}
         self.lines.append(json.dumps(line) + "\n")
@@ -164,7 +167,7 @@ def directory(file, size: int) -> dict[str, tuple[int, int]]:
     file.seek(tail_at)
     tail = file.read(size - tail_at)
     at = tail.rfind(END)
-    while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
+    while at >= 0 and not _closes(tail, at):
         at = tail.rfind(END, 0, at)
     if at < 0:
         raise ValueError("no end of a ZIP directory")
@@ -198,6 +201,11 @@ def directory(file, size: int) -> dict[str, tuple[int, int]]:
     return {name: (_data_place(file, local), n) for name, (local, n) in members.items()}
 
 
+def _closes(tail: bytes, at: int) -> bool:
+    """Does an end record at this place, with its comment, reach the end of the package?"""
+    return at + 22 <= len(tail) and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] == len(tail)
+
+
 def _wide(extra: bytes, *values: int) -> list[int]:
     """Sizes and place of a directory entry, from the ZIP64 extra field where they are at the limit."""
     at, wide = 0, b""
@@ -302,13 +310,17 @@ def read_packages(paths: DataFrame, batch_bytes: int = 4 << 20) -> DataFrame:
                 store, at = place(path)
                 with store.open_input_file(at) as file:
                     file.seek(start)
-                    rows = [parse(file.read(n)) for n in lengths]
+                    rows = [parse(gzip.decompress(file.read(n))) for n in lengths]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), _ARROW, strict=True)], schema=_ARROW
                 )
 
-    found = paths.select("path").mapInArrow(ranges, "path string, start long, lengths array<long>")
-    return found.hint("rebalance").mapInArrow(records, RECORDS)
+    # A path or a range is a few bytes that stand for many: deal them out by number, not by size.
+    tasks = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = paths.select("path").repartition(tasks).mapInArrow(
+        ranges, "path string, start long, lengths array<long>"
+    )
+    return found.repartition(tasks).mapInArrow(records, RECORDS)
 
 
 def _parts(lines: list[dict], batch_bytes: int):
