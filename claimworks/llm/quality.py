@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from claimworks.llm import arrays as A
-from claimworks.llm.tables import stored
+from claimworks.llm.tables import small_batches, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SLICE = 2 << 20  # bytes of text worked on at a time
+SLICE = 1 << 20  # bytes of text worked on at a time
 SYMBOLS = 128
 BLOCK = 64  # bytes that are scored by one language
 BIN = 0.001  # width of a step of log perplexity in the statistics of a language
@@ -129,7 +129,12 @@ def _added(counts):
 
 
 class KneserNey:
-    """Modified Kneser-Ney probabilities of one language's trigrams."""
+    """Modified Kneser-Ney probabilities of one language's trigrams.
+
+    The texts that are scored are those that were counted. A trigram that stands once in the corpus
+    stands in the scored text itself, so it is scored as one never seen, by backing off; else a text
+    unlike all others would look certain to itself.
+    """
 
     def __init__(self, codes: np.ndarray, counts: np.ndarray):
         lower, kinds = np.unique(codes & 0x3FFF, return_counts=True)  # distinct symbols before a pair
@@ -143,8 +148,10 @@ class KneserNey:
         at = np.searchsorted(lower, codes & 0x3FFF)
         three, back3 = _smoothed(codes, counts, codes >> 7, two[at])
         self.unigram = np.log(base).astype(np.float32)
+        often = counts > 1
+        known = np.isin(back3[0], codes[often] >> 7)
         self.keys, self.values = self._sorted(
-            (3, codes, three), (2, lower, two), (13, *back3), (12, *back2)
+            (3, codes[often], three[often]), (2, lower, two), (13, back3[0][known], back3[1][known]), (12, *back2)
         )
 
     @staticmethod
@@ -209,7 +216,8 @@ def _smoothed(codes, counts, context, below):
 
 def fit(docs: DataFrame, languages: tuple[str, ...]) -> list[KneserNey]:
     """One model per language and one for all other and unnamed languages, from all documents."""
-    table = count_grams(docs, languages).toArrow()
+    with small_batches(docs.sparkSession):
+        table = count_grams(docs, languages).toArrow()
     codes, n = table.column("gram").to_numpy(), table.column("n").to_numpy()
     order = np.argsort(codes)
     codes, n = codes[order], n[order]

@@ -29,27 +29,33 @@ SLICE = 1 << 20  # bytes of text worked on at a time
 BITS = 64
 
 
-def fingerprints(docs: DataFrame, keep: list[str], shingle: int = 3, seed: int = 42) -> DataFrame:
-    """The columns ``keep`` of ``docs`` and ``fp``, the SimHash of ``text``'s words, as a signed long.
+def fingerprints(
+    docs: DataFrame, keep: list[str], shingle: int = 3, seed: int = 42, name: str = "fp"
+) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and ``name``, the SimHash of ``text``'s words, as a signed long.
 
     A-Z are lowered; words are what stands between blanks. Each shingle of ``shingle`` words, repeats
     included, votes with its XXH64; a bit is set when more than half of the votes have it. A text of
     fewer words is one shingle; one without words, or null, has the fingerprint zero.
     """
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("__text"))
+    kept = [F.col(f"`{c}`") for c in keep]
+    rows = docs.select(*kept, *([] if "text" in keep else ["text"]))
+    place = rows.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            data, offsets = A.texts(batch.column(len(keep)))
+            data, offsets = A.texts(batch.column(place))
             data = A.lower_ascii(data)
             out = np.zeros(batch.num_rows, np.uint64)
             cut = np.unique(np.searchsorted(offsets[:-1], np.arange(0, len(data) + 1, SLICE)))
             for low, high in itertools.pairwise([*cut.tolist(), batch.num_rows]):
                 at = offsets[low : high + 1]
                 out[low:high] = _votes(data[at[0] : at[-1]], at - at[0], shingle, seed)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out.view(np.int64))], [*keep, "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[: len(keep)], pa.array(out.view(np.int64))], [*keep, name]
+            )
 
-    schema = StructType([*rows.drop("__text").schema, StructField("fp", LongType())])
+    schema = StructType([*rows.select(*kept).schema, StructField(name, LongType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -140,9 +146,10 @@ def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFra
     """
     keys, none = ["__k1", "__k2"], F.col("doc_id").isNull()
     rows = docs.select("*", *digest("doc_id", "text"))
-    rows = stored(fingerprints(rows, rows.columns, shingle), "fingerprints")
-    first = F.struct(none.alias("none"), "doc_id", *keys)
-    best = rows.join(roots(rows, distance), "fp").groupBy("root").agg(F.min(first).alias("best"))
+    rows = stored(fingerprints(rows, rows.columns, shingle, name="__fp"), "fingerprints")
+    fps = rows.select(F.col("__fp").alias("fp"), none.alias("none"), "doc_id", *keys)
+    first = F.struct("none", "doc_id", *keys)
+    best = fps.join(roots(fps, distance), "fp").groupBy("root").agg(F.min(first).alias("best"))
     return rows.join(best.select("best.__k1", "best.__k2"), keys).dropDuplicates(keys).select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )

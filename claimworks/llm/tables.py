@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +16,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Run actions with fewer rows per Arrow batch, since rows hold whole texts; then restore."""
+    key, value = BATCH_ROWS
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """The rows written once to the shared folder and read back, so that lineage ends here."""
     spark = frame.sparkSession
     path = scratch_dir(spark, label)
-    frame.write.parquet(path)
+    with small_batches(spark):
+        frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
