@@ -11,11 +11,12 @@ from claimworks.sources.files import file_facts
 
 MALFORMED = "_malformed"
 # How this package writes comma-separated text: quotes are doubled, blanks kept, null is an empty cell
-# and an empty text a quoted one. Readers of such files use the same quoting.
+# and an empty text a quoted one. Readers use the same quoting.
 CSV_TEXT = {
     "header": "true", "escape": '"', "nullValue": "", "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+EMPTY = "\x00\x00"
 MONTH_IN_PATH = r"(?:A|month=)([0-9]{6})(?:\.csv|/)"
 
 
@@ -95,9 +96,15 @@ def read_archives(spark: SparkSession, paths: str | list[str], delimiter: str =
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Comma-separated file with a declared schema; anything that does not fit stops the job."""
-    return (
+    """Comma-separated file with a declared schema; anything that does not fit stops the job.
+
+    Spark's reader takes a quoted empty cell for null as well, unless it has a name of its own; that
+    name is turned back into the empty text here.
+    """
+    rows = (
         spark.read.schema(schema)
-        .options(**CSV_TEXT, mode="FAILFAST", columnPruning="false")
+        .options(**CSV_TEXT, emptyValue=EMPTY, mode="FAILFAST", columnPruning="false")
         .csv(path)
     )
+    texts = [c for c, kind in rows.dtypes if kind == "string"]
+    return rows.withColumns({c: F.when(F.col(c) == EMPTY, "").otherwise(F.col(c)) for c in texts})

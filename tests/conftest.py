@@ -16,17 +16,14 @@ def spark():
 
 
 def claim(**overrides):
-    """One raw claims row, all text; fixed defaults."""
-    values = dict.fromkeys(CLAIMS.required, "0")
-    values |= {
-        "FLX_ANN_MOI": "202501", "BEN_RES_REG": "11", "AGE_BEN_SNDS": "30", "BEN_SEX_COD": "1",
-        "PRS_NAT": "0011", "SOI_ANN": "2024", "SOI_MOI": "12", "TOP_PS5_TRG": "1",
-        "PRS_REM_MNT": "10.20", "FLT_REM_MNT": "10.20", "FLT_PAI_MNT": "15.50",
-    }
-    return values | overrides
+    """One sound raw row of the table's own columns, all text: codes by place, amounts that agree."""
+    codes = {c: str(20 + i) for i, c in enumerate(CLAIMS.codes)}
+    amounts = {c: "7.35" if c.endswith("REM_MNT") else "1" for c in CLAIMS.numeric}
+    known = {CLAIMS.month: "202503", "PRS_NAT": "0342", "PRS_REM_TYP": "1", "SOI_MOI": "11"}
+    return codes | amounts | known | overrides
 
 
-def put_text(root, lines, month="202501", name=None, sidecar=None):
+def put_text(root, lines, month="202503", name=None, sidecar=None):
     """Write raw text as an archive with its sidecar."""
     folder = Path(root) / "data/raw"
     folder.mkdir(parents=True, exist_ok=True)
@@ -41,7 +38,7 @@ def seal(path, sidecar=None):
     Path(f"{path}.json").write_text(json.dumps(declared | (sidecar or {})))
 
 
-def put_archive(root, rows, month="202501", header=None):
+def put_archive(root, rows, month="202503", header=None):
     """Write rows as an archive with the trailing separator."""
     header = list(header or rows[0])
     lines = [";".join([*header, ""])]

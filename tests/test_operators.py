@@ -1,4 +1,5 @@
 import random
+import re
 import statistics
 from decimal import Decimal
 
@@ -22,7 +23,7 @@ SMALL = TableSpec(month="m", codes=("m",), money=("a",), volumes=(), rates=(), n
 
 
 def texts(spark, values):
-    return spark.createDataFrame([("202501", v) for v in values], "m string, a string")
+    return spark.createDataFrame([("202503", v) for v in values], "m string, a string")
 
 
 # --- Functions ---------------------------------------------------------------------------------
@@ -62,9 +63,9 @@ def test_clean_contract(spark):
 
 
 def test_months(spark):
-    values = ["202501", "202500", "202513", "../202501", "20251", "201401", "201501", "202501\n", None]
+    values = ["202503", "202500", "202513", "../202503", "20251", "201401", "201501", "202503\n", None]
     rows = spark.createDataFrame([(v,) for v in values], "m string").select(valid_month(F.col("m")))
-    assert [v for v, r in zip(values, rows.collect()) if r[0]] == ["202501", "201501"]
+    assert [v for v, r in zip(values, rows.collect()) if r[0]] == ["202503", "201501"]
 
 
 def test_french_numbers(spark):
@@ -80,7 +81,7 @@ def test_french_numbers(spark):
 
 def test_archives_unite_by_name(spark, tmp_path):
     put_text(tmp_path, ["a;b;", "1;x;", '"q;""1""";;'])
-    put_text(tmp_path, ["b;c", "y;2"], "202502")
+    put_text(tmp_path, ["b;c", "y;2"], "202504")
     rows = read_archives(spark, str(tmp_path / "data/raw/*.csv.gz")).orderBy("b").collect()
     assert {(r["a"], r["b"], r["c"]) for r in rows} == {("1", "x", None), ('q;"1"', None, None), (None, "y", "2")}
 
@@ -122,19 +123,19 @@ def test_file_facts(spark, tmp_path):
 
     path = put_archive(tmp_path, [claim()])
     double = gzip.compress(b"a;b\n") + gzip.compress(b"1;2\n")
-    path.with_name("A202502.csv.gz").write_bytes(double)
-    path.with_name("A202503.csv.gz").write_bytes(path.read_bytes()[:-9])
-    path.with_name("A202504.csv.gz").write_bytes(gzip.compress("a;b\né;2\n".encode("latin-1")))
-    path.with_name("A202505.csv.gz").write_bytes(gzip.compress("a;b\n1;é".encode()[:-1]))
+    path.with_name("A202504.csv.gz").write_bytes(double)
+    path.with_name("A202505.csv.gz").write_bytes(path.read_bytes()[:-9])
+    path.with_name("A202506.csv.gz").write_bytes(gzip.compress("a;b\né;2\n".encode("latin-1")))
+    path.with_name("A202507.csv.gz").write_bytes(gzip.compress("a;b\n1;é".encode()[:-1]))
     facts = {r["path"][-13:-7]: r for r in file_facts(spark, str(path.parent), "*.csv.gz").collect()}
-    whole = facts["202501"]
+    whole = facts["202503"]
     assert whole["sha256"] == hashlib.sha256(path.read_bytes()).hexdigest()
     assert whole["bytes"] == path.stat().st_size and whole["magic"] == "1F8B"
     assert whole["text_bytes"] == len(gzip.decompress(path.read_bytes()))
     assert whole["header"] == [*CLAIMS.required, ""]
-    assert (facts["202502"]["text_bytes"], facts["202502"]["header"]) == (8, ["a", "b"])
-    assert facts["202503"]["problem"].startswith("unreadable archive")
-    assert facts["202504"]["problem"] == facts["202505"]["problem"] == "text is not UTF-8"
+    assert (facts["202504"]["text_bytes"], facts["202504"]["header"]) == (8, ["a", "b"])
+    assert facts["202505"]["problem"].startswith("unreadable archive")
+    assert facts["202506"]["problem"] == facts["202507"]["problem"] == "text is not UTF-8"
     assert whole["problem"] is None
     head = file_facts(spark, str(path), depth="header").first()
     assert head["sha256"] is None and head["header"] == whole["header"]
@@ -157,20 +158,20 @@ def test_labels(spark, tmp_path):
 
 def test_empty_table_profile_has_zero_sums(spark, tmp_path):
     rows = clean(spark.createDataFrame([], ", ".join(f"{c} string" for c in CLAIMS.required)))
-    values = quality.profile(rows, F.lit("202501")).first()
+    values = quality.profile(rows, F.lit("202503")).first()
     assert values["rows"] == 0 and values["sum__FLT_REM_MNT"] == 0
-    assert quality.gate(quality.profile(rows, F.lit("202501"))).first()["blocking_errors"] == ["no rows"]
+    assert quality.gate(quality.profile(rows, F.lit("202503"))).first()["blocking_errors"] == ["no rows"]
 
 
 def test_null_codes_count_where_they_must(spark):
     row = clean(spark.createDataFrame(
         [tuple(claim(PRS_REM_TYP="", SOI_MOI="00", FLX_ANN_MOI="").values())], list(claim())
     ))
-    values = quality.profile(row, F.lit("202501")).first()
+    values = quality.profile(row, F.lit("202503")).first()
     assert values["unexpected_reimbursement_type_rows"] == 1
     assert values["unusual_care_month_rows"] == 1 and values["wrong_month"] == 1
     assert values["filtered_reimbursement_mismatch_rows"] == 0
-    assert quality.gate(quality.profile(row, F.lit("202501"))).first()["blocking_errors"] == [
+    assert quality.gate(quality.profile(row, F.lit("202503"))).first()["blocking_errors"] == [
         "month missing or not that of the file", "unexpected reimbursement type",
     ]
 
@@ -296,21 +297,21 @@ def test_row_differences_count_copies(spark):
 
 
 def test_catalogue_rules(spark):
-    page = ('<a href="download_file.php?file=F/A202501.csv.gz&amp;token=t">x</a>'
-            "<a href='A202502.csv.gz'>1</a><a href=\"/A202502.csv.gz\">2</a>"
-            '<a href="https://elsewhere.example/A202503.csv.gz">y</a>')
-    url = "https://data.example/depenses/list.php?year=2025"
+    page = ('<a href="get?name=A202503.csv.gz&amp;key=k">x</a>'
+            "<a href='A202504.csv.gz'>1</a><a href=\"/A202504.csv.gz\">2</a>"
+            '<a href="https://mirror.example/A202505.csv.gz">y</a>')
+    url = "https://open.example/care/months?of=2025"
     pages = spark.createDataFrame([(1, url, page)], "id int, url string, html string")
     wanted = spark.createDataFrame(
-        [(1, f"A20250{m}.csv.gz") for m in range(1, 5)] + [(9, "A202501.csv.gz")], "id int, needle string"
+        [(1, f"A20250{m}.csv.gz") for m in range(3, 7)] + [(9, "A202503.csv.gz")], "id int, needle string"
     )
     rows = {(r["id"], r["needle"][6]): (r["verdict"], r["resolved"]) for r in
             catalogue.catalogue_match(pages, wanted, "id", "url", "html", "needle").collect()}
     assert rows == {
-        (1, "1"): ("ok", "https://data.example/depenses/download_file.php?file=F/A202501.csv.gz&token=t"),
-        (1, "2"): ("ambiguous", None),
-        (1, "3"): ("foreign host", "https://elsewhere.example/A202503.csv.gz"),
-        (1, "4"): ("absent", None), (9, "1"): ("absent", None),
+        (1, "3"): ("ok", "https://open.example/care/get?name=A202503.csv.gz&key=k"),
+        (1, "4"): ("ambiguous", None),
+        (1, "5"): ("foreign host", "https://mirror.example/A202505.csv.gz"),
+        (1, "6"): ("absent", None), (9, "3"): ("absent", None),
     }
     assert catalogue.catalogue_links(pages, "id", "html").count() == 4
 
@@ -327,6 +328,81 @@ def test_top_totals(spark):
     assert zero.first()["share"] == 0.0
 
 
+# --- Findings of earlier rounds ----------------------------------------------------------------
+
+
+def test_clean_is_strict_whatever_is_read(spark):
+    bad = texts(spark, ["1", "n.c."])
+    for read in (lambda d: d.count(), lambda d: d.select("m").collect(), lambda d: d.agg(F.count("m")).collect()):
+        with pytest.raises(PySparkException, match="holds something it must not"):
+            read(clean(bad, SMALL))
+    assert clean(texts(spark, ["1", "2"]), SMALL).select("m").count() == 2
+
+
+def test_null_groups_reconcile_with_themselves(spark):
+    frame = spark.createDataFrame([(None, 1), ("a", 2)], "g string, v int")
+    sums = reconcile.counts_and_sums(frame, "g", {"v": F.col("v").cast("decimal(24,6)")})
+    found = reconcile.reconcile(sums, sums, "g", ["rows", "v"]).collect()
+    assert len(found) == 4 and all(r["equal"] for r in found)
+
+
+@pytest.mark.parametrize("width", [3, 6])
+def test_duplicates_of_floats_do_not_depend_on_width(spark, width):
+    rows = [(0.0, *["x"] * (width - 1)), (-0.0, *["x"] * (width - 1)), (float("nan"), *["y"] * (width - 1))] * 2
+    frame = spark.createDataFrame(rows, ["f", *[f"c{i}" for i in range(1, width)]])
+    found = quality.duplicate_excess(frame).first()
+    assert (found["rows"], found["exact_duplicate_excess"]) == (6, 6 - frame.distinct().count())
+
+
+def test_dimensions_of_several_sheets(spark, tmp_path):
+    cells = "sheet string, row_no int, c0 string, c1 string, c2 string, c3 string"
+    names = [("s1", 5, "V", "one", None, None), ("s2", 5, "V", "two", None, None)]
+    codes = [(s, n, *c, None, None) for s in ("s1", "s2", None) for n, c in enumerate([("V", None), ("1", f"label {s}")])]
+    write_dimensions(spark.createDataFrame(names, cells), spark.createDataFrame(codes, cells), str(tmp_path))
+    labels = read_labels(spark, str(tmp_path / "references"))
+    assert [tuple(r) for r in labels.collect()] == [("V", "1", "label s2")]
+    assert checked_labels(labels).count() == 1
+
+
+def test_top_totals_come_sorted(spark):
+    groups = spark.createDataFrame([(str(i), Decimal(i * 7 % 11)) for i in range(40)], "k string, v decimal(24,6)")
+    labels = spark.createDataFrame([("R", str(i), f"l{i}") for i in range(40)], "variable string, code string, libelle string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = report_tables.top_totals(groups, labels, "R", "k", "v").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [(-r["total"], r["code"]) for r in rows] == sorted((-r["total"], r["code"]) for r in rows)
+
+
+def test_label_keys_of_other_variables_are_checked(spark):
+    labels = spark.createDataFrame([("A", "1", "x"), ("B", "1", "y"), ("B", "1", "z")], "variable string, code string, libelle string")
+    totals = spark.createDataFrame([("1", 1)], "k string, n int")
+    with pytest.raises(PySparkException, match="null or repeated"):
+        with_labels(totals, labels, "A", "k", "label").collect()
+
+
+def test_median_and_fill_move_no_raw_rows_by_name(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sheet = spark.createDataFrame([("s", i, "V" if i % 9 == 0 else str(i), "t") for i in range(50)], "sheet string, row_no int, c0 string, c1 string")
+        names = spark.createDataFrame([("V",)], "name string")
+        plan = dictionary.sections(sheet, names, block_rows=10)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(c0" not in plan and "_name" not in "".join(re.findall(r"hashpartitioning\((.*?)\)", plan))
+
+
+def test_analyses_keep_their_order(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice(["202503", "202504", None]), rng.choice(["1", "2", "3", None]), Decimal(rng.randrange(4))) for _ in range(300)]
+    frame = spark.createDataFrame(rows, "m string, k string, v decimal(24,6)").repartition(7)
+    summed = aggregates.totals(frame, {"m": "m", "k": "k"}, {"v": "v"})
+    found = [tuple(r) for r in aggregates.ordered(summed, "m", "-v", "k").collect()]
+    last = lambda x: (x is None, x or "")
+    assert found == sorted(found, key=lambda r: (last(r[0]), -r[2], last(r[1])))
+
+
 # --- Session -----------------------------------------------------------------------------------
 
 
