@@ -43,10 +43,12 @@ def report_tables(
     orphans = manifests.join(quality, "month", "left_anti").select("month").collect()
     if orphans:
         raise ValueError(f"quality report missing: {', '.join(sorted(r[0] for r in orphans))}")
-    claims = read_curated(spark, root)
     labels = read_labels(spark, f"{root}/references")
-    regions = ANALYSES["02_regions"].run(claims)
-    indicators = kpis(manifests, ANALYSES["01_monthly"].run(claims), AMOUNT)
+    # The region totals hold the amount of the indicators too, so the table is read once.
+    totals = f"{root}/data/staging/report_regions"
+    ANALYSES["02_regions"].run(read_curated(spark, root)).write.mode("overwrite").parquet(totals)
+    regions = spark.read.parquet(totals)
+    indicators = kpis(manifests, regions, AMOUNT)
     top = top_totals(regions, labels, "BEN_RES_REG", "code_region_residence", AMOUNT)
     tables = {
         "kpis": indicators.withColumns({
@@ -58,7 +60,8 @@ def report_tables(
     }
     if formats_folder:
         summary = read_summary(spark, formats_folder)
-        tables["formats"] = summary.withColumn(
-            "median_display", F.concat(fr_number(F.col("median_seconds"), 3), F.lit(" s"))
-        )
+        tables["formats"] = summary.withColumns({
+            f"{name}_display": F.concat(fr_number(F.col(f"{name}_seconds"), 3), F.lit(" s"))
+            for name in ("median", "min", "max")
+        })
     return tables

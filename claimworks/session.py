@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +49,14 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
     return spark
 
 
+@cache
+def _local_scratch() -> str:
+    """One temporary folder for this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="claimworks-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for intermediate tables, in the shared folder of the cluster.
 
@@ -56,5 +67,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="claimworks-")
+        shared = _local_scratch()
     return os.path.join(shared, "claimworks", f"{label}-{uuid.uuid4().hex}")

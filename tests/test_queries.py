@@ -1,5 +1,5 @@
 import pytest
-from oracle_check import ROOT, compare, tables  # noqa: F401
+from oracle_check import compare, tables
 
 import __spark_entry__ as entry
 from claimworks.oracle import ORACLE
