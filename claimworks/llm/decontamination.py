@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType
+from pyspark.sql.types import DataType
 
 from claimworks.llm import arrays as A
 from claimworks.llm.substring import doc_runs
@@ -25,7 +25,7 @@ from claimworks.llm.tables import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SHARD = 4 << 20  # bytes of text in an index
+SHARD = 1 << 20  # bytes of text in an index
 SAMPLE = 8
 COLUMN = "contamination"
 RESULT = "struct<n_words:long,items:array<string>,spans:array<struct<start:long,end:long>>>"
@@ -155,7 +155,7 @@ class Phrases:
 
 
 def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 8 << 20
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 8 << 20, cut: bool = False
 ) -> DataFrame:
     """``docs`` with one more column, ``contamination``: ``n_words``, ``items`` and removal ``spans``.
 
@@ -164,17 +164,19 @@ def find_contamination(
     one window, one without words none. ``items`` are the ids, as sorted text, of items with a window
     in the document; ``spans`` are the words hit, as merged ranges. Null texts have no words. A null
     item_id goes by an empty name; repeated items count once. An empty benchmark finds nothing. All
-    columns of ``docs`` stay; one that is called ``contamination`` is replaced.
+    columns of ``docs`` stay; one that is called ``contamination`` is replaced. With ``cut`` the words
+    hit are cut out of ``text`` in the same pass, up to the word behind; other texts stay byte for byte.
 
     Test items come to the tasks in blocks of about ``block_bytes``, a longer item being a block of its
     own; each block passes over all documents.
     """
     docs = docs.drop(COLUMN)
     blocks = _blocks(benchmark, block_bytes)
-    out = _search(docs, Phrases(next(blocks, []), window))
-    for block in blocks:
-        out = _search(stored(out, "contamination"), Phrases(block, window))
-    return out
+    out, block = docs, next(blocks, [])
+    for more in blocks:
+        out = stored(_search(out, Phrases(block, window), False), "contamination")
+        block = more
+    return _search(out, Phrases(block, window), cut)
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int):
@@ -194,7 +196,7 @@ def _blocks(benchmark: DataFrame, block_bytes: int):
         yield block
 
 
-def _search(docs: DataFrame, phrases: Phrases) -> DataFrame:
+def _search(docs: DataFrame, phrases: Phrases, cut: bool) -> DataFrame:
     """One pass of a block of phrases over all documents; earlier findings are merged."""
     kept = [c for c in docs.columns if c != COLUMN]
     again = COLUMN in docs.columns
@@ -204,13 +206,15 @@ def _search(docs: DataFrame, phrases: Phrases) -> DataFrame:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             data, offsets = A.texts(table.column(at))
-            cut = np.unique(np.searchsorted(offsets[:-1], np.arange(0, len(data) + 1, SHARD)))
-            for low, high in itertools.pairwise([*cut.tolist(), table.num_rows]):
+            edges = np.unique(np.searchsorted(offsets[:-1], np.arange(0, len(data) + 1, SHARD)))
+            for low, high in itertools.pairwise([*edges.tolist(), table.num_rows]):
                 part = table.slice(low, high - low)
                 before = part.column(len(kept)).combine_chunks() if again else None
                 places = offsets[low : high + 1]
                 found = _shard(data[places[0] : places[-1]], places - places[0], phrases, before)
                 columns = [part.column(i).combine_chunks() for i in range(len(kept))]
+                if cut:
+                    columns[at] = _cut(columns[at], found)
                 yield pa.RecordBatch.from_arrays([*columns, found], [*kept, COLUMN])
 
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add(COLUMN, DataType.fromDDL(RESULT))
@@ -264,29 +268,17 @@ def _occurrences(keys, first, doc, phrases):
     return word[index.locate(rows)], np.repeat(np.arange(len(n)), n)
 
 
-def cut_contamination(found: DataFrame) -> DataFrame:
-    """What ``find_contamination`` gives, with the words hit cut out of ``text``, and without its column.
-
-    A span goes from its first word to the start of the word behind it. Texts without spans stay as
-    they are, byte for byte; null texts stay null.
-    """
-    at, last = found.columns.index("text"), len(found.columns) - 1
-
-    def run(batches):
-        for batch in batches:
-            spans = batch.column(last).field("spans")
-            texts = batch.column(at).to_pylist()
-            for row in np.flatnonzero(np.asarray(pc.list_value_length(spans)) > 0).tolist():
-                data, offsets = A.texts(pa.array([texts[row]], pa.string()))
-                starts, _, _ = A.words(A.lower_ascii(data), offsets, A.BREAK)
-                edges = np.append(starts, len(data))
-                marks = [(edges[s["start"]], edges[s["end"]]) for s in spans[row].as_py()]
-                low = np.array([a for a, _ in marks])
-                keep = ~A.covered(len(data), low, np.array([b for _, b in marks]) - low)
-                texts[row] = data[keep].tobytes().decode()
-            columns = list(batch.columns[:last])
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:last])
-
-    schema = StructType([f if f.name != "text" else StructField("text", StringType()) for f in found.schema][:last])
-    return found.mapInArrow(run, schema)
+def _cut(texts: pa.Array, found: pa.StructArray) -> pa.Array:
+    """The texts without the words hit; a span goes up to the start of the word behind it."""
+    spans = found.field("spans")
+    hit = np.flatnonzero(np.asarray(pc.list_value_length(spans)) > 0).tolist()
+    if not hit:
+        return texts
+    out = texts.to_pylist()
+    for row in hit:
+        data, offsets = A.texts(pa.array([out[row]], pa.string()))
+        starts, _, _ = A.words(A.lower_ascii(data), offsets, A.BREAK)
+        edges = np.append(starts, len(data))
+        marks = np.array([(edges[s["start"]], edges[s["end"]]) for s in spans[row].as_py()])
+        out[row] = data[~A.covered(len(data), marks[:, 0], marks[:, 1] - marks[:, 0])].tobytes().decode()
+    return pa.array(out, texts.type)

@@ -54,7 +54,7 @@ def test_decontamination_matches_plain_version(spark, window, block_bytes):
 def test_cutting_leaves_the_rest_as_it_was(spark):
     rows = [(1, "Start, the quick zebra! End."), (2, "clean — text"), (3, None), (4, "the quick zebra")]
     items = spark.createDataFrame([(7, "THE quick zebra")], "item_id long, text string")
-    cut = decontamination.cut_contamination(decontamination.find_contamination(documents(spark, rows), items))
+    cut = decontamination.find_contamination(documents(spark, rows), items, cut=True)
     assert {r["doc_id"]: r["text"] for r in cut.collect()} == {1: "Start, End.", 2: "clean — text", 3: None, 4: ""}
 
 
@@ -323,7 +323,7 @@ def test_empty_tables(spark):
     docs = documents(spark, [])
     items = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.find_contamination(docs, items).count() == 0
-    assert decontamination.cut_contamination(decontamination.find_contamination(documents(spark, [(1, "a b")]), items)).count() == 1
+    assert decontamination.find_contamination(documents(spark, [(1, "a b")]), items, cut=True).count() == 1
     assert quality.judge(docs).count() == 0
     assert licenses.scan(docs).count() == 0
     assert secret_scan.redact(docs).count() == 0
