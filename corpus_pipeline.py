@@ -25,8 +25,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of test phrases go from the texts; the documents stay."""
-    found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _measured(decontamination.cut_contamination(found)).select(*docs.columns)
+    found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"), cut=True)
+    return _measured(stored(found, "contamination")).select(*docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
