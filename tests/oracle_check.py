@@ -59,7 +59,7 @@ if __name__ == "__main__":
     only = sys.argv[2:]
     spark, con, sqls = local_session(8), tables(folder), e.oracle_sql()
     for name, query in e.queries().items():
-        if only and name not in only:
+        if name not in sqls or only and name not in only:
             continue
         started = time.perf_counter()
         try:
