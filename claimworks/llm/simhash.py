@@ -142,14 +142,16 @@ def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFra
     """``docs`` with one document of each component: the smallest doc_id, then the smallest digest.
 
     A null doc_id comes last; of fully equal rows one stays. All columns stay. Only keys are compared
-    to find the documents that stay; a component of any size is one aggregate.
+    to find the documents that stay: first those of equal fingerprints, then those of a component, by
+    aggregates that combine before the shuffle.
     """
     keys, none = ["__k1", "__k2"], F.col("doc_id").isNull()
     rows = docs.select("*", *digest("doc_id", "text"))
     rows = stored(fingerprints(rows, rows.columns, shingle, name="__fp"), "fingerprints")
     fps = rows.select(F.col("__fp").alias("fp"), none.alias("none"), "doc_id", *keys)
     first = F.struct("none", "doc_id", *keys)
-    best = fps.join(roots(fps, distance), "fp").groupBy("root").agg(F.min(first).alias("best"))
+    best = fps.groupBy("fp").agg(F.min(first).alias("best"))
+    best = best.join(roots(fps, distance), "fp").groupBy("root").agg(F.min("best").alias("best"))
     return rows.join(best.select("best.__k1", "best.__k2"), keys).dropDuplicates(keys).select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )
