@@ -105,7 +105,7 @@ def _met(fps: DataFrame, distance: int) -> DataFrame:
     ball = F.array(*[F.lit(m).cast("long") for m in signed])
     # As many parts as a shuffle has: the few bytes of fingerprints become many rows here.
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = fps.select("fp").repartition(parts, "fp").distinct()
+    spread = fps.select("fp").distinct().repartition(parts)
     return spread.select("fp", F.explode(ball).alias("mask")).select(
         F.col("fp").bitwiseXOR(F.col("mask")).alias("value"), "fp"
     )
