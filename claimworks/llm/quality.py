@@ -1,9 +1,15 @@
-"""Quality rules: counts per text, and perplexity bands of a smoothed n-gram model.
-
-The model is a modified Kneser-Ney model of three symbols, one for each language. Symbols are the bytes
-of the text, those beyond ASCII folded to 32, so a language has at most 2**21 trigrams whatever the
-corpus: a bound on what is collected and sent to the tasks. All trigrams of all documents are counted
-by Spark. A task holds the model as sorted arrays of hashed n-grams with their log probabilities.
+"""Quality rules: counts per text, and perplexity bands of a smoothed n-gram model of words.
+
+Each language has a modified Kneser-Ney model of word pairs. Its tables grow with the corpus and are
+never gathered: texts lie in groups by content, groups send their pairs and words to hash buckets, and
+buckets answer with what the whole corpus holds (``rounds.py``). Of each pair one group is the owner;
+owners add up what pairs say of their words, so a word, however common, is one entry per group. Pairs
+and words that no other text holds count as unseen when a text is scored, else a text unlike all others
+would look certain to itself.
+
+Unseen words are spelled by a model of three symbols per language. Symbols are the bytes of the text,
+those beyond ASCII folded to 32; only this base is bounded by the alphabet and sent to the tasks, as
+sorted arrays of hashed n-grams with their log probabilities.
 """
 
 from __future__ import annotations
@@ -16,23 +22,36 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructField, StructType
 
 from claimworks.llm import arrays as A
-from claimworks.llm.tables import small_batches, stored
+from claimworks.llm import rounds as R
+from claimworks.llm.substring import by_bucket
+from claimworks.llm.tables import digest, small_batches, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(R)
 
+U64 = np.uint64
 SLICE = 1 << 20  # bytes of text worked on at a time
 SYMBOLS = 128
 BLOCK = 64  # bytes that are scored by one language
 BIN = 0.001  # width of a step of log perplexity in the statistics of a language
+LEAST_TEXTS = 100  # texts of about one length that make a statistic of their own
+RECENT = 1 << 16  # digests by which a task knows its copies
 SIGNS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 COLUMN = "quality"
+KEYS = ("__k1", "__k2")
 RESULT = (
     "struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,"
-    "language:string,log_perplexity:double>"
+    "language:string,log_perplexity:double,letter_perplexity:double>"
 )
+SCORED = f"{KEYS[0]} long, {KEYS[1]} long, {COLUMN} {RESULT}"
+_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+_QUALITY = pa.struct([
+    *((c, pa.int64()) for c in _COUNTS), ("language", pa.string()), ("log_perplexity", pa.float64()),
+    ("letter_perplexity", pa.float64()),
+])
+_SCORED = pa.schema([(KEYS[0], pa.int64()), (KEYS[1], pa.int64()), (COLUMN, _QUALITY)])
 
 
 def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
@@ -188,8 +207,13 @@ class KneserNey:
 
 
 def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Discounts for counts of 1, 2 and more, from the counts of counts; plain ones where these lack."""
-    n = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype(float)
+    """Discounts for counts of 1, 2 and more, from the counts of counts."""
+    return _discount(*np.bincount(np.minimum(counts, 5), minlength=6)[1:5])
+
+
+def _discount(*times) -> np.ndarray:
+    """Discounts from how many n-grams stand once to four times; plain ones where these lack."""
+    n = np.array(times, float)
     if not n.all():
         return np.array([0.0, 0.5, 0.75, 0.9])
     y = n[0] / (n[0] + 2 * n[1])
@@ -227,44 +251,226 @@ def fit(docs: DataFrame, languages: tuple[str, ...]) -> list[KneserNey]:
     ]
 
 
-def score(docs: DataFrame, models: list[KneserNey], languages: tuple[str, ...]) -> DataFrame:
-    """``docs`` with the column ``quality``: the counts, the model's language and the log perplexity."""
-    docs = docs.drop(COLUMN)
-    text, lang = docs.columns.index("text"), docs.columns.index("lang")
-    names = [*languages, None]
+def score(docs: DataFrame, models: list[KneserNey], languages: tuple[str, ...], group_bytes: int, bucket_bytes: int):
+    """``__k1, __k2, quality`` for each distinct (text, lang) of ``docs``: counts and log perplexities.
 
-    def run(batches):
-        for batch in batches:
-            number = _language_numbers(batch.column(lang), languages)
-            for low, high, data, offsets in _slices(batch.column(text)):
-                counts = text_counts(data, offsets)
-                size = np.diff(offsets)
-                level = -_best_sums(grams(data, offsets), offsets, models) / np.maximum(size, 1)
-                fields = [pa.array(c) for c in counts.values()]
-                fields.append(pa.array([names[i] for i in number[low:high]], pa.string()))
-                fields.append(pa.array(level, mask=size == 0))
-                found = pa.StructArray.from_arrays(fields, [*counts, "language", "log_perplexity"])
-                part = batch.slice(low, high - low)
-                yield pa.RecordBatch.from_arrays([*part.columns, found], [*batch.schema.names, COLUMN])
-
-    schema = StructType([*docs.schema, StructField(COLUMN, DataType.fromDDL(RESULT))])
-    return docs.mapInArrow(run, schema)
-
-
-def _best_sums(codes: np.ndarray, offsets: np.ndarray, models: list[KneserNey]) -> np.ndarray:
+    ``log_perplexity`` is that of the words, in nats a word; ``letter_perplexity`` that of the spelling,
+    in nats a byte.
+    """
+    groups, buckets = R.counts(R.text_bytes(docs, "text"), group_bytes, bucket_bytes)
+    rows = docs.select(
+        F.pmod(F.col(KEYS[0]), F.lit(groups)).cast("int").alias(R.GROUP),
+        F.col("text").cast("string"), F.col("lang").cast("string"), *KEYS,
+    )
+    # A copy that many rows share leaves a task once, so that its group stays small.
+    rows = rows.mapInArrow(_without_copies, rows.schema)
+    asked = R.ask(rows, lambda t: _ask_totals(_Texts(t, languages), buckets))
+    totals = R.answer(asked, _totals)
+    shares = R.ask_again(rows, totals, lambda t, bodies: _ask_words(_Texts(t, languages), bodies, buckets))
+    about = R.answer(shares, _sums)
+    return R.finish(
+        rows, [totals, about], lambda t, one, two: _Texts(t, languages).scored(one, two, models), SCORED, _SCORED
+    )
+
+
+def _without_copies(batches):
+    seen = set()
+    for batch in batches:
+        keep = []
+        for key in zip(*(batch.column(k).to_pylist() for k in KEYS), strict=True):
+            keep.append(key not in seen)
+            seen.add(key)
+            if len(seen) > RECENT:
+                seen = {key}
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers in little space: byte planes, zstd."""
+    planes = np.stack([c.astype("<u8") for c in columns]).view(np.uint8).reshape(len(columns), -1, 8)
+    body = np.ascontiguousarray(planes.transpose(0, 2, 1)).tobytes()
+    return len(columns[0]).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def _unpacked(body: bytes, columns: int) -> np.ndarray:
+    n = int.from_bytes(body[:8], "little")
+    raw = pa.decompress(body[8:], decompressed_size=8 * n * columns, codec="zstd", asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(columns, 8, n)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u8").reshape(columns, n).astype(np.int64)
+
+
+def _message(keys: np.ndarray, *columns: np.ndarray) -> bytes:
+    packed = A.pack(keys)
+    return len(packed).to_bytes(8, "little") + packed + _packed(*columns)
+
+
+def _opened(bodies: list[bytes], columns: int):
+    """``(keys, columns, sizes)`` of several messages in a row."""
+    keys, rest = [], []
+    for body in bodies:
+        cut = 8 + int.from_bytes(body[:8], "little")
+        keys.append(A.unpack(body[8:cut]))
+        rest.append(_unpacked(body[cut:], columns))
+    return np.concatenate(keys), np.concatenate(rest, axis=1), [len(k) for k in keys]
+
+
+def _answers(bodies: list[bytes], columns: int) -> np.ndarray:
+    parts = [_unpacked(b, columns) for b in bodies]
+    return np.concatenate(parts, axis=1) if parts else np.zeros((columns, 0), np.int64)
+
+
+def _ask_totals(texts: _Texts, buckets: int):
+    for bucket, part in by_bucket(texts.grams, 48, buckets):
+        yield bucket, _message(texts.grams[part], texts.times[part])
+
+
+def _totals(groups, bodies):
+    """For each pair or word sent: its number in the corpus, and is this group the first to send it?"""
+    keys, (times,), sizes = _opened(bodies, 1)
+    _, first, back = np.unique(keys, return_index=True, return_inverse=True)
+    owned = np.zeros(len(keys), np.int64)
+    owned[first] = 1
+    total = np.bincount(back, times).astype(np.int64)[back]
+    return [_packed(x) for x in np.split(total << 1 | owned, np.cumsum(sizes)[:-1])]
+
+
+def _ask_words(texts: _Texts, bodies, buckets: int):
+    shares = texts.shares(_answers(bodies, 1)[0])
+    for bucket, part in by_bucket(texts.names, 48, buckets):
+        yield bucket, _message(texts.names[part], *shares[:, part])
+
+
+def _sums(groups, bodies):
+    """For each word sent, the sums over all groups."""
+    keys, shares, sizes = _opened(bodies, FIELDS)
+    _, back = np.unique(keys, return_inverse=True)
+    sums = [np.bincount(back, s).astype(np.int64)[back] for s in shares]
+    edges = np.cumsum(sizes)[:-1]
+    return [_packed(*parts) for parts in zip(*(np.split(s, edges) for s in sums), strict=True)]
+
+
+FIELDS = 6  # of a word: tokens before another, pairs it begins seen once, twice, more often, words before it
+# Of a language: pairs, those seen once, twice, three and four times, words.
+
+
+def _inside(keys: np.ndarray) -> np.ndarray:
+    return A.mix(keys) >> U64(16)
+
+
+class _Texts:
+    """The distinct texts of a group with their words, pairs of words and languages."""
+
+    def __init__(self, table: pa.Table, languages: tuple[str, ...]):
+        one, two = (table.column(k).to_numpy() for k in KEYS)
+        order = np.lexsort((two, one))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
+        self.table, self.languages = table.take(order[new]), languages
+        self.data, self.offsets = A.texts(self.table.column("text"))
+        self.number = _language_numbers(self.table.column("lang"), languages)
+        self.starts, self.ends, self.first = A.words(self.data, self.offsets, A.SPACE)
+        n = len(self.starts)
+        self.doc = A.segment_of(self.first, n)
+        salt = A.mix(self.number.astype(U64) + U64(1))
+        word = A.mix(A.word_hashes(self.data, self.starts, self.ends) + salt[self.doc])
+        before = np.concatenate((np.zeros(1, U64), word[:-1]))[:n]
+        begins = self.first[:-1][np.diff(self.first) > 0]
+        before[begins] = salt[self.doc[begins]]  # stands for the beginning of a text
+        pair = _inside(before * U64(A.BASE) + word)
+        every = np.concatenate((pair, _inside(word + U64(3))))
+        self.grams, self.lead, back, self.times = np.unique(
+            every, return_index=True, return_inverse=True, return_counts=True
+        )
+        self.pair, self.word = back[:n], back[n:]
+        present = np.unique(self.number)
+        parts = np.concatenate((_inside(word), _inside(before)))
+        total = _inside(A.mix(present.astype(U64) + U64(1)) + U64(5))
+        self.names, back = np.unique(np.concatenate((parts, total)), return_inverse=True)
+        self.name, self.context = back[:n], back[n : 2 * n]
+        self.whole = np.zeros(len(languages) + 1, np.int64)
+        self.whole[present] = back[2 * n :]
+
+    def shares(self, totals: np.ndarray) -> np.ndarray:
+        """What the pairs and words that this group owns say of each name."""
+        n, total, owned = len(self.starts), totals >> 1, (totals & 1) > 0
+        out = np.zeros((FIELDS, len(self.names)), np.int64)
+        at = self.lead[owned & (self.lead < n)]  # an owned pair's place
+        many = total[self.pair[at]]
+        context, name, whole = self.context[at], self.name[at], self.whole[self.number[self.doc[at]]]
+        np.add.at(out[0], context, many)
+        for k in (1, 2, 3):
+            np.add.at(out[k], context, (many == k) if k < 3 else (many >= 3))
+        np.add.at(out[4], name, 1)
+        np.add.at(out[0], whole, 1)
+        for k in (1, 2, 3, 4):
+            np.add.at(out[k], whole, many == k)
+        own = self.lead[owned & (self.lead >= n)] - n
+        np.add.at(out[5], self.whole[self.number[self.doc[own]]], 1)
+        return out
+
+    def _own(self, gram: np.ndarray) -> np.ndarray:
+        """How often each place's gram stands in the place's text."""
+        _, back, times = np.unique(self.doc * len(self.grams) + gram, return_inverse=True, return_counts=True)
+        return times[back]
+
+    def word_logs(self, totals: np.ndarray, sums: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+        """Log probability of each word after the one before it."""
+        total = totals >> 1
+        many, known = total[self.pair], total[self.word] > self._own(self.word)
+        seen = many > self._own(self.pair)
+        whole = sums[:, self.whole[self.number]][:, self.doc]
+        cuts = np.stack([_discount(*sums[1:5, w]) for w in self.whole], axis=1)
+        cut = cuts[:, self.number[self.doc]]
+        with np.errstate(divide="ignore"):
+            scale = np.log(whole[0] + whole[5])
+            base = np.logaddexp(
+                np.log(np.where(known, sums[4, self.name], 0)) - scale, np.log(whole[5]) - scale + spelled
+            )
+            c = sums[:, self.context]
+            rest = (cut[1] * c[1] + cut[2] * c[2] + cut[3] * c[3]) / np.maximum(c[0], 1)
+            kept = (many - cut[np.minimum(many, 3), np.arange(len(many))]) / np.maximum(c[0], 1)
+            mixed = np.logaddexp(np.log(np.where(seen, kept, 0)), np.log(rest) + base)
+        begins = np.zeros(len(many), bool)
+        begins[self.first[:-1][np.diff(self.first) > 0]] = True
+        told = begins | np.concatenate(([False], known[:-1]))[: len(known)]  # the word before is known elsewhere
+        return np.where(told, mixed, base)
+
+    def scored(self, totals, sums, models: list[KneserNey]) -> pa.Table:
+        counts = text_counts(self.data, self.offsets)
+        size, words = np.diff(self.offsets), np.diff(self.first)
+        logs = _byte_logs(grams(self.data, self.offsets), models)
+        letters = _of_number(logs, np.repeat(self.number, size))
+        run = np.concatenate(([0], np.cumsum(letters)))
+        ends = np.minimum(self.ends + 1, self.offsets[1:][self.doc])  # a word ends with the blank behind it
+        spelled = run[ends] - run[self.starts]
+        word = self.word_logs(_answers(totals, 1)[0], _answers(sums, FIELDS), spelled)
+        level = -np.bincount(self.doc, word, len(size)) / np.maximum(words, 1)
+        letter = -_best_sums(logs, self.offsets) / np.maximum(size, 1)
+        names = [*self.languages, None]
+        fields = [pa.array(counts[c]) for c in _COUNTS]
+        fields += [pa.array([names[i] for i in self.number], pa.string()), pa.array(level, mask=words == 0)]
+        fields.append(pa.array(letter, mask=size == 0))
+        found = pa.StructArray.from_arrays(fields, fields=list(_QUALITY))
+        return pa.table([*(self.table.column(k) for k in KEYS), found], schema=_SCORED)
+
+
+def _byte_logs(codes: np.ndarray, models: list[KneserNey]) -> np.ndarray:
+    """Log probability of each byte by each model."""
+    known, back = np.unique(codes, return_inverse=True)
+    return np.stack([model.log_probability(known)[back] for model in models])
+
+
+def _of_number(logs: np.ndarray, number: np.ndarray) -> np.ndarray:
+    return logs[number, np.arange(logs.shape[1])].astype(np.float64)
+
+
+def _best_sums(logs: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Log probability of each text, each block of it by the language that fits it best."""
-    if not len(codes):
+    if not logs.shape[1]:
         return np.zeros(len(offsets) - 1)
-    present = np.zeros(1 << 21, bool)
-    present[codes] = True
-    known = np.flatnonzero(present)
-    place = np.arange(len(codes)) - np.repeat(offsets[:-1], np.diff(offsets))
+    place = np.arange(logs.shape[1]) - np.repeat(offsets[:-1], np.diff(offsets))
     begin = np.flatnonzero(place % BLOCK == 0)
-    best, table = None, np.zeros(1 << 21)
-    for model in models:
-        table[known] = model.log_probability(known)
-        sums = np.add.reduceat(table[codes], begin)
-        best = sums if best is None else np.maximum(best, sums)
+    best = np.add.reduceat(logs, begin, axis=1, dtype=np.float64).max(axis=0)
     doc = np.searchsorted(offsets, begin, "right") - 1
     return np.bincount(doc, best, len(offsets) - 1)
 
@@ -275,46 +481,72 @@ def base_failed(least_words: int = 50, repeated_percent: int = 50):
     return (n < least_words) | (100 * again > repeated_percent * n)
 
 
-def bands(scored: DataFrame, spread: float, least: float) -> list[tuple]:
-    """``(language, low, high)``: the median log perplexity and ``spread`` robust deviations around it.
+def bands(scored: DataFrame, field: str) -> dict:
+    """``(language, size class) -> (lower quartile, median, upper quartile)`` of a log perplexity.
 
-    Only texts that pass the plain rule count. The driver sees a histogram of steps of ``BIN`` per
-    language.
+    A size class is the whole binary logarithm of the number of words, since short texts differ more;
+    a class of few texts takes in its neighbours. Only texts that pass the plain rule count, each
+    distinct text once. The driver sees a histogram of steps of ``BIN`` per language and class.
     """
-    step = F.floor(F.col(f"{COLUMN}.log_perplexity") / BIN)
-    rows = scored.where(~base_failed() & F.col(f"{COLUMN}.log_perplexity").isNotNull())
-    found = rows.groupBy(F.col(f"{COLUMN}.language").alias("language"), step.alias("step")).count().collect()
-    out = []
-    for name in sorted({r["language"] for r in found}, key=lambda x: (x is None, x)):
-        steps = np.array(sorted((r["step"], r["count"]) for r in found if r["language"] == name))
-        middle = _median(steps[:, 0], steps[:, 1])
-        away = np.abs(steps[:, 0] - middle)
-        order = np.argsort(away, kind="stable")
-        deviation = 1.4826 * _median(away[order], steps[order, 1])
-        width = max(spread * deviation * BIN, least)
-        out.append((name, middle * BIN - width, middle * BIN + width))
+    value = F.col(f"{COLUMN}.{field}")
+    rows = scored.where(~base_failed() & value.isNotNull())
+    found = rows.groupBy(
+        F.col(f"{COLUMN}.language").alias("language"), _size_class().alias("size"), F.floor(value / BIN).alias("step")
+    ).count().collect()
+    out = {}
+    for name in {r["language"] for r in found}:
+        steps = np.array(sorted((r["step"], r["count"], r["size"]) for r in found if r["language"] == name))
+        for size in np.unique(steps[:, 2]).tolist():
+            away = np.abs(steps[:, 2] - size)
+            reach = next(k for k in range(64) if steps[away <= k, 1].sum() >= LEAST_TEXTS or k >= away.max())
+            near = steps[away <= reach]
+            out[name, size] = tuple(_quantile(near[:, 0], near[:, 1], q) * BIN for q in (0.25, 0.5, 0.75))
     return out
 
 
-def _median(values, counts) -> float:
-    return float(values[np.searchsorted(np.cumsum(counts), counts.sum() / 2)])
+def _size_class():
+    return F.floor(F.log2(F.greatest(F.col(f"{COLUMN}.n_words"), F.lit(1)))).cast("int")
+
+
+def _quantile(values, counts, share: float) -> float:
+    return float(values[np.searchsorted(np.cumsum(counts), counts.sum() * share)])
+
+
+QUARTILE = 0.6745  # standard deviations from the median to a quartile
+
+
+def _within(field: str, edges: dict):
+    """Whether a log perplexity lies between the edges of its language and size class."""
+    value, inside = F.col(f"{COLUMN}.{field}"), F.lit(False)
+    for (name, size), (low, high) in sorted(edges.items(), key=str):
+        mine = F.col(f"{COLUMN}.language").eqNullSafe(F.lit(name)) & (_size_class() == size)
+        inside = inside | (mine & value.between(low, high))
+    return F.coalesce(inside, F.lit(False))
 
 
 def judge(
-    docs: DataFrame, languages: tuple[str, ...] = ("de", "en", "es", "fr"), spread: float = 8.0, least: float = 0.6
+    docs: DataFrame, languages: tuple[str, ...] = ("de", "en", "es", "fr"), spread: float = 8.0, least: float = 0.6,
+    group_bytes: int = 8 << 20, bucket_bytes: int = 32 << 20,
 ) -> DataFrame:
     """``docs`` (text, lang, any others) with ``quality``, ``base_failed`` and ``kept``.
 
-    A document is kept when the plain rule passes and its log perplexity lies in its language's band.
-    Documents of other or no language share a model and a band. Null texts are empty: they have no
-    words, no perplexity, and fail. A repeated row is counted and judged like its twin. Columns called
-    ``quality``, ``base_failed`` or ``kept`` are replaced. Empty table, no rows.
+    A document is kept when the plain rule passes, the log perplexity of its words is not above its
+    language's band and that of its letters lies within. Documents of other or no language share a model
+    and a band. Null texts are empty: they have no words, no perplexity, and fail. Rows of one text and
+    language are counted once and judged alike; ``group_bytes`` of texts are held by one task at a time.
+    Columns called ``quality``, ``base_failed`` or ``kept`` are replaced. Empty table, no rows.
     """
-    rows = docs.drop("base_failed", "kept")
-    scored = stored(score(rows, fit(rows, languages), languages), "scored")
-    level, language = F.col(f"{COLUMN}.log_perplexity"), F.col(f"{COLUMN}.language")
-    inside = F.lit(False)
-    for name, low, high in bands(scored, spread, least):
-        inside = inside | (language.eqNullSafe(F.lit(name)) & level.between(low, high))
+    rows = docs.drop("base_failed", "kept", COLUMN)
+    models = fit(rows, languages)
+    keyed = rows.select("*", *digest("text", "lang"))
+    scored = stored(score(keyed, models, languages, group_bytes, bucket_bytes), "scored")
+    words, letters = {}, {}
+    for key, (_, middle, high) in bands(scored, "log_perplexity").items():
+        words[key] = (0.0, middle + spread * (high - middle + BIN) / QUARTILE)
+    for key, (low, middle, high) in bands(scored, "letter_perplexity").items():
+        width = max(spread * (high - low + BIN) / 2 / QUARTILE, least)
+        letters[key] = (middle - width, middle + width)
+    inside = _within("log_perplexity", words) & _within("letter_perplexity", letters)
     failed = base_failed()
-    return scored.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(inside, F.lit(False)))
+    judged = scored.withColumn("base_failed", failed).withColumn("kept", ~failed & inside)
+    return keyed.join(judged, list(KEYS), "left").select(*rows.columns, COLUMN, "base_failed", "kept")

@@ -103,6 +103,50 @@ def test_probabilities_of_a_context_add_up_to_one():
         assert np.exp(model.log_probability((context << 7) + np.arange(128))).sum() == pytest.approx(1, abs=1e-4)
 
 
+def prose(rng, order, n=120):
+    """Words that follow one another by rule, as a language's do."""
+    made = [rng.choice(order[0])]
+    while len(made) < n:
+        made.append(rng.choice(order[1][made[-1]]))
+    return made
+
+
+def rule(seed, parts):
+    rng = random.Random(seed)
+    words = sorted({"".join(rng.choice(parts) for _ in range(rng.randrange(1, 4))) for _ in range(300)})
+    return words, {w: rng.sample(words, 5) for w in words}
+
+
+LATIN = ["ver", "ing", "tion", "an", "der", "ent", "est", "on"]
+OTHER = ["ció", "que", "ñar", "llo", "mi", "ue", "osa", "ga"]
+
+
+def kept_of(spark, rows):
+    schema = "doc_id long, text string, lang string"
+    return {r["doc_id"] for r in quality.judge(spark.createDataFrame(rows, schema)).where("kept").collect()}
+
+
+def test_shuffled_words_are_rejected(spark):
+    rng, order = random.Random(5), rule(1, LATIN)
+    clean = [prose(rng, order) for _ in range(150)]
+    salad = [rng.sample(words, len(words)) for words in clean[:5]]
+    rows = [(i, " ".join(t), "en") for i, t in enumerate([*clean, *salad])]
+    assert kept_of(spark, rows) == set(range(150))
+
+
+def test_pairs_of_words_do_not_depend_on_groups(spark):
+    rng, order = random.Random(6), rule(1, LATIN)
+    rows = [(i, " ".join(prose(rng, order, 60)), "en") for i in range(40)]
+    rows += [(100 + i, *rows[0][1:]) for i in range(30)]  # copies are counted once
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    level = lambda **o: {
+        r[0]: r[1] for r in quality.judge(docs, **o).select("doc_id", "quality.log_perplexity").collect()
+    }
+    one = level()
+    assert one == pytest.approx(level(group_bytes=1500, bucket_bytes=4000))
+    assert one[100] == one[0] and abs(one[0] - np.median([one[i] for i in range(40)])) < 1
+
+
 # --- Licenses ----------------------------------------------------------------------------------
 
 
