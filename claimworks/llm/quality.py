@@ -34,7 +34,9 @@ cloudpickle.register_pickle_by_value(R)
 U64 = np.uint64
 SLICE = 1 << 20  # bytes of text worked on at a time
 SYMBOLS = 128
-BLOCK = 64  # bytes that are scored by one language
+BLOCK = 64  # bytes that are told to be of the text's language or of another
+FOREIGN = 0.3  # nats a byte by which another language spells a foreign block better
+QUOTED = 0.25  # share of a text that may be foreign and then goes unscored
 BIN = 0.001  # width of a step of log perplexity in the statistics of a language
 LEAST_TEXTS = 100  # texts of about one length that make a statistic of their own
 RECENT = 1 << 16  # digests by which a task knows its copies
@@ -255,7 +257,7 @@ def score(docs: DataFrame, models: list[KneserNey], languages: tuple[str, ...],
     """``__k1, __k2, quality`` for each distinct (text, lang) of ``docs``: counts and log perplexities.
 
     ``log_perplexity`` is that of the words, in nats a word; ``letter_perplexity`` that of the spelling,
-    in nats a byte.
+    in nats a byte. Both are those of the text's own language; quoted foreign passages go unscored.
     """
     groups, buckets = R.counts(R.text_bytes(docs, "text"), group_bytes, bucket_bytes)
     rows = docs.select(
@@ -435,17 +437,55 @@ class _Texts:
         told = begins | np.concatenate(([False], known[:-1]))[: len(known)]  # the word before is known elsewhere
         return np.where(told, mixed, base)
 
+    def _letters(self, models: list[KneserNey]):
+        """Log probability of each byte by its text's own language, and whether it is of a quotation.
+
+        A block is foreign when another named language spells it better by ``FOREIGN`` nats a byte.
+        Foreign blocks, with the block on either side, are a quotation while they are no more than
+        ``QUOTED`` of the text.
+        """
+        codes, size = grams(self.data, self.offsets), np.diff(self.offsets)
+        if not len(codes):
+            return np.zeros(0, np.float32), np.zeros(0, bool)
+        number = np.repeat(self.number, size)
+        begin = np.flatnonzero((np.arange(len(codes)) - np.repeat(self.offsets[:-1], size)) % BLOCK == 0)
+        length = np.diff(np.append(begin, len(codes)))
+        present = np.zeros(1 << 21, bool)
+        present[codes] = True
+        known = np.flatnonzero(present)
+        table, letters = np.zeros(1 << 21, np.float32), np.zeros(len(codes), np.float32)
+        own, other = np.zeros(len(begin)), np.full(len(begin), -np.inf)
+        for i, model in enumerate(models):
+            table[known] = model.log_probability(known)
+            values, mine = table[codes], number[begin] == i
+            sums = np.add.reduceat(values, begin, dtype=np.float64)
+            own[mine] = sums[mine]
+            np.copyto(letters, values, where=number == i)
+            if i < len(self.languages) and len(model.keys):
+                other[~mine] = np.maximum(other, sums)[~mine]
+        foreign = (number[begin] < len(self.languages)) & (other - own > FOREIGN * length)
+        doc = np.searchsorted(self.offsets, begin, "right") - 1
+        same = doc[1:] == doc[:-1]
+        edge = np.zeros(len(begin), bool)  # beside a foreign block, so it may hold a passage's ends
+        edge[1:] |= foreign[:-1] & same
+        edge[:-1] |= foreign[1:] & same
+        foreign |= edge
+        share = np.bincount(doc, foreign * length, len(size)) / np.maximum(size, 1)
+        foreign &= share[doc] <= QUOTED
+        return letters, np.repeat(foreign, length)
+
     def scored(self, totals, sums, models: list[KneserNey]) -> pa.Table:
         counts = text_counts(self.data, self.offsets)
         size, words = np.diff(self.offsets), np.diff(self.first)
-        logs = _byte_logs(grams(self.data, self.offsets), models)
-        letters = _of_number(logs, np.repeat(self.number, size))
-        run = np.concatenate(([0], np.cumsum(letters)))
+        letters, foreign = self._letters(models)
+        run = np.concatenate(([0], np.cumsum(letters, dtype=np.float64)))
         ends = np.minimum(self.ends + 1, self.offsets[1:][self.doc])  # a word ends with the blank behind it
         spelled = run[ends] - run[self.starts]
         word = self.word_logs(_answers(totals, 1)[0], _answers(sums, FIELDS), spelled)
-        level = -np.bincount(self.doc, word, len(size)) / np.maximum(words, 1)
-        letter = -_best_sums(logs, self.offsets) / np.maximum(size, 1)
+        judged = ~foreign[self.starts]
+        level = -np.bincount(self.doc, word * judged, len(size)) / np.maximum(np.bincount(self.doc, judged, len(size)), 1)
+        per_doc = lambda values: np.diff(np.concatenate(([0], np.cumsum(values, dtype=np.float64)))[self.offsets])
+        letter = -per_doc(letters * ~foreign) / np.maximum(per_doc(~foreign), 1)
         names = [*self.languages, None]
         fields = [pa.array(counts[c]) for c in _COUNTS]
         fields += [pa.array([names[i] for i in self.number], pa.string()), pa.array(level, mask=words == 0)]
@@ -454,27 +494,6 @@ class _Texts:
         return pa.table([*(self.table.column(k) for k in KEYS), found], schema=_SCORED)
 
 
-def _byte_logs(codes: np.ndarray, models: list[KneserNey]) -> np.ndarray:
-    """Log probability of each byte by each model."""
-    known, back = np.unique(codes, return_inverse=True)
-    return np.stack([model.log_probability(known)[back] for model in models])
-
-
-def _of_number(logs: np.ndarray, number: np.ndarray) -> np.ndarray:
-    return logs[number, np.arange(logs.shape[1])].astype(np.float64)
-
-
-def _best_sums(logs: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Log probability of each text, each block of it by the language that fits it best."""
-    if not logs.shape[1]:
-        return np.zeros(len(offsets) - 1)
-    place = np.arange(logs.shape[1]) - np.repeat(offsets[:-1], np.diff(offsets))
-    begin = np.flatnonzero(place % BLOCK == 0)
-    best = np.add.reduceat(logs, begin, axis=1, dtype=np.float64).max(axis=0)
-    doc = np.searchsorted(offsets, begin, "right") - 1
-    return np.bincount(doc, best, len(offsets) - 1)
-
-
 def base_failed(least_words: int = 50, repeated_percent: int = 50):
     """The plain rule: too few words, or too many of them in repeated windows."""
     n, again = F.col(f"{COLUMN}.n_words"), F.col(f"{COLUMN}.n_repeat_words")
@@ -531,7 +550,8 @@ def judge(
     """``docs`` (text, lang, any others) with ``quality``, ``base_failed`` and ``kept``.
 
     A document is kept when the plain rule passes, the log perplexity of its words is not above its
-    language's band and that of its letters lies within. Documents of other or no language share a model
+    language's band and that of its letters lies within. Foreign passages go unscored up to a quarter of
+    a document; with more, all of it is scored by its own language. Documents of other or no language share a model
     and a band. Null texts are empty: they have no words, no perplexity, and fail. Rows of one text and
     language are counted once and judged alike; ``group_bytes`` of texts are held by one task at a time.
     Columns called ``quality``, ``base_failed`` or ``kept`` are replaced. Empty table, no rows.

@@ -104,10 +104,10 @@ def test_probabilities_of_a_context_add_up_to_one():
 
 
 def prose(rng, order, n=120):
-    """Words that follow one another by rule, as a language's do."""
-    made = [rng.choice(order[0])]
+    """Words that mostly follow one another by rule, as a language's do; some texts keep to it less."""
+    made, free = [rng.choice(order[0])], 0.1 * rng.random()
     while len(made) < n:
-        made.append(rng.choice(order[1][made[-1]]))
+        made.append(rng.choice(order[0] if rng.random() < free else order[1][made[-1]]))
     return made
 
 
@@ -147,6 +147,22 @@ def test_pairs_of_words_do_not_depend_on_groups(spark):
     assert one[100] == one[0] and abs(one[0] - np.median([one[i] for i in range(40)])) < 1
 
 
+def test_texts_are_scored_by_their_own_language(spark):
+    rng, one, two = random.Random(7), rule(1, LATIN), rule(2, OTHER)
+    own = [prose(rng, one, 240) for _ in range(120)]
+    foreign = [prose(rng, two, 240) for _ in range(120)]
+    rows = [(i, " ".join(t), "en") for i, t in enumerate(own)]
+    rows += [(1000 + i, " ".join(t), "es") for i, t in enumerate(foreign)]
+    wrong = [(2000 + i, " ".join(prose(rng, two, 240)), "en") for i in range(3)]
+    mixed = [
+        (3000 + i, " ".join(w for k in range(0, 240, 12) for w in prose(rng, (one, two)[k // 12 % 2], 12)), "en")
+        for i in range(3)
+    ]
+    quoting = [(4000 + i, " ".join(prose(rng, one, 200) + prose(rng, two, 40) + prose(rng, one, 200)), "en") for i in range(3)]
+    kept = kept_of(spark, [*rows, *wrong, *mixed, *quoting])
+    assert kept == {r[0] for r in [*rows, *quoting]}
+
+
 # --- Licenses ----------------------------------------------------------------------------------
 
 
