@@ -544,13 +544,14 @@ def _within(field: str, edges: dict):
 
 
 def judge(
-    docs: DataFrame, languages: tuple[str, ...] = ("de", "en", "es", "fr"), spread: float = 8.0, least: float = 0.6,
+    docs: DataFrame, languages: tuple[str, ...] = ("de", "en", "es", "fr"), spread: float = 4.0,
     group_bytes: int = 8 << 20, bucket_bytes: int = 32 << 20,
 ) -> DataFrame:
     """``docs`` (text, lang, any others) with ``quality``, ``base_failed`` and ``kept``.
 
     A document is kept when the plain rule passes, the log perplexity of its words is not above its
-    language's band and that of its letters lies within. Foreign passages go unscored up to a quarter of
+    language's band and that of its letters lies within. Bands reach ``spread`` robust deviations from the
+    median of the language's texts of about that length. Foreign passages go unscored up to a quarter of
     a document; with more, all of it is scored by its own language. Documents of other or no language share a model
     and a band. Null texts are empty: they have no words, no perplexity, and fail. Rows of one text and
     language are counted once and judged alike; ``group_bytes`` of texts are held by one task at a time.
@@ -564,8 +565,8 @@ def judge(
     for key, (_, middle, high) in bands(scored, "log_perplexity").items():
         words[key] = (0.0, middle + spread * (high - middle + BIN) / QUARTILE)
     for key, (low, middle, high) in bands(scored, "letter_perplexity").items():
-        width = max(spread * (high - low + BIN) / 2 / QUARTILE, least)
-        letters[key] = (middle - width, middle + width)
+        down, up = (spread * (x + BIN) / QUARTILE for x in (middle - low, high - middle))
+        letters[key] = (middle - down, middle + up)
     inside = _within("log_perplexity", words) & _within("letter_perplexity", letters)
     failed = base_failed()
     judged = scored.withColumn("base_failed", failed).withColumn("kept", ~failed & inside)

@@ -163,6 +163,17 @@ def test_texts_are_scored_by_their_own_language(spark):
     assert kept == {r[0] for r in [*rows, *quoting]}
 
 
+def test_bands_follow_the_language(spark):
+    rng, order = random.Random(9), rule(1, LATIN)
+    clean = [prose(rng, order, rng.randrange(100, 250)) for _ in range(200)]
+    symbols = [[w + rng.choice(["%%%", "&&&", "###"]) for w in prose(rng, order)] for _ in range(3)]
+    cells = [[x for w in prose(rng, order, 60) for x in (w, "|", str(rng.randrange(10**6)), "|")] for _ in range(3)]
+    again = [prose(rng, order, 40) * 6 for _ in range(3)]
+    rows = [(i, " ".join(t), "en") for i, t in enumerate([*clean, *symbols, *cells, *again])]
+    kept = kept_of(spark, rows)
+    assert len(kept & set(range(200))) >= 198 and not kept - set(range(200))
+
+
 # --- Licenses ----------------------------------------------------------------------------------
 
 
