@@ -2,7 +2,8 @@
 
 Two character Markov models, one of random strings and one of ordinary identifiers, are trained from
 labelled samples. A candidate string is a secret when the log likelihood ratio per character step is
-above a threshold. The models are one table over a fixed alphabet, whatever the samples.
+above a threshold; else its stretches with as much evidence as a shortest secret are. The models are one
+table over a fixed alphabet, whatever the samples.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"  # a run shorter than that holds no match
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+LEAST = 20  # characters of a random-looking string
+REST = 6  # and of what a pattern's match leaves of one
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 STEMS = (
     "account address amount archive article author balance batch before bottom bucket buffer button cache "
@@ -113,26 +116,119 @@ def train(samples: DataFrame, smooth: float = 0.5) -> list[float]:
     return (logs[1] - logs[0]).ravel().tolist()
 
 
-def likelihood_ratio(value: Column, table: list[float]) -> Column:
-    """Mean log likelihood ratio of a string's character steps; others than the alphabet's say nothing."""
+def _step(value: Column, table: list[float]):
+    """The log likelihood ratio of the step from a string's i-th character, as a function of i."""
     ratios = F.split(F.lit(" ".join(f"{x:.6f}" for x in table)), " ").cast("array<double>")
 
     def step(i):
         a, b = _place(value, i), _place(value, i + 1)
         return F.when((a > 0) & (b > 0), F.get(ratios, (a - 1) * len(ALPHABET) + b - 1)).otherwise(F.lit(0.0))
 
-    steps = F.length(value) - 1
+    return step
+
+
+def likelihood_ratio(value: Column, table: list[float]) -> Column:
+    """Mean log likelihood ratio of a string's character steps; others than the alphabet's say nothing."""
+    step, steps = _step(value, table), F.length(value) - 1
     total = F.aggregate(F.sequence(F.lit(1), steps), F.lit(0.0), lambda t, i: t + step(i))
     return F.when(steps > 0, total / steps).otherwise(F.lit(0.0))
 
 
+STRETCH = "array<struct<low:int,high:int>>"
+
+
+def _stretches(value: Column, table: list[float], threshold: float, least: Column) -> Column:
+    """``low, high`` of the stretches of a string whose sum of ratios above the threshold is greatest.
+
+    A stretch ends where the sum is used up, or has lost what makes a shortest secret. It counts when
+    its ratios sum to at least that. Its ends move to the nearest separator, outwards when that takes
+    in no more of the word there than the stretch already holds, else inwards.
+    """
+    step, none = _step(value, table), F.array().cast(STRETCH)
+    need = F.lit(threshold) * (least - 1)
+
+    def closed(acc):
+        found = F.struct(acc["low"].alias("low"), (acc["stop"] + 1).alias("high"))
+        enough = acc["best"] + F.lit(threshold) * (acc["stop"] + 1 - acc["low"]) >= need
+        return F.when((acc["best"] > 0) & enough, F.concat(acc["all"], F.array(found))).otherwise(acc["all"])
+
+    def add(acc, i):
+        total = acc["sum"] + step(i) - F.lit(threshold)
+        ends, higher = (total <= 0) | (total < acc["best"] - need), total > acc["best"]
+        return F.struct(
+            F.when(ends, F.lit(0.0)).otherwise(total).alias("sum"),
+            F.when(ends, i + 1).otherwise(acc["low"]).alias("low"),
+            F.when(ends, F.lit(0.0)).when(higher, total).otherwise(acc["best"]).alias("best"),
+            F.when(ends | higher, i).otherwise(acc["stop"]).alias("stop"),
+            F.when(ends, closed(acc)).otherwise(acc["all"]).alias("all"),
+        )
+
+    begin = F.struct(
+        F.lit(0.0).alias("sum"), F.lit(1).alias("low"), F.lit(0.0).alias("best"), F.lit(0).alias("stop"), none.alias("all")
+    )
+    found = F.aggregate(F.sequence(F.lit(1), F.length(value) - 1), begin, add, closed)
+    size = lambda text, pattern: F.length(F.regexp_extract(text, pattern, 0))
+
+    def moved(s):
+        inner = F.substr(value, s["low"], s["high"] - s["low"] + 1)
+        head, tail = size(inner, "^[A-Za-z0-9]*"), size(inner, "[A-Za-z0-9]*$")
+        before = size(F.substr(value, F.lit(1), s["low"] - 1), "[A-Za-z0-9]*$")
+        after = size(F.substr(value, s["high"] + 1, F.length(value)), "^[A-Za-z0-9]*")
+        alone = head == F.length(inner)
+        return F.struct(
+            F.when(alone | (before <= head), s["low"] - before).otherwise(s["low"] + head + 1).alias("low"),
+            F.when(alone | (after <= tail), s["high"] + after).otherwise(s["high"] - tail - 1).alias("high"),
+        )
+
+    return F.filter(F.transform(found, moved), lambda s: s["high"] - s["low"] + 1 >= least)
+
+
+def _pieces(span: Column, base: Column) -> Column:
+    """``low, high`` of the characters of a span that lie in none of the sorted base spans."""
+    cuts = F.filter(base, lambda b: (span["start"] < b["end"]) & (b["start"] < span["end"]))
+    piece = lambda low, high: F.array(F.struct(low.alias("low"), high.alias("high")))
+
+    def cut(acc, b):
+        more = F.concat(acc["all"], piece(acc["at"], b["start"]))
+        rest = F.when(b["start"] > acc["at"], more).otherwise(acc["all"])
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), rest.alias("all"))
+
+    def last(acc):
+        return F.when(acc["at"] < span["end"], F.concat(acc["all"], piece(acc["at"], span["end"]))).otherwise(acc["all"])
+
+    begin = F.struct(span["start"].alias("at"), F.array().cast(STRETCH).alias("all"))
+    return F.aggregate(cuts, begin, cut, last)
+
+
+def _random_spans(text: Column, base: Column, table: list[float], threshold: float) -> Column:
+    """Spans of the random-looking strings, without what patterns have matched of them."""
+    rank = F.lit(KINDS.index("markov") + 1)
+
+    def of_piece(span, piece):
+        value = F.substr(text, piece["low"] + 1, piece["high"] - piece["low"])
+        least = F.when(F.length(value) == F.length(span["value"]), F.lit(LEAST)).otherwise(F.lit(REST))
+        whole = F.array(F.struct(F.lit(1).alias("low"), F.length(value).alias("high")))
+        random = likelihood_ratio(value, table) >= threshold
+        found = F.when(F.length(value) < least, F.array().cast(STRETCH)).when(random, whole).otherwise(
+            _stretches(value, table, threshold, least)
+        )
+        return F.transform(found, lambda s: F.struct(
+            (piece["low"] + s["low"] - 1).alias("start"), rank.alias("rank"), (piece["low"] + s["high"]).alias("end"),
+            F.substr(value, s["low"], s["high"] - s["low"] + 1).alias("value"),
+        ))
+
+    of_span = lambda span: F.flatten(F.transform(_pieces(span, base), lambda p: of_piece(span, p)))
+    return F.flatten(F.transform(pattern_spans(text, "markov", CANDIDATE), of_span))
+
+
 def find_secrets(docs: DataFrame, table: list[float] | None = None, threshold: float = 0.6) -> DataFrame:
     """``docs`` (text, any others) with one more column ``secrets``: spans by start and kind.
 
     A span has ``start, rank, end, value``, in characters; ``KINDS[rank - 1]`` is its kind. Matches of
     a kind do not overlap, those of different kinds may. A random-looking string is one of 20 or more
-    characters whose mean log likelihood ratio reaches the threshold, unless it overlaps a pattern's
-    match. Null and empty texts hold none. All columns stay; one called ``secrets`` is replaced.
+    characters whose mean log likelihood ratio reaches the threshold, or the stretches of a longer one
+    that would. What patterns match of it is left to them; the rest is judged from 6 characters on. Null
+    and empty texts hold none. All columns stay; one called ``secrets`` is replaced.
     """
     if table is None:
         table = train(labelled_samples(docs.sparkSession))
@@ -144,12 +240,8 @@ def find_secrets(docs: DataFrame, table: list[float] | None = None, threshold: f
         longer(pattern_spans(text, "access", ACCESS), 18),
         pattern_spans(text, "hex", HEX),
     )
-    apart = lambda s: ~F.exists("__base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"]))
-    odd = F.filter(
-        pattern_spans(text, "markov", CANDIDATE),
-        lambda s: apart(s) & (likelihood_ratio(s["value"], table) >= threshold),
-    )
-    return docs.withColumn("__base", base).withColumn("secrets", F.array_sort(F.concat("__base", odd))).drop("__base")
+    odd = _random_spans(text, F.col("__base"), table, threshold)
+    return docs.withColumn("__base", F.array_sort(base)).withColumn("secrets", F.array_sort(F.concat("__base", odd))).drop("__base")
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:

@@ -246,6 +246,27 @@ def test_redaction(spark):
     assert {r["doc_id"]: r["text"] for r in cleaned.collect()} == {1: "é [SECRET] end", 2: None, 3: "plain", 4: ""}
 
 
+def test_random_parts_of_long_strings_are_found(spark):
+    rng, letters = random.Random(11), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    slug = lambda n, by="-": by.join(rng.choice(secret_scan.STEMS) for _ in range(n))
+    key = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    rows, keys = [], []
+    for i in range(40):
+        keys.append([key(24), key(32)])
+        rows.append((i, f"see {slug(6)}-{keys[-1][0]}/{slug(8, '_')}/{keys[-1][1]}/{slug(5)} é"))
+    hexed = "0123456789abcdef" * 2
+    rows += [(100, f"x {hexed}-{keys[0][0]} y"), (101, f"/{slug(3, '/')}/{hexed}/{slug(3, '/')}"), (102, slug(60))]
+    found = secret_scan.find_secrets(documents(spark, rows))
+    assert python_free(found)
+    spans = {r["doc_id"]: [(s["start"], s["end"], s["value"]) for s in r["secrets"] if s["rank"] == 4] for r in found.collect()}
+    text = dict(rows)
+    assert all(text[d][a:b] == value for d, made in spans.items() for a, b, value in made)
+    hit = [any(k in value for _, _, value in spans[i]) for i in range(40) for k in keys[i]]
+    assert sum(hit) >= 76
+    assert sum(len(v) for i in range(40) for _, _, v in spans[i]) < 80 * 40  # the ordinary rest stays
+    assert [keys[0][0] in v for _, _, v in spans[100]] == [True] and spans[101] == spans[102] == []
+
+
 # --- URL filters -------------------------------------------------------------------------------
 
 
