@@ -2,7 +2,8 @@
 
 A source's target is whole passes over all its documents and a remaining budget. The budget is spent
 on document counts per exact length: a proportional share of every length first, then the rest by
-bounded-knapsack dynamic programming over what is left of each length. Which documents of a length are
+bounded-knapsack dynamic programming over what is left of each length; where that misses, fixed documents
+are exchanged until no choice comes nearer. Which documents of a length are
 taken is decided by a seeded order. Only counts per (source, length, slice of the order) are gathered;
 a source's histogram has at most as many entries as it has different lengths.
 """
@@ -139,6 +140,76 @@ def _knapsack(size, left, goal) -> np.ndarray:
     return out
 
 
+def nearest_counts(length: np.ndarray, n: np.ndarray, budget: float) -> np.ndarray:
+    """As ``fit_counts``, and no other choice of documents comes nearer the budget.
+
+    Where the fit misses, documents are exchanged: a few of some lengths first, then ever more, in the
+    end all of all lengths. A miss that the lengths' common divisor forces is known to be least.
+    """
+    take = fit_counts(length, n, budget)
+    size, have = length.astype(np.int64), n.astype(np.int64)
+    used = np.flatnonzero((size > 0) & (have > 0))
+    if not used.size:
+        return take
+    goal = int(round(min(max(budget, 0), int((size * have).sum()))))
+    step = int(np.gcd.reduce(size[used]))
+    least = min(goal % step, -goal % step)
+    free, wide = 1, min(8, used.size)
+    while abs(goal - int((size * take).sum())) > least:
+        some = used[np.linspace(0, used.size - 1, wide).astype(np.int64)]
+        low = np.maximum(take[some] - free, 0)
+        high = np.minimum(take[some] + free, have[some])
+        kept = int((size * take).sum()) - int((size[some] * (take[some] - low)).sum())
+        miss = abs(goal - int((size * take).sum()))
+        better = _exchange(size[some], high - low, goal - kept, miss, least)
+        if better is not None:
+            take[some] = low + better
+        if wide == used.size and (low == 0).all() and (high == have[some]).all():
+            break
+        free, wide = 2 * free, min(2 * wide, used.size)
+    return take
+
+
+def _exchange(size, have, goal, miss, least):
+    """Counts whose sum is nearest the goal if it is nearer than ``miss``; any found at ``least`` will do.
+
+    Sums that can no longer come nearer are dropped, so only those about the goal are held.
+    """
+    items = []
+    for i in np.argsort(-size).tolist():
+        rest, chunk = int(have[i]), 1
+        while rest > 0:
+            items.append((i, min(chunk, rest)))
+            rest, chunk = rest - items[-1][1], chunk * 2
+    left = sum(int(size[i]) * part for i, part in items)
+    sums, made, found = np.zeros(1, np.int64), [], None
+    if abs(goal) < miss:
+        found, miss = 0, abs(goal)
+    for i, part in items:
+        weight = int(size[i]) * part
+        left -= weight
+        new = sums + weight
+        new = np.setdiff1d(new[new < goal + miss], sums, assume_unique=True)
+        made.append(new)
+        sums = np.union1d(sums, new)
+        if new.size:
+            nearest = int(new[np.abs(new - goal).argmin()])
+            if abs(nearest - goal) < miss:
+                found, miss = nearest, abs(nearest - goal)
+        if miss <= least:
+            break
+        sums = sums[(sums < goal + miss) & (sums > goal - miss - left)]
+    if found is None:
+        return None
+    out = np.zeros(len(size), np.int64)
+    for (i, part), new in reversed(list(zip(items, made, strict=False))):
+        at = np.searchsorted(new, found)
+        if at < len(new) and new[at] == found:
+            out[i] += part
+            found -= int(size[i]) * part
+    return out
+
+
 def mix(
     docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: int = 17
 ) -> DataFrame:
@@ -166,7 +237,7 @@ def mix(
         whole, target = int(frame["source_size"].iloc[0]), float(frame["target"].iloc[0])
         passes = min(int(target // whole), most) if whole else 0
         rest = 0.0 if passes >= most else target - passes * whole
-        frame["chosen"] = fit_counts(frame["size"].to_numpy(), frame["n"].to_numpy(), rest)
+        frame["chosen"] = nearest_counts(frame["size"].to_numpy(), frame["n"].to_numpy(), rest)
         frame["passes"] = passes
         return frame[["none", "name", "size", "source_size", "target", "passes", "chosen"]]
 

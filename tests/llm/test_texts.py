@@ -348,6 +348,23 @@ def test_fit_takes_what_comes_nearest(exact):
             assert miss <= max(length)
 
 
+def test_no_choice_of_documents_comes_nearer():
+    rng = np.random.default_rng(3)
+    cases = [([7, 4], [2, 2], 14.0), ([150000, 110000, 90000], [1, 1, 1], 200000.0), ([6, 10], [1000, 1000], 7003.0)]
+    for _ in range(300):
+        length = np.unique(rng.integers(0, (40, 90000)[int(rng.integers(2))], 6))
+        n = rng.integers(1, 5, len(length))
+        cases.append((length, n, float(rng.integers(0, int((length * n).sum()) + 1))))
+    for length, n, budget in cases:
+        length, n = np.array(length), np.array(n)
+        chosen = mixing.nearest_counts(length, n, budget)
+        assert ((chosen >= 0) & (chosen <= n)).all()
+        sums = {0}
+        for size, k in zip(length.tolist(), n.tolist()):
+            sums = {s + size * i for s in sums for i in range(k + 1)}
+        assert abs(int((chosen * length).sum()) - budget) == min(abs(s - budget) for s in sums)
+
+
 def test_mix_is_whole_and_repeatable(spark):
     rng = random.Random(6)
     rows = [(rng.randrange(90), " ".join("w" * rng.randrange(25)), rng.choice(["a", "b", None])) for _ in range(300)]
