@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.llm import decontamination, licenses, mixing, quality, secret_scan, simhash, substring, suffixes, urls, warc
+from claimworks.llm import decontamination, licenses, mixing, packing, quality, secret_scan, simhash, substring, suffixes, urls, warc
 from claimworks.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,3 +127,13 @@ def op10_secret_scan(spark, folder):
         F.sha2(named(F.filter("secrets", lambda s: s["rank"] <= 3)), 256).alias("base_sha256"),
         named(F.col("secrets")).alias("spans"),
     )
+
+
+@query
+def op12_packing(spark, folder):
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(table(spark, folder, "documents"), vocabulary).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
