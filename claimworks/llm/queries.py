@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.llm import decontamination, licenses, mixing, packing, quality, secret_scan, simhash, substring, suffixes, urls, warc
+from claimworks.llm import collocations, conversations, decontamination, licenses, mixing, packing, quality, secret_scan, simhash, substring, suffixes, urls, warc
 from claimworks.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +129,11 @@ def op10_secret_scan(spark, folder):
     )
 
 
+@query
+def op11_collocations(spark, folder):
+    return collocations.mine(table(spark, folder, "documents"))
+
+
 @query
 def op12_packing(spark, folder):
     import public_tokenizers
@@ -137,3 +142,15 @@ def op12_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), vocabulary).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op13_conversation_repair(spark, folder):
+    rows = table(spark, folder, "conversations")
+    found = conversations.conversations(conversations.damage(rows)).withColumnRenamed("conv_id", "id")
+    zeros = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in zeros],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.sha2(F.coalesce(F.array_join("repaired", "\n"), F.lit("")), 256).alias("repaired_sha256"),
+    )
