@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 
 from claimworks.operators.aggregates import ordered, totals
 from claimworks.operators.labels import with_labels
+from claimworks.plans import partials
 from claimworks.sources.archives import CSV_TEXT
-from claimworks.sources.curated import read_curated, register_views
+from claimworks.sources.curated import register_views
 from claimworks.sources.labels import read_labels
 
 # --- Fixed values: names of the result columns -----------------------------------------------
@@ -24,6 +26,7 @@ ROWS = "lignes_agregees"
 NEGATIVE_ROWS = "lignes_remboursement_negatif"
 SERVICE_LABEL = "libelle_prestation"
 # ---------------------------------------------------------------------------------------------
+NEGATIVE = "FLT_REM_MNT < 0"
 
 
 @dataclass(frozen=True)
@@ -46,8 +49,22 @@ class Breakdown:
         )
 
     def run(self, claims: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-        counts = {self.negatives: F.col("FLT_REM_MNT") < 0} if self.negatives else None
-        result = totals(claims, self.by, self.sums, self.rows, counts)
+        counts = {self.negatives: F.expr(NEGATIVE)} if self.negatives else None
+        return self._shown(totals(claims, self.by, self.sums, self.rows, counts), labels)
+
+    def of_states(self, states: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+        """The same from states of :mod:`claimworks.plans.partials`."""
+        keys = tuple(self.by.values())
+        groups = partials.merged(states, KEY_LISTS.index(keys), keys)
+        columns = {name: F.col(c) for name, c in self.by.items()}
+        if self.rows:
+            columns[self.rows] = F.col(partials.ROWS)
+        columns |= {name: F.col(f"{partials.SUM}{c}") for name, c in self.sums.items()}
+        if self.negatives:
+            columns[self.negatives] = F.col(f"{partials.COUNT}{self.negatives}")
+        return self._shown(groups.select(*[c.alias(name) for name, c in columns.items()]), labels)
+
+    def _shown(self, result: DataFrame, labels: DataFrame | None) -> DataFrame:
         if self.rows_last:
             result = result.select(*[c for c in result.columns if c != self.rows], self.rows)
         if self.label:
@@ -89,13 +106,50 @@ ANALYSES: dict[str, Breakdown] = {
 }
 
 
+# What the states of all analyses hold: two analyses by the same codes share a key list.
+KEY_LISTS = list(dict.fromkeys(tuple(a.by.values()) for a in ANALYSES.values()))
+STATE_SUMS = list(dict.fromkeys(c for a in ANALYSES.values() for c in a.sums.values()))
+STATE_COUNTS = {NEGATIVE_ROWS: NEGATIVE}
+
+
 def run_analyses(
     spark: SparkSession, root: str, months: list[str] | None = None
 ) -> dict[str, DataFrame]:
-    """All standing analyses over the published months, in name order."""
-    claims = read_curated(spark, root, months)
+    """All standing analyses over the published months, in name order.
+
+    Months published since the last call are read once, for all analyses together; the others' stored
+    states are added up.
+    """
     labels = read_labels(spark, f"{root.rstrip('/')}/references")
-    return {name: analysis.run(claims, labels) for name, analysis in sorted(ANALYSES.items())}
+    return results_of(stored_partials(root).states(spark, months), labels)
+
+
+def stored_partials(root: str) -> partials.Partials:
+    return partials.Partials(root, KEY_LISTS, STATE_SUMS, STATE_COUNTS)
+
+
+def results_of(states: DataFrame, labels: DataFrame) -> dict[str, DataFrame]:
+    return {name: analysis.of_states(states, labels) for name, analysis in sorted(ANALYSES.items())}
+
+
+def analyses_at_once(claims: DataFrame, labels: DataFrame) -> dict[str, DataFrame]:
+    """All standing analyses of any claims table, which is read once."""
+    return results_of(partials.states_once(claims, KEY_LISTS, STATE_SUMS, STATE_COUNTS), labels)
+
+
+def united(results: dict[str, DataFrame]) -> DataFrame:
+    """All results as one table: ``query``, up to two codes, and every measure that some result has."""
+    frames = []
+    measures = {ROWS: "long", **dict.fromkeys([*REIMBURSED, *SPENT, *EXCESS, *QUANTITY], "decimal(38,6)"),
+                NEGATIVE_ROWS: "long", SERVICE_LABEL: "string"}
+    for name, result in results.items():
+        codes = [c for c in ANALYSES[name].by if c not in MONTH]
+        code = lambda i, codes=codes: (F.col(codes[i]) if i < len(codes) else F.lit(None)).cast("string")
+        frames.append(result.select(
+            F.lit(name).alias("query"), *MONTH, code(0).alias("code"), code(1).alias("code_2"),
+            *[(F.col(c) if c in result.columns else F.lit(None)).cast(kind).alias(c) for c, kind in measures.items()],
+        ))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def run_sql_dir(spark: SparkSession, folder: str, **args) -> dict[str, DataFrame]:
