@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from claimworks.functions import quoted, total
 from claimworks.operators.cleaning import DEFECTS
 from claimworks.schema import (
-    CLAIMS, KNOWN_REIMBURSEMENT_TYPES, LEGAL_PART_TYPES, TOTAL_TYPE, UNKNOWN_CODE, TableSpec,
+    CLAIMS, KNOWN_REIMBURSEMENT_TYPES, LEGAL_PART_TYPES, RESERVED_BLANK_NAME, TOTAL_TYPE, UNKNOWN_CODE, TableSpec,
 )
+from claimworks.sources.archives import MALFORMED
 
 CARE_MONTH = r"^(?:0?[1-9]|1[0-2])\z"
 NULLS, SUM = "null__", "sum__"
@@ -66,16 +67,38 @@ def profile(
     """
     month = F.col(file_month) if isinstance(file_month, str) else file_month
     data = [c for c in df.columns if c not in (by, DEFECTS)] if columns is None else list(columns)
+    metrics = profile_metrics(month, data, DEFECTS in df.columns, spec, money)
+    return (df.groupBy(by) if by else df.groupBy()).agg(*metrics)
+
+
+def profile_metrics(
+    file_month: Column, columns: Sequence[str], defects: bool = False, spec: TableSpec = CLAIMS,
+    money: Sequence[str] | None = None,
+) -> list[Column]:
+    """The aggregates of a profile, for a grouped pass or for an observation of a write."""
     metrics = [F.count(F.lit(1)).alias("rows")]
-    if DEFECTS in df.columns:
+    if defects:
+        damaged = [*[c for c in columns if c in spec.numeric], RESERVED_BLANK_NAME, MALFORMED]
+        seen = [F.when(F.max(F.array_contains(DEFECTS, c)), F.lit(c)) for c in damaged]
         metrics += [
             F.count_if(F.col(DEFECTS).isNotNull()).alias("defect_rows"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set(DEFECTS)))).alias("defect_columns"),
+            F.array_sort(F.array_compact(F.array(*seen))).alias("defect_columns"),
         ]
-    metrics += [F.count_if(test).alias(name) for name, test in rule_counts(month, spec).items()]
-    metrics += null_counts(data)
-    metrics += checksums(spec.money if money is None else money)
-    return (df.groupBy(by) if by else df.groupBy()).agg(*metrics)
+    metrics += [F.count_if(test).alias(name) for name, test in rule_counts(file_month, spec).items()]
+    return metrics + null_counts(columns) + checksums(spec.money if money is None else money)
+
+
+def observed_write(rows: DataFrame, metrics: Sequence[Column], write: Callable[[DataFrame], None]) -> dict:
+    """Write rows and return metrics of them by name, in one pass.
+
+    ``write`` gets the rows and must not shuffle them. The metrics, aggregates as of
+    :func:`profile_metrics`, are taken from the rows on their way into the files. They are exact under
+    lost and repeated tasks: they belong to the tasks that write, and Spark adds up those of one
+    successful attempt per part, as it commits the files of one. If the write fails, there are none.
+    """
+    seen = Observation()
+    write(rows.observe(seen, *metrics))
+    return seen.get
 
 
 def blocking_rules(columns: Sequence[str], spec: TableSpec = CLAIMS) -> list[tuple[Column, Column]]:
@@ -113,8 +136,8 @@ def long_metrics(profiles: DataFrame, by: list[str], prefix: str, name: str) ->
     return renamed.unpivot(by, [c[len(prefix):] for c in family], name, "value")
 
 
-def row_digest(df: DataFrame) -> Column:
-    """SHA-256 of a row; equal digests mean equal rows, nulls included.
+def row_text(df: DataFrame) -> Column:
+    """A text that stands for a row; equal texts mean equal rows, nulls included.
 
     Each value is written with its length, and null as a sign no length starts with, so different
     rows cannot give the same text. Both zeros of floating numbers are one value, as in a group.
@@ -126,7 +149,12 @@ def row_digest(df: DataFrame) -> Column:
             value = F.when(value == 0, F.lit(0).cast(kind)).otherwise(value)
         text = value.cast("string")
         parts += [F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-"))]
-    return F.unhex(F.sha2(F.concat(*parts), 256))
+    return F.concat(*parts)
+
+
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of a row."""
+    return F.unhex(F.sha2(row_text(df), 256))
 
 
 def duplicate_excess(df: DataFrame, by: str | None = None) -> DataFrame:

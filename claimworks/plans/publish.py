@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimworks.functions import quoted, utc_now, valid_month
 from claimworks.operators.cleaning import DEFECTS, clean_with_defects
 from claimworks.operators.fixity import ACCEPTED, check_archives, fingerprints, plain_path
-from claimworks.operators.quality import POLICY, duplicate_excess, gate, profile
+from claimworks.operators.quality import POLICY, duplicate_excess, gate, observed_write, profile_metrics
 from claimworks.schema import CLAIMS, StructureError, TableSpec, check_required
 from claimworks.session import small_methods
-from claimworks.sources.archives import MONTH_IN_PATH, header_problem, read_delimited
+from claimworks.sources.archives import MONTH_IN_PATH, header_problem
 from claimworks.sources.curated import (
     PARTITION, SOUND, UNREADABLE, curated_path, current_runs, record_schema, remove_old_runs,
 )
-from claimworks.sources.files import file_facts
+from claimworks.sources.decode import archive_facts, decode_archives, parse_blocks
+from claimworks.sources.files import file_facts, list_files
 from claimworks.sources.metadata import (
     manifests_path, quality_path, read_manifests, read_quality, read_sidecars,
 )
@@ -30,8 +35,7 @@ ZSTD = {
     "parquet.compression.codec.zstd.level": "3",
     "parquet.block.row.count.limit": "131072",
 }
-# Compressed archive bytes that make one part file; their Parquet form is about as large.
-PART_BYTES = 128 * 1024 * 1024
+MONTHS_AT_ONCE = 8  # jobs that write a month each, side by side
 
 
 class PublishBlocked(ValueError):
@@ -94,39 +98,59 @@ def output_fingerprints(spark: SparkSession, root: str, runs: dict[str, str]) ->
 
 def stage(
     spark: SparkSession,
-    archives: list[tuple[list[str], list[str], int]],
+    decoded: DataFrame,
+    layouts: dict[str, list[tuple[list[str], list[str]]]],
     path: str,
     spec: TableSpec = CLAIMS,
-    month_in_path: str = MONTH_IN_PATH,
 ) -> DataFrame:
-    """Read archives, clean them, write a candidate table by month and soundness, and return it.
+    """Clean the decoded archives, write a candidate table by month and soundness, and profile it.
 
-    ``archives`` lists ``(header, paths, lots)``. A gzip archive is one task. Its rows are dealt out
-    right after the read, in as many lots as the archive is large, so parsing amounts and writing
-    run wide; lots of a month that meet in one task share a part file. Rows with defects go to a
-    folder that names them, so the sound files can be published as they are.
+    ``layouts`` lists for each month ``(header, archives)``. The months are written side by side, each as
+    a job of its own, which parses the month's blocks wherever they are read and shuffles nothing. Its
+    profile is observed on the rows as they are written, so nothing reads the candidate again; the
+    profiles, one row per month, are returned. Rows with defects go to a folder that names them, so the
+    sound files can be published as they are.
     """
+    archives: dict[str, tuple[list[str], list[str]]] = {}
+    for layout in layouts.values():
+        for header, names in layout:
+            archives.setdefault(json.dumps(header), (header, []))[1].extend(names)
     frames = []
-    for header, paths, lots in archives:
-        file_lots = F.greatest(F.lit(1), F.ceil(F.col("_metadata.file_size") / PART_BYTES))
-        dealt = (
-            read_delimited(spark, paths, header, keep_malformed=True)
-            .select(
-                "*",
-                F.regexp_extract(F.col("_metadata.file_path"), month_in_path, 1).alias(PARTITION),
-                F.pmod(F.monotonically_increasing_id(), file_lots).alias("_lot"),
-            )
-            .repartition(lots, PARTITION, "_lot")
-            .drop("_lot")
+    for header, names in archives.values():
+        some = decoded if len(archives) == 1 else decoded.where(F.col("path").isin(names))
+        frames.append(clean_with_defects(parse_blocks(some, header), spec))
+    cleaned = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    columns = [c for c in cleaned.columns if c not in (DEFECTS, PARTITION)]
+    metrics = profile_metrics(F.col(PARTITION), columns, True, spec)
+    soundness = F.coalesce(F.array_join(DEFECTS, ","), F.lit(SOUND)).alias(UNREADABLE)
+    written = [*map(quoted, columns), soundness]
+
+    def one(month: str) -> tuple:
+        started = time.monotonic()
+        found = observed_write(
+            cleaned.where(F.col(PARTITION) == month), metrics,
+            lambda rows: rows.select(*written).write.mode("overwrite").options(**ZSTD).partitionBy(UNREADABLE).parquet(
+                f"{path}/{PARTITION}={month}"
+            ),
         )
-        frames.append(clean_with_defects(dealt, spec))
-    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    parted = united.withColumn(
-        UNREADABLE, F.coalesce(F.array_join(DEFECTS, ","), F.lit(SOUND))
-    ).drop(DEFECTS)
-    parted.write.mode("overwrite").options(**ZSTD).partitionBy(PARTITION, UNREADABLE).parquet(path)
-    defects = F.when(F.col(UNREADABLE) != SOUND, F.split(UNREADABLE, ","))
-    return spark.read.schema(parted.schema).parquet(path).withColumn(DEFECTS, defects).drop(UNREADABLE)
+        return (month, round(time.monotonic() - started, 3), *found.values())
+
+    with ThreadPoolExecutor(MONTHS_AT_ONCE) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(one), layouts))
+    schema = T.StructType().add(PARTITION, "string").add("seconds", "double")
+    for f in cleaned.agg(*metrics).schema:
+        schema = schema.add(f.name, f.dataType)
+    return spark.createDataFrame(rows, schema)
+
+
+def candidate_table(spark: SparkSession, path: str, columns: list[str], spec: TableSpec = CLAIMS) -> DataFrame:
+    """The rows that ``stage`` wrote, with their month and the names of their damaged columns."""
+    schema = T.StructType([
+        T.StructField(c, T.DecimalType(24, 6) if c in spec.numeric else T.StringType()) for c in columns
+    ])
+    for name in (PARTITION, UNREADABLE):
+        schema = schema.add(name, T.StringType())
+    return spark.read.schema(schema).parquet(path)
 
 
 def publish_months(
@@ -181,28 +205,28 @@ def publish_months(
     todo = [row[PARTITION] for row in plan if row["action"] == "publish"]
     if todo:
         # Only archives that will be published are decoded.
-        wanted = accepted.where(F.col(PARTITION).isin(todo)).select("path")
+        wanted = accepted.where(F.col(PARTITION).isin(todo)).select(F.col("path").alias("_path"), PARTITION)
+        listed = list_files(spark, raw, glob)
+        decoded = decode_archives(
+            listed.join(wanted, plain_path("path") == wanted["_path"]).select("path", PARTITION),
+            f"{staging}/decoded",
+        )
         details = _checked(
             spark, f"{staging}/details", requested.where(F.col(PARTITION).isin(todo)),
-            file_facts(
-                spark, raw, glob, "full",
-                keep=lambda files: files.join(wanted, plain_path(files["path"]) == wanted["path"], "left_semi"),
-            ),
-            declared.where(F.col(PARTITION).isin(todo)), month_in_path,
+            archive_facts(decoded).drop(PARTITION), declared.where(F.col(PARTITION).isin(todo)), month_in_path,
         )
         broken = _reasons(details.where(F.col("verdict") != ACCEPTED), "verdict")
         blocked |= broken
         accepted = details.where(~F.col(PARTITION).isin(list(broken)))
         todo = [m for m in todo if m not in broken]
-    for archives, group in _by_layout(accepted) if todo else ():
-        problem = _layout_problem(archives, spec)
+    for layouts in _by_layout(accepted, decoded) if todo else ():
+        problem = _layout_problem(layouts, spec)
         if problem:
-            blocked |= {m: [problem] for m in group}
+            blocked |= {m: [problem] for m in layouts}
             continue
         with small_methods(spark):
             blocked |= _publish_group(
-                spark, root, archives, group, accepted, sources, spec, month_in_path,
-                audit_duplicates,
+                spark, root, decoded, layouts, accepted, sources, spec, audit_duplicates
             )
     if blocked:
         raise PublishBlocked(blocked)
@@ -229,33 +253,27 @@ def _reasons(df: DataFrame, column: str) -> dict[str, list[str]]:
     return {row[PARTITION]: row["r"] for row in rows}
 
 
-def _by_layout(checks: DataFrame):
-    """Groups of months whose archives have the same set of headers.
+def _by_layout(checks: DataFrame, decoded: DataFrame) -> list[dict[str, list]]:
+    """Groups of months whose archives have the same set of headers, ``{month: [(header, paths), …]}``.
 
-    Yields ``([(header, paths, lots), …], months)``; months of a group share one schema, so no
-    month gains columns from another.
+    Months of a group share one schema, so no month gains columns from another. Paths are spelled as in
+    the decoded rows.
     """
-    layout = checks.groupBy(PARTITION).agg(
-        F.sort_array(F.collect_set(F.to_json("header"))).alias("_layout")
-    )
-    lots = F.sum(F.greatest(F.lit(1), F.ceil(F.col("bytes") / PART_BYTES)))
-    rows = (
-        checks.join(layout, PARTITION)
-        .groupBy("_layout", "header")
-        .agg(F.collect_list("path").alias("paths"), F.collect_set(PARTITION).alias("months"),
-             lots.alias("lots"))
-        .collect()
-    )
-    groups: dict[tuple, tuple[list, set]] = {}
-    for row in rows:
-        archives, months = groups.setdefault(tuple(row["_layout"]), ([], set()))
-        archives.append((row["header"], sorted(row["paths"]), int(row["lots"])))
-        months.update(row["months"])
-    return [(archives, sorted(months)) for archives, months in groups.values()]
+    spelled = archive_facts(decoded).select(F.col("path").alias("name"), plain_path("path").alias("path"))
+    rows = checks.join(spelled, "path").groupBy(PARTITION, "header").agg(
+        F.sort_array(F.collect_list("name")).alias("names")
+    ).collect()
+    months: dict[str, list] = {}
+    for row in sorted(rows, key=lambda r: (r[PARTITION], str(r["header"]))):
+        months.setdefault(row[PARTITION], []).append((row["header"], row["names"]))
+    groups: dict[str, dict] = {}
+    for month, layout in months.items():
+        groups.setdefault(json.dumps([header for header, _ in layout]), {})[month] = layout
+    return list(groups.values())
 
 
-def _layout_problem(archives: list[tuple], spec: TableSpec) -> str | None:
-    for header, _, _ in archives:
+def _layout_problem(layouts: dict[str, list], spec: TableSpec) -> str | None:
+    for header, _ in next(iter(layouts.values())):
         problem = header_problem(header)
         if problem:
             return problem
@@ -267,25 +285,20 @@ def _layout_problem(archives: list[tuple], spec: TableSpec) -> str | None:
 
 
 def _publish_group(
-    spark: SparkSession, root: str, archives: list[tuple], months: list[str], checks: DataFrame,
-    sources: DataFrame, spec: TableSpec, month_in_path: str, audit_duplicates: bool,
+    spark: SparkSession, root: str, decoded: DataFrame, layouts: dict[str, list], checks: DataFrame,
+    sources: DataFrame, spec: TableSpec, audit_duplicates: bool,
 ) -> dict[str, list[str]]:
-    """Stage, profile, gate and publish months of one layout; returns the blocked ones."""
+    """Stage, gate and publish months of one layout; returns the blocked ones."""
     staging, run = f"{root}/data/staging", uuid.uuid4().hex
-    started = time.monotonic()
-    candidate = stage(spark, archives, f"{curated_path(root)}/run={run}", spec, month_in_path)
-    seconds = round(time.monotonic() - started, 3)
-    data = [c for c in candidate.columns if c not in (PARTITION, DEFECTS)]
-
-    profiles = profile(candidate, PARTITION, by=PARTITION, spec=spec, columns=data)
+    months, path = list(layouts), f"{curated_path(root)}/run={run}"
+    columns = list(dict.fromkeys(c for header, _ in layouts[months[0]] for c in header if c))
+    profiles = stage(spark, decoded, layouts, path, spec)
+    seconds = profiles.select(PARTITION, "seconds")
+    profiles = profiles.drop("seconds")
     if audit_duplicates:
-        audit = duplicate_excess(candidate.drop(DEFECTS), by=PARTITION)
-        profiles = profiles.join(audit.drop("rows"), PARTITION)
-    wanted = spark.createDataFrame([(m,) for m in months], f"{PARTITION} string")
-    judged = gate(
-        wanted.join(profiles, PARTITION, "left").withColumn("rows", F.coalesce("rows", F.lit(0))),
-        spec,
-    )
+        audit = duplicate_excess(candidate_table(spark, path, columns, spec).drop(UNREADABLE), by=PARTITION)
+        profiles = profiles.join(audit.drop("rows"), PARTITION, "left")
+    judged = gate(profiles, spec)
     judged.write.mode("overwrite").parquet(f"{staging}/quality")
     judged = spark.read.parquet(f"{staging}/quality")
 
@@ -302,19 +315,19 @@ def _publish_group(
     if passed:
         # The files lie in their run already; a month is published when its manifest names the run.
         _write_monthly(reports.where("status = 'passed'"), quality_path(root))
-        columns = [c for header, _, _ in archives for c in header if c]
-        record_schema(spark, root, spec.numeric, list(dict.fromkeys(columns)))
+        record_schema(spark, root, spec.numeric, columns)
         sizes = checks.groupBy(PARTITION).agg(F.sum("text_bytes").alias("csv_bytes"))
         manifests = (
             judged.where("status = 'passed'").select(PARTITION, "rows")
             .join(sources, PARTITION)
             .join(sizes, PARTITION)
+            .join(seconds, PARTITION)
             .join(output_fingerprints(spark, root, dict.fromkeys(passed, run)), PARTITION)
             .select(
                 F.lit(PIPELINE_VERSION).alias("pipeline_version"), "source_sha256", "parquet_sha256",
-                F.array(*[F.lit(c) for c in dict.fromkeys(columns)]).alias("source_columns"),
+                F.array(*[F.lit(c) for c in columns]).alias("source_columns"),
                 "rows", "csv_bytes", "gzip_bytes", "parquet_bytes",
-                F.lit(seconds).alias("transform_seconds"), utc_now().alias("completed_at"),
+                F.col("seconds").alias("transform_seconds"), utc_now().alias("completed_at"),
                 F.lit(run).alias("run"), PARTITION,
             )
         )

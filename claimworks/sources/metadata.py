@@ -60,9 +60,10 @@ def read_quality(spark: SparkSession, root: str, status: str = "passed") -> Data
 
 
 def _read_monthly(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).json(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return spark.createDataFrame([], schema)
-        raise
+    return spark.read.schema(schema).json(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

@@ -11,9 +11,9 @@ from conftest import claim, put_archive
 from pyspark.sql import functions as F
 
 from claimworks.operators import quality
-from claimworks.plans import publish as publishing
 from claimworks.plans.analyses import ANALYSES
 from claimworks.plans.publish import ZSTD, publish_months
+from claimworks.sources import decode
 from claimworks.sources.curated import PARTITION, read_curated
 
 
@@ -31,13 +31,19 @@ def root(spark, tmp_path_factory):
               FLT_PAI_MNT=f"{rng.randrange(10**6)},{i % 100:02d}")
         for i in range(2000)
     ]
-    path = put_archive(folder, rows)
-    before = publishing.PART_BYTES
-    publishing.PART_BYTES = path.stat().st_size // 5
+    put_archive(folder, rows)
+    before = decode.BLOCK_TEXT, decode.LAYOUT
+    settings = {"spark.sql.files.maxPartitionBytes": "20k", "spark.sql.files.openCostInBytes": "1k"}
+    old = {key: spark.conf.get(key) for key in settings}
+    decode.BLOCK_TEXT, decode.LAYOUT = 10_000, decode.LAYOUT | {"parquet.block.row.count.limit": "2"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         publish_months(spark, str(folder), ["202503"])
     finally:
-        publishing.PART_BYTES = before
+        decode.BLOCK_TEXT, decode.LAYOUT = before
+        for key, value in old.items():
+            spark.conf.set(key, value)
     return folder, sum(Decimal(r["FLT_PAI_MNT"].replace(",", ".")) for r in rows)
 
 
