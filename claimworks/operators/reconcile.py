@@ -12,7 +12,7 @@ from claimworks.functions import total
 from claimworks.schema import AMOUNT_TYPE
 
 
-def raw_amount(column: str) -> Column:
+def raw_amount(column: Column | str) -> Column:
     """Amount read straight from text, on purpose not through the cleaning operators.
 
     Only spaces are trimmed and the cast decides. The result may differ from strict cleaning on

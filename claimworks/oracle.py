@@ -192,16 +192,27 @@ SELECT month, n AS "rows", CASE WHEN e = '' THEN 'passed' ELSE 'failed' END AS s
        e AS blocking_errors
 FROM (SELECT month, count(*) AS n, concat_ws('; ', {_MESSAGES}) AS e
       FROM {revision(*_RULE_COLUMNS, "PRS_NAT")} GROUP BY month)"""
+_COPIES = f"""(SELECT * EXCLUDE (l_orderkey) FROM (
+  SELECT * FROM {claims(*REQUIRED, keep="l_orderkey")}
+  UNION ALL SELECT * FROM {claims(*REQUIRED, keep="l_orderkey")} WHERE l_orderkey % 50 = 0)) AS copies"""
 ORACLE["duplicate_excess"] = f"""
 SELECT CAST(sum(n) AS BIGINT) AS "rows", CAST(sum(n - 1) AS BIGINT) AS exact_duplicate_excess
-FROM (SELECT BEN_RES_REG, AGE_BEN_SNDS, PRS_REM_TYP, count(*) AS n
-      FROM {claims("BEN_RES_REG", "AGE_BEN_SNDS", "PRS_REM_TYP")} GROUP BY ALL)"""
+FROM (SELECT {", ".join(REQUIRED)}, count(*) AS n FROM {_COPIES} GROUP BY ALL)"""
 ORACLE["duplicate_excess_by_month"] = f"""
 SELECT FLX_ANN_MOI, CAST(sum(n) AS BIGINT) AS "rows",
        CAST(sum(n - 1) AS BIGINT) AS exact_duplicate_excess
-FROM (SELECT {", ".join(CODES)}, count(*) AS n FROM {claims(*CODES)} GROUP BY ALL) GROUP BY 1"""
+FROM (SELECT {", ".join(REQUIRED)}, count(*) AS n FROM {_COPIES} GROUP BY ALL) GROUP BY 1"""
 ORACLE["distinct_rows"] = f"""
-SELECT DISTINCT * FROM {claims("BEN_RES_REG", "AGE_BEN_SNDS", "TOP_PS5_TRG")}"""
+SELECT DISTINCT {", ".join(REQUIRED)} FROM {_COPIES}"""
+_CHANGED = ", ".join(
+    "CASE WHEN l_orderkey % 500 = 3 THEN '3' ELSE BEN_SEX_COD END AS BEN_SEX_COD" if c == "BEN_SEX_COD" else c
+    for c in REQUIRED
+)
+ORACLE["row_fingerprints"] = f"""
+SELECT {", ".join(REQUIRED)}, CAST(sum(side) AS BIGINT) AS left_copies, CAST(sum(1 - side) AS BIGINT) AS right_copies
+FROM (SELECT {", ".join(REQUIRED)}, 1 AS side FROM {claims(*REQUIRED)}
+      UNION ALL SELECT {_CHANGED}, 0 FROM {claims(*REQUIRED, keep="l_orderkey")})
+GROUP BY ALL HAVING sum(side) <> sum(1 - side)"""
 
 # --- Cleaning ------------------------------------------------------------------------------------
 ORACLE["clean_decimals"] = f"""
@@ -363,6 +374,13 @@ FROM {claims("FLX_ANN_MOI", "FLT_REM_MNT", "PRS_ACT_NBR")} GROUP BY 1"""
 _LATER_MONTH = "CAST(CAST(month AS INTEGER) + 2500 AS VARCHAR)"
 ORACLE["failed_reports"] = f"""
 SELECT {_LATER_MONTH} AS month, blocking_errors FROM ({ORACLE["gate_status"]}) WHERE status = 'failed'"""
+ORACLE["staged_decode"] = f"""
+SELECT {_LATER} AS month, count(*) AS lines, true AS whole FROM {claims("FLX_ANN_MOI")} GROUP BY 1"""
+ORACLE["gate_observed"] = f"""
+SELECT * REPLACE ({_LATER_MONTH} AS month) FROM ({ORACLE["gate_status"]})"""
+ORACLE["row_verification"] = f"""
+SELECT {_LATER} AS month, count(*) AS left_rows, count(*) AS right_rows, true AS equal
+FROM {claims("FLX_ANN_MOI")} GROUP BY 1"""
 ORACLE["stored_manifests"] = f"""
 SELECT {_LATER_MONTH} AS month, "rows", "rows" AS reported, {len(REQUIRED)} AS source_columns
 FROM ({ORACLE["gate_status"]}) WHERE status = 'passed'"""
@@ -384,6 +402,39 @@ ORACLE["analyses_written"] = " UNION ALL ".join(
     f"""SELECT '{name}' AS query, count(*) AS "rows" FROM (SELECT DISTINCT {", ".join(["FLX_ANN_MOI", *by])}
     FROM {claims("FLX_ANN_MOI", *by)})""" for name, by in _GROUPS.items()
 )
+_MEASURES = {
+    "lignes_agregees": "BIGINT", "remboursement_part_legale_eur": TOT, "depense_prefiltree_eur": TOT,
+    "depassement_prefiltre_eur": TOT, "quantite_prefiltree": TOT, "lignes_remboursement_negatif": "BIGINT",
+    "libelle_prestation": "VARCHAR",
+}
+_RESULTS = {
+    "01_monthly": ("monthly_totals", []), "02_regions": ("region_totals", ["code_region_residence"]),
+    "03_prestations": ("service_totals", ["code_prestation"]), "04_age": ("age_band_totals", ["code_tranche_age"]),
+    "05_care_period": ("care_period_totals", ["annee_soins", "mois_soins"]),
+    "06_scope": ("scope_totals", ["top_perimetre"]), "07_prestations_labels": ("service_labels", ["code_prestation"]),
+}
+
+
+def _united(names, month: str = "mois_traitement", where: str = "true") -> str:
+    parts = []
+    for name in names:
+        source, codes = _RESULTS[name]
+        two = [f"CAST({c} AS VARCHAR)" for c in codes] + ["CAST(NULL AS VARCHAR)"] * (2 - len(codes))
+        cells = [
+            f"CAST({c if c in ORACLE[source] else 'NULL'} AS {kind}) AS {c}" for c, kind in _MEASURES.items()
+        ]
+        parts.append(
+            f"SELECT '{name}' AS query, {month} AS mois_traitement, {two[0]} AS code, {two[1]} AS code_2,"
+            f" {', '.join(cells)} FROM ({ORACLE[source]}) WHERE {where}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["analyses_one_scan"] = _united(_RESULTS)
+ORACLE["analyses_incremental"] = _united(
+    [n for n in _RESULTS if n != "07_prestations_labels"],
+    "CAST(CAST(mois_traitement AS INTEGER) + 2500 AS VARCHAR)", "mois_traitement LIKE '1995%'",
+)
 ORACLE["report_kpis"] = f"""
 SELECT CAST(sum(n) AS BIGINT) AS "rows", string_agg(month, ', ' ORDER BY month) AS months, {total("a", "amount")}
 FROM (SELECT {_LATER} AS month, count(*) AS n, sum(FLT_REM_MNT) AS a

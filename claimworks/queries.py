@@ -10,21 +10,25 @@ from pyspark.sql import functions as F
 
 from claimworks.functions import fr_number, month_key, total, valid_month
 from claimworks.functions.links import host, resolve_link
-from claimworks.operators import aggregates, catalogue, dictionary, quality, reconcile, report_tables
+from claimworks.operators import aggregates, catalogue, dictionary, fingerprints, quality, reconcile, report_tables
 from claimworks.operators.cleaning import DEFECTS, clean, clean_with_defects
 from claimworks.operators.fixity import check_archives
 from claimworks.plans import formats
-from claimworks.plans.analyses import ANALYSES, analyse, exact_json, run_sql_dir, write_results
+from claimworks.plans.analyses import (
+    ANALYSES, analyse, analyses_at_once, exact_json, run_analyses, run_sql_dir, stored_partials, united,
+    write_results,
+)
 from claimworks.plans.bindings import as_text, claims, labels, revision, table
 from claimworks.plans.dimensions import write_dimensions
-from claimworks.plans.publish import PIPELINE_VERSION, PublishBlocked, plan_months, publish_months
+from claimworks.plans.publish import PIPELINE_VERSION, PublishBlocked, plan_months, publish_months, stage
 from claimworks.plans.report import report_tables as report_tables_of
-from claimworks.plans.verify import region_totals_as_text, verify_regions, verify_source
+from claimworks.plans.verify import region_totals_as_text, verify_regions, verify_rows, verify_source
 from claimworks.schema import AMOUNT_TYPE, CLAIMS, MONEY, TOTAL_TYPE, TableSpec
 from claimworks.session import scratch_dir
 from claimworks.sources.archives import CSV_TEXT
 from claimworks.sources.curated import PARTITION, read_curated
-from claimworks.sources.files import file_facts
+from claimworks.sources.decode import archive_facts, decode_archives
+from claimworks.sources.files import file_facts, list_files
 from claimworks.sources.labels import labels_from_json, read_labels
 from claimworks.sources.metadata import read_manifests, read_quality
 
@@ -63,6 +67,13 @@ QUERIES |= {
 }
 
 
+@query
+def analyses_one_scan(spark, folder):
+    """The seven analyses from one scan of the claims, as one table."""
+    columns = sorted({c for a in ANALYSES.values() for c in a.columns})
+    return united(analyses_at_once(claims(spark, folder, columns), labels(spark, folder)))
+
+
 @query
 def region_text_totals(spark, folder):
     return region_totals_as_text(claims(spark, folder, ["FLX_ANN_MOI", "BEN_RES_REG", "FLT_REM_MNT"]))
@@ -152,21 +163,34 @@ def quality_rollup(spark, folder):
     return report_tables.quality_rollup(quality_by_month(spark, folder))
 
 
+def _with_copies(spark, folder) -> DataFrame:
+    """All columns of the claims, every 50th order a second time."""
+    rows = claims(spark, folder, keep=["l_orderkey"])
+    return rows.unionByName(rows.where("l_orderkey % 50 = 0")).drop("l_orderkey")
+
+
 @query
 def duplicate_excess(spark, folder):
-    return quality.duplicate_excess(
-        claims(spark, folder, ["BEN_RES_REG", "AGE_BEN_SNDS", "PRS_REM_TYP"])
-    )
+    return quality.duplicate_excess(_with_copies(spark, folder))
 
 
 @query
 def duplicate_excess_by_month(spark, folder):
-    return quality.duplicate_excess(claims(spark, folder, list(CLAIMS.codes)), by="FLX_ANN_MOI")
+    return quality.duplicate_excess(_with_copies(spark, folder), by="FLX_ANN_MOI")
 
 
 @query
 def distinct_rows(spark, folder):
-    return quality.distinct_rows(claims(spark, folder, ["BEN_RES_REG", "AGE_BEN_SNDS", "TOP_PS5_TRG"]))
+    return quality.distinct_rows(_with_copies(spark, folder))
+
+
+@query
+def row_fingerprints(spark, folder):
+    """Rows that a copy of the claims has otherwise, although all its sums are the same."""
+    rows = claims(spark, folder, keep=["l_orderkey"])
+    other = F.when(F.col("l_orderkey") % 500 == 3, F.lit("3")).otherwise(F.col("BEN_SEX_COD"))
+    copy = rows.withColumn("BEN_SEX_COD", other).drop("l_orderkey")
+    return fingerprints.row_differences_by_bucket(rows.drop("l_orderkey"), copy, "FLX_ANN_MOI")
 
 
 # --- Cleaning ----------------------------------------------------------------------------------
@@ -448,6 +472,40 @@ def archive_fixity(spark, folder):
     )
 
 
+def _decoded(spark, folder, damaged: bool = False) -> DataFrame:
+    raw = _raw_files(spark, folder, damaged)
+    archives = list_files(spark, raw, "*.csv.gz").select(
+        "path", F.regexp_extract("path", MONTH_FOLDER, 1).alias(PARTITION)
+    )
+    return decode_archives(archives, scratch_dir(spark, "decoded"))
+
+
+@query
+def staged_decode(spark, folder):
+    """What one pass over the archives stored: records per month, and whether the blocks are all of the text."""
+    decoded = _decoded(spark, folder)
+    size = F.octet_length("text")
+    blocks = decoded.where("block IS NOT NULL").groupBy("path").agg(
+        F.sum("lines").alias("lines"), F.min("first_byte").alias("first"), F.sum(size).alias("size"),
+        (F.max("block") + 1 == F.count(F.lit(1))).alias("numbered"),
+    )
+    facts = archive_facts(decoded).join(blocks, "path", "left")
+    whole = F.col("numbered") & (F.col("first") + F.col("size") == F.col("text_bytes")) & F.col("problem").isNull()
+    return facts.groupBy("month").agg(F.sum("lines").alias("lines"), F.min(whole).alias("whole"))
+
+
+@query
+def gate_observed(spark, folder):
+    """The gate on metrics that were observed while a bad revision was written."""
+    header = [*CLAIMS.required, ""]
+    decoded = _decoded(spark, folder, damaged=True)
+    months = sorted(r["month"] for r in archive_facts(decoded).select("month").distinct().collect())
+    profiles = stage(spark, decoded, {m: [(header, [])] for m in months}, scratch_dir(spark, "observed"))
+    return quality.gate(profiles).select(
+        "month", "rows", "status", F.array_join("blocking_errors", "; ").alias("blocking_errors")
+    )
+
+
 @query
 def publish_plan(spark, folder):
     """Months to publish when some have new rows and some published files were altered."""
@@ -543,6 +601,13 @@ def source_verification(spark, folder):
     )
 
 
+@query
+def row_verification(spark, folder):
+    """Archive rows against published rows, month by month."""
+    root, raw = _published(spark, folder)
+    return verify_rows(spark, root, raw=raw, month_in_path=MONTH_FOLDER, archive_glob="month={month}/*.csv.gz")
+
+
 @query
 def region_verification(spark, folder):
     """Region totals computed again from the published months; the totals that the job stored."""
@@ -564,6 +629,25 @@ def analyses_written(spark, folder):
     return spark.read.json(f"{stored}/listing").select("query").join(counted, "query", "left")
 
 
+@query
+def analyses_incremental(spark, folder):
+    """The seven analyses of a year, some months published later: only those are read the second time."""
+    root, raw = scratch_dir(spark, "incremental"), _raw_files(spark, folder)
+    declared = _declared(file_facts(spark, raw, "*.csv.gz", "digest")).where("month LIKE '2020%'")
+    months = sorted(r["month"] for r in declared.select("month").distinct().collect())
+    computed = []
+    for some in (months[:8], months):
+        publish_months(
+            spark, root, some, raw=raw, sidecars=declared, glob="*.csv.gz", month_in_path=MONTH_FOLDER,
+        )
+        states = stored_partials(root)
+        states.states(spark)
+        computed.append(states.computed)
+    if computed != [months[:8], months[8:]]:
+        raise AssertionError(f"months read: {computed}")
+    return united({n: a for n, a in run_analyses(spark, root).items() if n != "07_prestations_labels"})
+
+
 @query
 def report_kpis(spark, folder):
     root, _ = _published(spark, folder)
