@@ -24,7 +24,7 @@ from claimworks.sources.curated import (
     PARTITION, SOUND, UNREADABLE, curated_path, current_runs, record_schema, remove_old_runs,
 )
 from claimworks.sources.decode import archive_facts, decode_archives, parse_blocks
-from claimworks.sources.files import file_facts, list_files
+from claimworks.sources.files import exists, file_facts, list_files
 from claimworks.sources.metadata import (
     manifests_path, quality_path, read_manifests, read_quality, read_sidecars,
 )
@@ -80,17 +80,12 @@ def output_fingerprints(spark: SparkSession, root: str, runs: dict[str, str]) ->
             "run": F.regexp_extract("path", at, 1), PARTITION: F.regexp_extract("path", at, 2),
         })
 
-    try:
-        facts = file_facts(
-            spark, curated_path(root), "*.parquet", "digest",
-            keep=lambda files: named(files).join(wanted, ["run", PARTITION], "left_semi"),
-        )
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return spark.createDataFrame(
-                [], "month string, parquet_sha256 string, parquet_bytes long"
-            )
-        raise
+    if not exists(spark, curated_path(root)):
+        return spark.createDataFrame([], "month string, parquet_sha256 string, parquet_bytes long")
+    facts = file_facts(
+        spark, curated_path(root), "*.parquet", "digest",
+        keep=lambda files: named(files).join(wanted, ["run", PARTITION], "left_semi"),
+    )
     return fingerprints(named(facts), PARTITION).select(
         PARTITION, F.col("fingerprint").alias("parquet_sha256"), F.col("bytes").alias("parquet_bytes")
     )

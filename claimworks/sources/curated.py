@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimworks.sources.files import exists
 from claimworks.sources.labels import read_labels
 from claimworks.sources.metadata import read_manifests
 
@@ -70,12 +71,9 @@ def read_curated(
 
     The partition column is hidden unless asked for: the table has its own month column.
     """
-    try:
-        document = spark.read.text(schema_path(root)).first()
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            raise ValueError(f"no published month under {root}") from error
-        raise
+    if not exists(spark, schema_path(root)):
+        raise ValueError(f"no published month under {root}")
+    document = spark.read.text(schema_path(root)).first()
     columns = T.StructType.fromJson(json.loads(document["value"]))
     schema = T.StructType(columns.fields)
     for name in ("run", PARTITION, UNREADABLE):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimworks.sources.files import exists
+
 LABELS_SCHEMA = "variable string, code string, libelle string"
 LABELS_GLOB = "modalites*.json"
 LABEL_TABLE = "labels"
@@ -15,18 +17,10 @@ def read_labels(spark: SparkSession, folder: str, glob: str = LABELS_GLOB) -> Da
 
     A document is ``{variable: {code: label}}``. Without either there are no labels.
     """
-    readers = (
-        lambda: spark.read.schema(LABELS_SCHEMA).parquet(f"{folder}/{LABEL_TABLE}"),
-        lambda: labels_from_json(
-            spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True), "value"
-        ),
-    )
-    for read in readers:
-        try:
-            return read()
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
+    if exists(spark, f"{folder}/{LABEL_TABLE}"):
+        return spark.read.schema(LABELS_SCHEMA).parquet(f"{folder}/{LABEL_TABLE}")
+    if exists(spark, folder):
+        return labels_from_json(spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True), "value")
     return spark.createDataFrame([], LABELS_SCHEMA)
 
 

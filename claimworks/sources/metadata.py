@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimworks.sources.files import exists
+
 SIDECAR_SCHEMA = (
     "filename string, month string, bytes long, sha256 string, downloaded_at string, "
     "catalogue_url string"
@@ -62,8 +64,3 @@ def read_quality(spark: SparkSession, root: str, status: str = "passed") -> Data
 def _read_monthly(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there, in whatever store the path names."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
