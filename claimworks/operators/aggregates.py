@@ -102,41 +102,82 @@ def _in_parts(df: DataFrame, *order: Column) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def exact_median(df: DataFrame, by: str, value: str) -> DataFrame:
-    """``(by, median, min, max)``, the median exact without holding a group in one task.
+BINS = 1024  # parts that an interval of values is cut into
+FEW = 100_000  # rows of a group that are ranked by value
 
-    Equal values are counted on the map side first, so a raw row never travels. The counts are sorted
-    over all tasks, added up per part, and ranked inside the parts.
+
+def exact_median(df: DataFrame, by: str, value: str, bins: int = BINS, few: int = FEW) -> DataFrame:
+    """``(by, median, min, max)`` of numbers, the median exact, by narrowing down where it lies.
+
+    Per group an interval of values is known that holds the median, and how many rows lie below it. A
+    round cuts the intervals into bins, counts them on the map side and keeps the bin with the median.
+    When an interval holds few rows, or one value, the rest is ranked. So no row is sorted or shuffled
+    before that, and a round exchanges one row per task and bin. The driver sees one number a round.
+
+    Nulls are left out; a null group is a group. Infinite values cannot be cut into bins, so groups that
+    have them are ranked by their distinct values at once.
     """
-    steps = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(F.col(by).alias("_by"), F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    rows = df.where(F.col(value).isNotNull()).select(F.col(by).alias("_by"), F.col(value).alias("v"))
+    spans = rows.groupBy("_by").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max")
+    ).select("*", F.col("min").alias("low"), F.col("max").alias("high"), F.lit(0).cast("long").alias("below"),
+             F.col("n").alias("inside"))
+    spans = _stored(spans)
+    wide = (F.col("low") < F.col("high")) & ~_unbounded("low") & ~_unbounded("high")
+    left = None
+    while True:
+        most = spans.where(wide).agg(F.max("inside")).first()[0]
+        if most is None or most <= few or most == left:
+            break
+        spans, left = _stored(_narrowed(rows, spans, bins)), most
+    counted = _within(rows, spans.select("_by", "low", "high")).groupBy("_by", "v").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("_by").orderBy("v"))
+    ranked = counted.withColumn("upto", upto).groupBy("_by").agg(F.array_sort(F.collect_list(F.struct("v", "upto"))).alias("r"))
+    joined = spans.select(F.col("_by").alias("_g"), "n", "min", "max", "below").join(
+        ranked, F.col("_g").eqNullSafe(F.col("_by"))
     )
-    steps = _in_parts(steps, F.col("_by"), F.col("v"))
-    parts = steps.groupBy("_by", "_part").agg(
-        F.sum("c").alias("c"), F.min("v").alias("min"), F.max("v").alias("max")
+    at = lambda rank: F.array_min(F.transform(
+        F.filter("r", lambda x: x["upto"] + F.col("below") >= rank), lambda x: x["v"]
+    ))
+    low_rank, high_rank = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    return joined.select(F.col("_g").alias(by), ((at(low_rank) + at(high_rank)) / 2).alias("median"), "min", "max")
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    path = scratch_dir(df.sparkSession, "spans")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _unbounded(column: str) -> Column:
+    number = F.col(column).cast("double")
+    return F.isnan(number) | (F.abs(number) == float("inf"))
+
+
+def _within(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """The rows whose value lies in their group's interval, with its ends."""
+    named = spans.withColumnRenamed("_by", "_g")
+    return rows.join(named, rows["_by"].eqNullSafe(F.col("_g")) & F.col("v").between(F.col("low"), F.col("high")))
+
+
+def _narrowed(rows: DataFrame, spans: DataFrame, bins: int) -> DataFrame:
+    """The intervals cut down to the bins with the two middle rows."""
+    share = (F.col("v").cast("double") - F.col("low").cast("double")) / (
+        F.col("high").cast("double") - F.col("low").cast("double")
     )
-    earlier = Window.partitionBy("_by").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    group = Window.partitionBy("_by")
-    parts = parts.select(
-        "_by", "_part", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("before"),
-        F.sum("c").over(group).alias("n"), F.min("min").over(group).alias("min"),
-        F.max("max").over(group).alias("max"),
+    number = F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
+    counted = _within(rows, spans.select("_by", "low", "high")).groupBy("_by", number.alias("bin")).agg(
+        F.count(F.lit(1)).alias("c"), F.min("v").alias("from"), F.max("v").alias("to")
     )
-    inside = Window.partitionBy("_by", "_part").orderBy("_at")
-    ranked = steps.withColumn("upto", F.sum("c").over(inside)).alias("s").join(
-        parts.alias("p"),
-        F.col("s._by").eqNullSafe(F.col("p._by")) & (F.col("s._part") == F.col("p._part")),
-    ).select("s._by", "v", "n", "min", "max", (F.col("upto") + F.col("before")).alias("last"))
+    order = Window.partitionBy("_by").orderBy("bin")
+    counted = counted.withColumn("upto", F.sum("c").over(order)).withColumnRenamed("_by", "_g")
+    known = spans.select("_by", "n", "min", "max", "below")
     low_rank, high_rank = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-    return (
-        ranked.groupBy("_by")
-        .agg(
-            F.min(F.when(F.col("last") >= low_rank, F.col("v"))).alias("m1"),
-            F.min(F.when(F.col("last") >= high_rank, F.col("v"))).alias("m2"),
-            F.first("min").alias("min"), F.first("max").alias("max"),
-        )
-        .select(
-            F.col("_by").alias(by), ((F.col("m1") + F.col("m2")) / 2).alias("median"), "min", "max"
-        )
-    )
+    last = F.col("below") + F.col("upto")
+    wanted = (last >= low_rank) & (last - F.col("c") < high_rank)
+    return known.join(counted, F.col("_by").eqNullSafe(F.col("_g"))).where(wanted).groupBy(
+        "_by", "n", "min", "max", "below"
+    ).agg(
+        F.min("from").alias("low"), F.max("to").alias("high"), F.min(F.col("upto") - F.col("c")).alias("more"),
+        F.sum("c").alias("inside"),
+    ).select("_by", "n", "min", "max", "low", "high", (F.col("below") + F.col("more")).alias("below"), "inside")

@@ -439,6 +439,36 @@ ORACLE["report_kpis"] = f"""
 SELECT CAST(sum(n) AS BIGINT) AS "rows", string_agg(month, ', ' ORDER BY month) AS months, {total("a", "amount")}
 FROM (SELECT {_LATER} AS month, count(*) AS n, sum(FLT_REM_MNT) AS a
       FROM {claims("FLX_ANN_MOI", "FLT_REM_MNT")} GROUP BY 1)"""
+_TOTAL_FIRST = "remboursement_part_legale_eur DESC NULLS LAST"
+_ORDERS = {
+    "01_monthly": "", "02_regions": _TOTAL_FIRST, "03_prestations": _TOTAL_FIRST, "04_age": "", "05_care_period": "",
+    "06_scope": "", "07_prestations_labels": _TOTAL_FIRST,
+}
+ORACLE["results_in_order"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS query, mois_traitement, {(codes + ["CAST(NULL AS VARCHAR)"] * 2)[0]} AS code,
+    {(codes + ["CAST(NULL AS VARCHAR)"] * 2)[1]} AS code_2, row_number() OVER (ORDER BY {", ".join(
+        [*(x for x in ("mois_traitement NULLS LAST", _ORDERS[name]) if x), *(f"{c} NULLS LAST" for c in codes)]
+    )}) AS place FROM ({ORACLE[source]})""" for name, (source, codes) in _RESULTS.items()
+)
+ORACLE["header_verdicts"] = """
+SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, CASE n_nationkey % 6 WHEN 0 THEN 'sound'
+  WHEN 1 THEN 'required columns missing: AGE_BEN_SNDS' WHEN 2 THEN 'duplicate column names'
+  WHEN 3 THEN 'reserved column name month' WHEN 4 THEN 'extra columns: extra' ELSE 'empty file' END AS verdict
+FROM nation"""
+ORACLE["report_regions"] = f"""
+WITH t AS (SELECT BEN_RES_REG AS code, CAST(sum(FLT_REM_MNT) AS {TOT}) AS total
+           FROM {claims("BEN_RES_REG", "FLT_REM_MNT")} GROUP BY 1 ORDER BY total DESC, code LIMIT 10)
+SELECT code, total, 'Code ' || code AS label,
+       round(greatest(0, CAST(total AS DOUBLE) / CAST((SELECT max(total) FROM t) AS DOUBLE) * 100), 2) AS share FROM t"""
+ORACLE["report_quality"] = f"""
+SELECT count(*) FILTER (WHERE FLT_REM_MNT < 0) AS negative_reimbursement_rows,
+  count(*) FILTER (WHERE PRS_REM_TYP = '99') AS unknown_reimbursement_type_rows,
+  count(*) FILTER (WHERE PRS_ACT_NBR IS NULL) AS missing_act_count_rows,
+  count(*) FILTER (WHERE BEN_RES_REG = '99') AS region_code_99_rows
+FROM {claims("FLT_REM_MNT", "PRS_REM_TYP", "PRS_ACT_NBR", "BEN_RES_REG")}"""
+ORACLE["format_report"] = """
+SELECT mode, true AS timed, true AS ordered, (SELECT count(*) FROM lineitem) AS rows, true AS equal
+FROM (VALUES ('spark_csv'), ('spark_parquet')) AS m(mode)"""
 ORACLE["dimension_build"] = f"""
 SELECT variable, code, arg_max(libelle, sheet) AS libelle FROM ({ORACLE["dictionary_latest"]}) GROUP BY ALL"""
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimworks.functions import fr_number, month_key, total, valid_month
@@ -23,9 +24,9 @@ from claimworks.plans.dimensions import write_dimensions
 from claimworks.plans.publish import PIPELINE_VERSION, PublishBlocked, plan_months, publish_months, stage
 from claimworks.plans.report import report_tables as report_tables_of
 from claimworks.plans.verify import region_totals_as_text, verify_regions, verify_rows, verify_source
-from claimworks.schema import AMOUNT_TYPE, CLAIMS, MONEY, TOTAL_TYPE, TableSpec
+from claimworks.schema import AMOUNT_TYPE, CLAIMS, MONEY, TOTAL_TYPE, StructureError, TableSpec, check_required
 from claimworks.session import scratch_dir
-from claimworks.sources.archives import CSV_TEXT
+from claimworks.sources.archives import CSV_TEXT, header_problem
 from claimworks.sources.curated import PARTITION, read_curated
 from claimworks.sources.decode import archive_facts, decode_archives
 from claimworks.sources.files import file_facts, list_files
@@ -74,6 +75,25 @@ def analyses_one_scan(spark, folder):
     return united(analyses_at_once(claims(spark, folder, columns), labels(spark, folder)))
 
 
+@query
+def results_in_order(spark, folder):
+    """The place of every row in the seven results, as they come."""
+    columns = sorted({c for a in ANALYSES.values() for c in a.columns})
+    rows = claims(spark, folder, columns)
+    found = []
+    for name, analysis in ANALYSES.items():
+        result = analysis.run(rows, labels(spark, folder))
+        codes = [F.col(c) for c in analysis.by][1:]
+        codes += [F.lit(None).cast("string")] * (2 - len(codes))
+        numbered = result.select(
+            F.lit(name).alias("query"), "mois_traitement", codes[0].alias("code"), codes[1].alias("code_2"),
+            F.monotonically_increasing_id().alias("at"),
+        )
+        place = F.row_number().over(Window.partitionBy("query").orderBy("at")).cast("long")
+        found.append(numbered.withColumn("place", place).drop("at"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def region_text_totals(spark, folder):
     return region_totals_as_text(claims(spark, folder, ["FLX_ANN_MOI", "BEN_RES_REG", "FLT_REM_MNT"]))
@@ -452,6 +472,38 @@ def _declared(facts: DataFrame) -> DataFrame:
     )
 
 
+@query
+def header_verdicts(spark, folder):
+    """Archives of one line each, their headers damaged in several ways: what the contract says of each."""
+    good = list(CLAIMS.required)
+    heads = {
+        0: [*good, ""], 1: [c for c in good if c != "AGE_BEN_SNDS"], 2: [*good, "extra", "EXTRA"],
+        3: [*good, "month"], 4: [*good, "extra"], 5: [""],
+    }
+    kind = (F.col("n_nationkey") % 6).cast("int")
+    head = F.create_map(*[x for k, names in heads.items() for x in (F.lit(k), F.lit(";".join(names)))])
+    raw = scratch_dir(spark, "headers")
+    table(spark, folder, "nation").select("n_nationkey", head[kind].alias("value")).repartition("n_nationkey").write.partitionBy(
+        "n_nationkey"
+    ).option("compression", "gzip").text(raw)
+    facts = file_facts(spark, raw, "*.txt.gz", "header").select("path", "header", "problem").collect()
+
+    def verdict(header, problem):
+        if problem or header_problem(header):
+            return problem or header_problem(header)
+        try:
+            check_required(header)
+        except StructureError as error:
+            return str(error)
+        extra = [c for c in header if c and c not in good]
+        return f"extra columns: {', '.join(extra)}" if extra else "sound"
+
+    found = [(r["path"], verdict(r["header"], r["problem"])) for r in facts]
+    return spark.createDataFrame(found, "path string, verdict string").select(
+        F.regexp_extract("path", r"n_nationkey=([0-9]+)/", 1).cast("long").alias("n_nationkey"), "verdict"
+    )
+
+
 @query
 def archive_fixity(spark, folder):
     """Verdicts on archives whose sidecars were altered for some months."""
@@ -654,6 +706,33 @@ def report_kpis(spark, folder):
     return report_tables_of(spark, root)["kpis"].select("rows", "months", "amount")
 
 
+@query
+def report_regions(spark, folder):
+    root, _ = _published(spark, folder)
+    return report_tables_of(spark, root)["top_regions"].select("code", "total", "label", "share")
+
+
+@query
+def report_quality(spark, folder):
+    root, _ = _published(spark, folder)
+    return report_tables_of(spark, root)["quality"]
+
+
+@query
+def format_report(spark, folder):
+    """Both formats written, found equal and timed; what the stored summary says, but for the times."""
+    out = scratch_dir(spark, "compared")
+    rows = claims(spark, folder, [*formats.COLUMNS, "FLX_ANN_MOI"]).withColumnRenamed("FLX_ANN_MOI", PARTITION)
+    formats.compare_formats(spark, rows, out, repeats=1)
+    counted = formats.format_equivalence(spark, {f: f"{out}/sample_{f}" for f in ("csv", "parquet")})
+    summary = formats.read_summary(spark, out).select(
+        "mode", (F.col("min_seconds") > 0).alias("timed"),
+        (F.col("median_seconds").between(F.col("min_seconds"), F.col("max_seconds"))).alias("ordered"),
+    )
+    totals = counted.agg(F.sum("csv_n").cast("long").alias("rows"), F.min("equal").alias("equal")).first()
+    return summary.withColumns({c: F.lit(totals[c]) for c in ("rows", "equal")})
+
+
 @query
 def dimension_build(spark, folder):
     """Labels stored from sheets that share codes: the last sheet wins."""
