@@ -49,19 +49,30 @@ def pattern_spans(text: Column, kind: str, pattern: str, group: int = 0) -> Colu
     Matches and the gaps between them come from the same engine, so their lengths give the places.
     ``value`` is a group of the match, ``rank`` the kind's place in ``KINDS``.
     """
-    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     none, rank = F.array().cast(SPAN), F.lit(KINDS.index(kind) + 1)
+    parts = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("values"),
+    )
+    begin = F.struct(F.lit(0).alias("at"), none.alias("all"))
 
-    def add(acc, i):
-        start = acc["at"] + F.length(F.get(gaps, i))
-        end = start + F.length(F.get(found, i))
-        span = F.struct(start.alias("start"), rank.alias("rank"), end.alias("end"), F.get(values, i).alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["all"], F.array(span)).alias("all"))
+    def placed(p):
+        def add(acc, i):
+            start = acc["at"] + F.length(F.get(p["gaps"], i))
+            end = start + F.length(F.get(p["found"], i))
+            span = F.struct(
+                start.alias("start"), rank.alias("rank"), end.alias("end"), F.get(p["values"], i).alias("value")
+            )
+            return F.struct(end.alias("at"), F.concat(acc["all"], F.array(span)).alias("all"))
 
-    begin = F.struct(F.lit(0).alias("at"), none.alias("all"))
-    placed = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), begin, add, lambda acc: acc["all"])
-    return F.when(F.regexp_like(text, F.lit(pattern)), placed).otherwise(none)
+        return F.aggregate(F.sequence(F.lit(0), F.size(p["found"]) - 1), begin, add, lambda acc: acc["all"])
+
+    return F.when(F.regexp_like(text, F.lit(pattern)), _let(parts, placed)).otherwise(none)
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once; in a lambda, an expression is worked out at every use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def labelled_samples(spark: SparkSession, n: int = 4000) -> DataFrame:
@@ -116,35 +127,45 @@ def train(samples: DataFrame, smooth: float = 0.5) -> list[float]:
     return (logs[1] - logs[0]).ravel().tolist()
 
 
-def _step(value: Column, table: list[float]):
-    """The log likelihood ratio of the step from a string's i-th character, as a function of i."""
+def _steps(value: Column, table: list[float]) -> Column:
+    """The log likelihood ratios of a string's character steps; others than the alphabet's say nothing.
+
+    The characters are numbered once, so the work grows with the string's length and not its square.
+    """
     ratios = F.split(F.lit(" ".join(f"{x:.6f}" for x in table)), " ").cast("array<double>")
+    places = F.transform(F.split(value, ""), lambda c: F.when(c == "", 0).otherwise(F.position(c, F.lit(ALPHABET))))
+
+    def steps(p):
+        def step(i):
+            a, b = F.get(p, i - 1), F.get(p, i)
+            return F.when((a > 0) & (b > 0), F.get(ratios, (a - 1) * len(ALPHABET) + b - 1)).otherwise(F.lit(0.0))
 
-    def step(i):
-        a, b = _place(value, i), _place(value, i + 1)
-        return F.when((a > 0) & (b > 0), F.get(ratios, (a - 1) * len(ALPHABET) + b - 1)).otherwise(F.lit(0.0))
+        none = F.array().cast("array<double>")
+        return F.when(F.size(p) > 1, F.transform(F.sequence(F.lit(1), F.size(p) - 1), step)).otherwise(none)
 
-    return step
+    return _let(places, steps)
 
 
 def likelihood_ratio(value: Column, table: list[float]) -> Column:
-    """Mean log likelihood ratio of a string's character steps; others than the alphabet's say nothing."""
-    step, steps = _step(value, table), F.length(value) - 1
-    total = F.aggregate(F.sequence(F.lit(1), steps), F.lit(0.0), lambda t, i: t + step(i))
-    return F.when(steps > 0, total / steps).otherwise(F.lit(0.0))
+    """Mean log likelihood ratio of a string's character steps."""
+    return _let(_steps(value, table), lambda steps: _mean(steps, F.length(value) - 1))
+
+
+def _mean(steps: Column, n: Column) -> Column:
+    return F.when(n > 0, F.aggregate(steps, F.lit(0.0), lambda t, x: t + x) / n).otherwise(F.lit(0.0))
 
 
 STRETCH = "array<struct<low:int,high:int>>"
 
 
-def _stretches(value: Column, table: list[float], threshold: float, least: Column) -> Column:
+def _stretches(value: Column, steps: Column, threshold: float, least: Column) -> Column:
     """``low, high`` of the stretches of a string whose sum of ratios above the threshold is greatest.
 
     A stretch ends where the sum is used up, or has lost what makes a shortest secret. It counts when
     its ratios sum to at least that. Its ends move to the nearest separator, outwards when that takes
     in no more of the word there than the stretch already holds, else inwards.
     """
-    step, none = _step(value, table), F.array().cast(STRETCH)
+    none = F.array().cast(STRETCH)
     need = F.lit(threshold) * (least - 1)
 
     def closed(acc):
@@ -153,7 +174,7 @@ def _stretches(value: Column, table: list[float], threshold: float, least: Colum
         return F.when((acc["best"] > 0) & enough, F.concat(acc["all"], F.array(found))).otherwise(acc["all"])
 
     def add(acc, i):
-        total = acc["sum"] + step(i) - F.lit(threshold)
+        total = acc["sum"] + F.get(steps, i - 1) - F.lit(threshold)
         ends, higher = (total <= 0) | (total < acc["best"] - need), total > acc["best"]
         return F.struct(
             F.when(ends, F.lit(0.0)).otherwise(total).alias("sum"),
@@ -206,13 +227,16 @@ def _random_spans(text: Column, base: Column, table: list[float], threshold: flo
 
     def of_piece(span, piece):
         value = F.substr(text, piece["low"] + 1, piece["high"] - piece["low"])
+        return _let(value, lambda v: _let(_steps(v, table), lambda steps: found(span, piece, v, steps)))
+
+    def found(span, piece, value, steps):
         least = F.when(F.length(value) == F.length(span["value"]), F.lit(LEAST)).otherwise(F.lit(REST))
         whole = F.array(F.struct(F.lit(1).alias("low"), F.length(value).alias("high")))
-        random = likelihood_ratio(value, table) >= threshold
-        found = F.when(F.length(value) < least, F.array().cast(STRETCH)).when(random, whole).otherwise(
-            _stretches(value, table, threshold, least)
+        random = _mean(steps, F.length(value) - 1) >= threshold
+        spans = F.when(F.length(value) < least, F.array().cast(STRETCH)).when(random, whole).otherwise(
+            _stretches(value, steps, threshold, least)
         )
-        return F.transform(found, lambda s: F.struct(
+        return F.transform(spans, lambda s: F.struct(
             (piece["low"] + s["low"] - 1).alias("start"), rank.alias("rank"), (piece["low"] + s["high"]).alias("end"),
             F.substr(value, s["low"], s["high"] - s["low"] + 1).alias("value"),
         ))
@@ -228,7 +252,9 @@ def find_secrets(docs: DataFrame, table: list[float] | None = None, threshold: f
     a kind do not overlap, those of different kinds may. A random-looking string is one of 20 or more
     characters whose mean log likelihood ratio reaches the threshold, or the stretches of a longer one
     that would. What patterns match of it is left to them; the rest is judged from 6 characters on. Null
-    and empty texts hold none. All columns stay; one called ``secrets`` is replaced.
+    and empty texts hold none. All columns stay; one called ``secrets`` is replaced. Rows are judged one by
+    one, so repeated rows have the same spans and an empty table none; a run of any length is scored
+    character by character, in time that grows with its length.
     """
     if table is None:
         table = train(labelled_samples(docs.sparkSession))
@@ -240,8 +266,11 @@ def find_secrets(docs: DataFrame, table: list[float] | None = None, threshold: f
         longer(pattern_spans(text, "access", ACCESS), 18),
         pattern_spans(text, "hex", HEX),
     )
-    odd = _random_spans(text, F.col("__base"), table, threshold)
-    return docs.withColumn("__base", F.array_sort(base)).withColumn("secrets", F.array_sort(F.concat("__base", odd))).drop("__base")
+    held = "base"
+    while held in docs.columns:
+        held += "_"
+    odd = _random_spans(text, F.col(held), table, threshold)
+    return docs.withColumn(held, F.array_sort(base)).withColumn("secrets", F.array_sort(F.concat(held, odd))).drop(held)
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
