@@ -162,9 +162,9 @@ def _within(rows: DataFrame, spans: DataFrame) -> DataFrame:
 
 def _narrowed(rows: DataFrame, spans: DataFrame, bins: int) -> DataFrame:
     """The intervals cut down to the bins with the two middle rows."""
-    share = (F.col("v").cast("double") - F.col("low").cast("double")) / (
-        F.col("high").cast("double") - F.col("low").cast("double")
-    )
+    number_of = lambda c: F.col(c).cast("double")
+    share = F.try_divide(number_of("v") - number_of("low"), number_of("high") - number_of("low"))
+    share = F.when(F.isnan(share), 0.0).otherwise(share)
     number = F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
     counted = _within(rows, spans.select("_by", "low", "high")).groupBy("_by", number.alias("bin")).agg(
         F.count(F.lit(1)).alias("c"), F.min("v").alias("from"), F.max("v").alias("to")

@@ -1,10 +1,14 @@
 """States of the analyses per month, and fingerprints of rows."""
 
+import random
+import statistics
+
 import pytest
 from conftest import claim, put_archive
 from pyspark.sql import functions as F
 
 from claimworks.operators import fingerprints
+from claimworks.operators.aggregates import exact_median
 from claimworks.plans import partials
 from claimworks.plans.analyses import (
     ANALYSES, KEY_LISTS, STATE_COUNTS, STATE_SUMS, analyses_at_once, run_analyses, stored_partials,
@@ -99,3 +103,20 @@ def test_equality_by_group(spark):
     right = spark.createDataFrame([*ROWS[:3], ("b", "1", 4, ""), (None, "1", 5, "y"), ("c", "", 0, "")], SCHEMA)
     found = {r["g"]: (r["left_rows"], r["right_rows"], r["equal"]) for r in fingerprints.group_equality(left, right, "g").collect()}
     assert found == {"a": (3, 3, True), "b": (1, 1, False), None: (1, 1, True), "c": (0, 1, False)}
+
+
+@pytest.mark.parametrize("bins, few", [(4, 3), (1024, 10), (2, 1)])
+def test_median_by_narrowing(spark, bins, few):
+    rng = random.Random(bins)
+    groups = {
+        "normal": [rng.gauss(0, 5) for _ in range(301)], "even": [rng.gauss(0, 1e9) for _ in range(300)],
+        "ties": [1.0] * 100 + [2.0] * 100, "one": [3.5], "two": [1.0, 4.0], "same": [7.0] * 50,
+        "far": [1e300, -1e300, 0.0, 1.0, 2.0], "infinite": [float("inf"), 1.0, 2.0, 3.0], None: [5.0, None, 6.0, 9.0],
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values]
+    frame = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    found = {r["g"]: (r["median"], r["min"], r["max"]) for r in exact_median(frame, "g", "v", bins, few).collect()}
+    for g, values in groups.items():
+        values = [v for v in values if v is not None]
+        assert found[g] == pytest.approx((statistics.median(values), min(values), max(values))), g
+    assert exact_median(frame.limit(0), "g", "v").collect() == []
