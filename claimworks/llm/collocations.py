@@ -39,16 +39,17 @@ SCALE = 2_000_000
 TOP = 2_000  # phrases reported per language
 SALTS = 64  # parts of a language that are ranked apart first
 BUCKET_WORDS = 1_500_000  # occurrences per group of prefixes
-HOT = 1_000_000  # a prefix as frequent as this has its stripe dealt over all buckets
+HOT = 1_000_000  # the stripes under a first word as frequent as this are dealt over many buckets
+SLICES = 64
 TABLE_BITS = 27  # of a bit table of frequent phrases: 16 MB, whatever the corpus
 SLICE_BITS = 21
-CHUNK_WORDS = 3_000_000  # words whose stripes a task makes at once
+CHUNK_WORDS = 2_500_000  # words whose stripes a task makes at once
 WORD_ROWS = 300_000
 BREAK = b"\xff"  # in no UTF-8 text
 _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 _STOPS = b".,;:!?\n\x0b\x0c\r"
 CLEAN = bytes.maketrans(_LOWER[0] + _STOPS, _LOWER[1] + BREAK * len(_STOPS))
-STRIPE = "bucket int, prefix array<long>, next array<long>, n array<long>"
+STRIPE = "bucket int, first long, rest array<long>, next array<long>, n array<int>"
 ENTRY = "words array<long>, n long, total boolean, key long"
 STEP = U64(0x9E3779B97F4A7C15)
 
@@ -67,8 +68,8 @@ def mine(
     Texts are lower-cased (A-Z), cut at ``.,;:!?`` and line ends, and split at spaces and tabs; a null
     text has no words, a null language is ``und``. Texts of any length are read whole, repeated rows count
     every time, ids and other columns are not read. An empty table gives no rows. Products are decimal.
-    A prefix in a third of all texts is one stripe per task, and its next words are dealt over all
-    buckets. A lost task is run again over the same rows; every round's counts are stored.
+    Stripes travel under the first word of their prefix, one row per task and word; those under very
+    frequent words are dealt over many buckets. A lost task is run again over the same rows; every round's counts are stored.
     """
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     words, seed = _words(rows)
@@ -76,9 +77,9 @@ def mine(
     buckets = counted // bucket_words + 1
     frequent = words.where(F.col("n") >= least).select(F.array("h").alias("words"), "n", F.col("h").alias("key"))
     found = []
+    sliced = _Bits.of(frequent.where(F.col("n") >= hot), table_bits)
     for size in range(1, longest):
         allowed = _Bits.of(frequent, table_bits)
-        sliced = _Bits.of(frequent.where(F.col("n") >= hot), table_bits)
         with small_batches(rows.sparkSession):
             stripes = rows.mapInArrow(_striper(size, seed, allowed, sliced, buckets, chunk_words), STRIPE)
             merged = stored(stripes.groupBy("bucket").applyInArrow(_merge, ENTRY), f"stripes{size}")
@@ -189,14 +190,16 @@ def _striper(size: int, seed: int, allowed: _Bits, sliced: _Bits, buckets: int,
         for batch in batches:
             for lang, texts in _by_lang(batch).items():
                 found = tokens(texts)
-                for word in set(found):
-                    if (lang, word) not in known:
-                        known[lang, word] = word_hash(lang, word, seed)
-                known[lang, BREAK] = 0
-                mine = {word: known[lang, word] for word in set(found)}
-                parts += [np.fromiter(map(mine.__getitem__, found), np.int64, len(found)), np.zeros(1, np.int64)]
+                table = known.setdefault(lang, {BREAK: 0})
+                hashes = list(map(table.get, found))
+                for i in [i for i, h in enumerate(hashes) if h is None]:
+                    word = found[i]
+                    if word not in table:
+                        table[word] = word_hash(lang, word, seed)
+                    hashes[i] = table[word]
+                parts += [np.array(hashes, np.int64), np.zeros(1, np.int64)]
                 held += len(found)
-            if len(known) > WORD_ROWS:
+            if sum(map(len, known.values())) > WORD_ROWS:
                 known = {}
             if held >= chunk_words:
                 yield from _stripes(np.concatenate(parts).view(U64), size, allowed, sliced, buckets)
@@ -216,7 +219,11 @@ def phrase_key(words: list) -> np.ndarray:
 
 
 def _stripes(hashes: np.ndarray, size: int, allowed: _Bits, sliced: _Bits, buckets: int):
-    """Arrow rows ``bucket, prefix, next, n``; next 0 stands for breaks and words that do not matter."""
+    """Arrow rows ``bucket, first, rest, next, n``: the stripes of all prefixes with one first word.
+
+    ``rest`` holds the other words of each entry's prefix; ``next`` 0 stands for breaks and words that do
+    not matter.
+    """
     n = len(hashes) - size  # the last word of all is a break
     if n <= 0:
         return
@@ -231,6 +238,7 @@ def _stripes(hashes: np.ndarray, size: int, allowed: _Bits, sliced: _Bits, bucke
     ok = np.zeros(n + 1, bool)
     ok[at] = True
     following = np.where(ok[at + 1], hashes[at + size], U64(0))
+    del windows, whole, good, ok
     distinct, word = np.unique(hashes, return_inverse=True)
     v = np.int64(len(distinct))
     group = word[at]
@@ -241,45 +249,43 @@ def _stripes(hashes: np.ndarray, size: int, allowed: _Bits, sliced: _Bits, bucke
     code, first, count = np.unique(
         group * (v + 1) + np.where(following == 0, 0, following_id + (0 if zero else 1)), return_index=True, return_counts=True
     )
-    prefix, following, keys, at = group[first], following[first], keys[first], at[first]
-    deal = np.where(sliced.has(keys), mix(following ^ STEP), U64(0))
-    bucket = ((mix(keys ^ STEP) >> U64(1)) + (deal >> U64(1))) % U64(buckets)
-    order = np.lexsort((bucket, prefix))
-    prefix, bucket, at = prefix[order], bucket[order], at[order]
-    starts = np.flatnonzero(np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (bucket[1:] != bucket[:-1]))))
+    following, at = following[first], at[first]
+    word, second = hashes[at], following if size == 1 else hashes[at + 1]
+    deal = np.where(sliced.has(word), mix(second ^ STEP) % U64(SLICES), U64(0))
+    bucket = ((mix(word ^ STEP) >> U64(1)) + deal) % U64(buckets)
+    order = np.lexsort((bucket, word))
+    word, bucket, at = word[order], bucket[order].astype(np.int32), at[order]
+    following, count = following[order].view(np.int64), count[order].astype(np.int32)
+    starts = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (bucket[1:] != bucket[:-1]))))
     ends = np.append(starts, len(order)).astype(np.int32)
-    heads = np.stack([hashes[at[starts] + i] for i in range(size)], axis=1).ravel().view(np.int64)
-    following, count = following[order].view(np.int64), count[order].astype(np.int64)
-    step = 50_000
+    rest = np.stack([hashes[at + i] for i in range(1, size)], axis=1).ravel().view(np.int64) if size > 1 else np.zeros(0, np.int64)
+    step = 2_000
     for a in range(0, len(starts), step):
         b = min(a + step, len(starts))
         lo, hi = ends[a], ends[b]
-        offsets = pa.array(ends[a : b + 1] - lo)
+        offsets = ends[a : b + 1] - lo
         yield pa.record_batch([
-            pa.array(bucket[starts[a:b]].astype(np.int32)),
-            pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * size), pa.array(heads[a * size : b * size])),
-            pa.ListArray.from_arrays(offsets, pa.array(following[lo:hi])),
-            pa.ListArray.from_arrays(offsets, pa.array(count[lo:hi])),
-        ], names=["bucket", "prefix", "next", "n"])
+            pa.array(bucket[starts[a:b]]), pa.array(word[starts[a:b]].view(np.int64)),
+            pa.ListArray.from_arrays(pa.array(offsets * (size - 1)), pa.array(rest[lo * (size - 1) : hi * (size - 1)])),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(following[lo:hi])),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(count[lo:hi])),
+        ], names=["bucket", "first", "rest", "next", "n"])
 
 
 def _merge(table: pa.Table) -> pa.Table:
     """All stripes of a bucket added element by element: extensions and prefix totals."""
     flat = lambda name: np.concatenate([c.flatten().to_numpy() for c in table.column(name).chunks])
     lengths = np.concatenate([c.value_lengths().to_numpy() for c in table.column("next").chunks])
-    heads = flat("prefix").view(U64).reshape(len(lengths), -1)
-    size = heads.shape[1]
-    following, n = flat("next").view(U64), flat("n")
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    # number the prefixes, then sort the entries of all stripes by prefix and next word
-    order = np.lexsort(heads.T[::-1])
-    new = np.concatenate(([True], (heads[order][1:] != heads[order][:-1]).any(axis=1)))
-    number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(new) - 1
-    heads = heads[order][new]
-    prefix = number[row]
-    order = np.lexsort((following, prefix))
-    prefix, following, n = prefix[order], following[order], n[order]
+    following, n = flat("next").view(U64), flat("n").astype(np.int64)
+    rest = flat("rest").view(U64)
+    size = 1 + len(rest) // len(following)
+    first = np.repeat(table.column("first").to_numpy().view(U64), lengths)
+    heads = np.concatenate((first[:, None], rest.reshape(len(first), size - 1)), axis=1)
+    # sort the entries of all stripes by prefix and next word, and number the prefixes
+    order = np.lexsort((following, *heads.T[::-1]))
+    heads, following, n = heads[order], following[order], n[order]
+    new = np.concatenate(([True], (heads[1:] != heads[:-1]).any(axis=1)))
+    prefix, heads = np.cumsum(new) - 1, heads[new]
     starts = np.flatnonzero(np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (following[1:] != following[:-1]))))
     sums, prefix, following = np.add.reduceat(n, starts), prefix[starts], following[starts]
     totals = np.zeros(len(heads), np.int64)
