@@ -17,6 +17,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,9 @@ SLACK = 0.004  # sequences beyond the least number, as a share, before remainder
 LOT_IDS = 1 << 21  # ids of the documents that a task packs at once
 PART_BYTES = 16 << 20  # text of a task, where the table's own parts are smaller
 OUT_ROWS = 512
-KNOWN_UNITS = 500_000  # tokenised units that a worker remembers
+KNOWN_UNITS = 350_000  # tokenised units that a worker remembers, twice
+TEXT_BYTES = 1 << 18  # text that is split at once
+MARK = b"\xfe"  # between texts; neither it nor 0xff is in any UTF-8 text
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -57,7 +60,7 @@ def pack(
     same rows and gives the same pieces.
     """
     parts = text_bytes(docs, "text") // part_bytes + 1
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).coalesce(parts)
+    rows = docs.select("doc_id", F.col("text").cast("string").cast("binary").alias("text")).coalesce(parts)
     rows = rows.withColumn("part", F.spark_partition_id())
     schema = T.StructType([rows.schema["doc_id"]]).add("start", "long").add("length", "long").add(
         "ids", "binary"
@@ -69,14 +72,16 @@ def pack(
         for batch in batches:
             encoder = encoder or _encoder(tokenizer)
             kind, part = batch.schema.field("doc_id").type, batch.column("part")[0].as_py()
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = encoder.ids(text.as_py() or "") + end.to_bytes(4, "little")
-                lot.append((doc_id, ids))
-                size += len(ids) // 4
-                if size >= lot_ids:
-                    made, first = _pieces(lot, capacity, first)
-                    yield from _batches(lot, made, part, kind)
-                    lot, size = [], 0
+            for at, stop in _spans(batch.column("text")):
+                some = batch.slice(at, stop - at)
+                coded = encoder.ids_of([t or b"" for t in some.column("text").to_pylist()])
+                for doc_id, ids in zip(some.column("doc_id").to_pylist(), coded, strict=True):
+                    lot.append((doc_id, ids + end.to_bytes(4, "little")))
+                    size += len(ids) // 4 + 1
+                    if size >= lot_ids:
+                        made, first = _pieces(lot, capacity, first)
+                        yield from _batches(lot, made, part, kind)
+                        lot, size = [], 0
         if lot:
             made, _ = _pieces(lot, capacity, first)
             yield from _batches(lot, made, part, kind)
@@ -84,6 +89,18 @@ def pack(
     return rows.mapInArrow(run, schema)
 
 
+def _spans(texts: pa.Array):
+    """Runs of rows that hold about ``TEXT_BYTES`` of text each."""
+    at, size = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if size and size + n > TEXT_BYTES:
+            yield at, i
+            at, size = i, 0
+        size += n + 1
+    if at < len(texts):
+        yield at, len(texts)
+
+
 def _batches(lot: list, made: list, part: int, kind: pa.DataType):
     """Arrow rows for pieces ``(document, start, length, sequence, offset)``."""
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
@@ -230,26 +247,39 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         if not str(self.tokenizer.pre_tokenizer).startswith("ByteLevel(add_prefix_space=False"):
             raise ValueError(f"{path}: not a byte-level vocabulary")
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {MARK: b""}
+        self.older: dict[bytes, bytes] = {}
 
     def ids(self, text: str) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit numbers."""
-        units = _units(text.encode())
+        return self.ids_of([text.encode()])[0]
+
+    def ids_of(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, given in UTF-8, as little-endian unsigned 32-bit numbers."""
+        units = _units((b"\xff" + MARK + b"\xff").join(texts))
         codes = list(map(self.known.get, units))
-        if None in codes:
-            if len(self.known) > KNOWN_UNITS:
-                self.known.clear()
-                codes = [None] * len(units)
-            new = list(dict.fromkeys(u for u, code in zip(units, codes, strict=True) if code is None))
-            coded = self.tokenizer.encode_batch_fast([u.decode() for u in new], add_special_tokens=False)
-            self.known.update(zip(new, (array("I", c.ids).tobytes() for c in coded), strict=True))
-            codes = map(self.known.__getitem__, units)
-        return b"".join(codes)
+        missing = [i for i, code in enumerate(codes) if code is None]
+        if missing:
+            self._learn({units[i]: None for i in missing})
+            for i in missing:
+                codes[i] = self.known[units[i]]
+            if len(self.known) > KNOWN_UNITS:  # what is not met for long is forgotten
+                self.older, self.known = self.known, {MARK: b""}
+        ends = [i for i, u in enumerate(units) if u == MARK]
+        return [b"".join(codes[a:b]) for a, b in zip([0, *[i + 1 for i in ends]], [*ends, len(units)], strict=True)]
+
+    def _learn(self, units: dict) -> None:
+        new = []
+        for unit in units:
+            code = self.older.get(unit)
+            if code is None:
+                new.append(unit)
+            else:
+                self.known[unit] = code
+        coded = self.tokenizer.encode_batch_fast([u.decode() for u in new], add_special_tokens=False)
+        self.known.update(zip(new, (array("I", c.ids).tobytes() for c in coded), strict=True))
 
 
 def _units(data: bytes) -> list[bytes]:
-    if not data:
-        return []
     x = np.frombuffer(b"\0\0\0" + data, np.uint8)  # places before the text are neither visible nor letters
     two = (x >= 128) & _shifted((x >= 0xC3) & (x <= 0xDF))  # ends of two-byte characters, none of them blank
     latin = (x >= 128) & _shifted(x == 0xC3) & (x != 0x97) & (x != 0xB7)

@@ -68,8 +68,9 @@ def test_units_leave_the_ids_alone(text):
 def test_a_forgetful_encoder_gives_the_same(monkeypatch):
     monkeypatch.setattr(packing, "KNOWN_UNITS", 3)
     encoder = packing.Encoder(PATH)
-    for text in ("one two three four five", "one, two. three", "six one two"):
-        assert [*array("I", encoder.ids(text)), 1] == plain()(text)
+    texts = ["one two three four five", "", "one, two. three", "six one two", "é", ""]
+    for some in (texts, texts[::-1], texts[:1], texts):
+        assert [[*array("I", ids), 1] for ids in encoder.ids_of([t.encode() for t in some])] == list(map(plain(), some))
 
 
 @pytest.mark.parametrize("n, k", [(1, 1), (3, 5), (20, 20), (50, 7), (400, 40), (7, 3)])
