@@ -1,7 +1,9 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a window of words, every half window anew, so a notice of up to half a window lies whole in
-a block. A template is found where a block holds at least a share of its distinct words. Words are
+A block is a window of words. It may start anywhere; but a block that reaches the threshold still does so
+when it is moved on to its first word of the template, so blocks start at words of templates only, and
+near a word that the prefix filter asks for. A template is found where a block holds at least a share of
+its distinct words. Words are
 ordered by their frequency in all documents, rarest first. Then a block must hold one of a template's
 first words (prefix filter), enough words (length filter), and enough words after the first common one
 (positional filter) before the sets themselves are compared. All of it is DataFrame functions.
@@ -92,9 +94,11 @@ def word_frequencies(docs: DataFrame, words: list[str]) -> dict[str, int]:
 def matching_blocks(
     docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8, window: int = WINDOW
 ) -> DataFrame:
-    """``__k1, __k2, block, template, label, containment`` of all blocks that reach the threshold.
+    """``__k1, __k2, block, template, label, containment`` of blocks that reach the threshold.
 
-    ``docs`` has doc_id and text. Blocks count from 0, ``window // 2`` words apart.
+    ``docs`` has doc_id and text; ``block`` is the word, from 0, that a block starts with. Of all windows
+    of a text, the best for each template is among the blocks. A template that needs more distinct words
+    than a window has is refused.
     """
     spark = docs.sparkSession
     sets = _template_sets(templates)
@@ -106,6 +110,8 @@ def matching_blocks(
     for number, (label, words) in enumerate(sets):
         ranks = sorted(rank[w] for w in words)
         need = math.ceil(threshold * len(ranks) - 1e-9)
+        if need > window:
+            raise ValueError(f"a template of {label} needs {need} words, more than a window of {window}")
         for place, first in enumerate(ranks[: len(ranks) - need + 1]):
             prefixes.add(order[first - 1])
             rows.append((first, place, number, label, need, ranks))
@@ -113,15 +119,20 @@ def matching_blocks(
         rows, "rank int, place int, template int, label string, need int, ranks array<int>"
     )
 
-    half = window // 2
+    rare, known_words = _literal(sorted(prefixes)), _literal(order)
     texts = docs.select(*digest("doc_id", "text"), plain_words("text").alias("words"))
-    texts = texts.where(F.arrays_overlap("words", _literal(sorted(prefixes)))).distinct()
-    n = F.greatest(F.lit(1), F.ceil(F.size("words") / half).cast("int") - 1)
-    blocks = texts.select(
-        "__k1", "__k2", "words", F.explode(F.sequence(F.lit(0), n - 1)).alias("block")
-    ).select(
-        "__k1", "__k2", "block", F.slice("words", F.col("block") * half + 1, F.lit(window)).alias("words")
+    texts = texts.where(F.arrays_overlap("words", rare)).distinct()
+    at_rare = F.filter(
+        F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains(rare, F.get("words", i))
     )
+    near = lambda p: F.filter(
+        F.sequence(F.greatest(F.lit(0), p - (window - 1)), p), lambda i: F.array_contains(known_words, F.get("words", i))
+    )
+    starts = F.array_distinct(F.flatten(F.transform(at_rare, near)))
+    windows = F.transform(
+        starts, lambda i: F.struct(i.alias("block"), F.slice("words", i + 1, F.lit(window)).alias("words"))
+    )
+    blocks = texts.select("__k1", "__k2", F.inline(windows))
     numbers = F.transform(
         F.array_intersect("words", _literal(order)), lambda w: F.array_position(_literal(order), w).cast("int")
     )

@@ -188,23 +188,43 @@ def test_license_places_match_plain_version(spark):
     assert sorted(map(tuple, got), key=str) == brute.license_base(rows)
 
 
-def test_similarity_join_finds_all_blocks(spark):
+def test_similarity_join_finds_the_best_of_all_windows(spark):
+    """Every window at every offset, against the blocks that the filters leave."""
     rng = random.Random(2)
     names = [w for _, words in licenses._template_sets(licenses.TEMPLATES) for w in words]
-    rows = [(i, " ".join(rng.choice(names) for _ in range(rng.randrange(150)))) for i in range(60)]
-    found = licenses.matching_blocks(documents(spark, rows), threshold=0.6, window=16)
-    assert python_free(found)
-    got = sorted((r["block"], r["template"], round(r["containment"], 6)) for r in found.collect())
-    want = []
-    for _, text in rows:
-        words = brute.PLAIN_WORD.findall(brute.lower(text))
-        for block in range(max(1, -(-len(words) // 8) - 1)):
-            held = set(words[block * 8 : block * 8 + 16])
+    pool = names + ["filler"] * len(names)
+    rows = [(i, " ".join(rng.choice(pool) for _ in range(rng.randrange(150)))) for i in range(60)]
+    rows += [(100 + i, " ".join(["other"] * i + spread(licenses.TEMPLATES[i % 3][1], i % 4))) for i in range(40)]
+    for window, threshold in ((24, 0.6), (licenses.WINDOW, 0.8)):
+        found = licenses.matching_blocks(documents(spark, rows), threshold=threshold, window=window)
+        assert python_free(found)
+        best = found.groupBy("__k1", "__k2", "template").agg(F.max("containment").alias("best")).collect()
+        want = []
+        for _, text in rows:
+            words = brute.PLAIN_WORD.findall(brute.lower(text))
             for number, (_, template) in enumerate(licenses._template_sets(licenses.TEMPLATES)):
-                share = len(held & set(template)) / len(template)
-                if share >= 0.6 - 1e-9:
-                    want.append((block, number, round(share, 6)))
-    assert got == sorted(want) and want
+                shares = [len({*words[i : i + window]} & {*template}) / len(template) for i in range(len(words))]
+                if max(shares, default=0) >= threshold - 1e-9:
+                    want.append((number, round(max(shares), 6)))
+        assert sorted((r["template"], round(r["best"], 6)) for r in best) == sorted(want) and want
+
+
+def spread(text, gap):
+    """A notice with filler words after each word."""
+    return [w for word in text.split() for w in (word, *["filler"] * gap)]
+
+
+def test_notices_are_found_at_every_offset(spark):
+    label, notice = licenses.TEMPLATES[0]
+    rows = [(i, " ".join(["word"] * i + spread(notice, 1))) for i in range(0, 70, 3)]
+    assert all(r["labels"] == [label] for r in licenses.scan(documents(spark, rows)).collect())
+
+
+def test_templates_that_cannot_fit_are_refused(spark):
+    with pytest.raises(ValueError, match="needs 100 words"):
+        licenses.matching_blocks(
+            documents(spark, [(1, "x")]), templates=(("own", " ".join(f"w{i}" for i in range(125))),)
+        )
 
 
 # --- Secrets -----------------------------------------------------------------------------------
