@@ -34,7 +34,8 @@ SLACK = 0.004  # sequences beyond the least number, as a share, before remainder
 LOT_IDS = 1 << 21  # ids of the documents that a task packs at once
 PART_BYTES = 16 << 20  # text of a task, where the table's own parts are smaller
 OUT_ROWS = 512
-KNOWN_UNITS = 350_000  # tokenised units that a worker remembers, twice
+KNOWN_UNITS = 700_000  # tokenised units that a worker remembers, twice
+KNOWN_BYTES = 48 << 20  # and their bytes
 TEXT_BYTES = 1 << 18  # text that is split at once
 MARK = b"\xfe"  # between texts; neither it nor 0xff is in any UTF-8 text
 
@@ -249,6 +250,7 @@ class Encoder:
             raise ValueError(f"{path}: not a byte-level vocabulary")
         self.known: dict[bytes, bytes] = {MARK: b""}
         self.older: dict[bytes, bytes] = {}
+        self.held = 0
 
     def ids(self, text: str) -> bytes:
         return self.ids_of([text.encode()])[0]
@@ -262,8 +264,8 @@ class Encoder:
             self._learn({units[i]: None for i in missing})
             for i in missing:
                 codes[i] = self.known[units[i]]
-            if len(self.known) > KNOWN_UNITS:  # what is not met for long is forgotten
-                self.older, self.known = self.known, {MARK: b""}
+            if len(self.known) > KNOWN_UNITS or self.held > KNOWN_BYTES:  # what is not met for long is forgotten
+                self.older, self.known, self.held = self.known, {MARK: b""}, 0
         ends = [i for i, u in enumerate(units) if u == MARK]
         return [b"".join(codes[a:b]) for a, b in zip([0, *[i + 1 for i in ends]], [*ends, len(units)], strict=True)]
 
@@ -275,6 +277,7 @@ class Encoder:
                 new.append(unit)
             else:
                 self.known[unit] = code
+        self.held += sum(map(len, units))
         coded = self.tokenizer.encode_batch_fast([u.decode() for u in new], add_special_tokens=False)
         self.known.update(zip(new, (array("I", c.ids).tobytes() for c in coded), strict=True))
 
