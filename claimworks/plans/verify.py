@@ -9,6 +9,7 @@ from claimworks.functions import total, utc_now
 from claimworks.operators.fingerprints import group_equality
 from claimworks.operators.reconcile import counts_and_sums, raw_amount, reconcile, reconcile_tolerance
 from claimworks.schema import CLAIMS, TableSpec
+from claimworks.session import small_methods
 from claimworks.sources.archives import CSV_TEXT, MONTH_IN_PATH, read_archives
 from claimworks.sources.curated import PARTITION, read_curated
 from claimworks.sources.metadata import read_manifests
@@ -50,7 +51,8 @@ def verify_source(
         "checked_at": utc_now(), "method": F.lit("sums read from archive text against decimals"),
     })
     verdict = f"{root}/data/staging/verification"
-    result.write.mode("overwrite").parquet(verdict)
+    with small_methods(spark):
+        result.write.mode("overwrite").parquet(verdict)
     result = spark.read.parquet(verdict)
     different = result.where(~F.col("equal")).select(PARTITION).distinct().collect()
     if different:
@@ -81,7 +83,8 @@ def verify_rows(
         raise ValueError(f"no published month under {root}")
     left, right = source_and_curated(spark, root, months, spec, raw or f"{root}/data/raw", month_in_path, archive_glob)
     stored = f"{root}/data/staging/rows_verified"
-    group_equality(left, right, PARTITION).write.mode("overwrite").parquet(stored)
+    with small_methods(spark):
+        group_equality(left, right, PARTITION).write.mode("overwrite").parquet(stored)
     result = spark.read.parquet(stored)
     different = sorted(r[0] for r in result.where(~F.col("equal")).select(PARTITION).collect())
     if different:
@@ -93,11 +96,11 @@ def source_and_curated(
     spark: SparkSession, root: str, months: list[str], spec: TableSpec, raw: str, month_in_path: str, archive_glob: str
 ) -> tuple[DataFrame, DataFrame]:
     """The rows of archives and of published months in one form: month, codes, amounts."""
-    blanks = r"^[ \t]+|[ \t]+$"
+    blanks = F.lit(" \t")
     source = read_archives(spark, [f"{raw}/{archive_glob.format(month=m)}" for m in months]).select(
         F.regexp_extract(F.input_file_name(), month_in_path, 1).alias(PARTITION),
-        *[F.nullif(F.regexp_replace(c, blanks, ""), F.lit("")).alias(c) for c in spec.codes],
-        *[raw_amount(F.regexp_replace(c, blanks, "")).alias(c) for c in spec.numeric],
+        *[F.nullif(F.btrim(c, blanks), F.lit("")).alias(c) for c in spec.codes],
+        *[raw_amount(F.btrim(c, blanks)).alias(c) for c in spec.numeric],
     )
     published = read_curated(spark, root, months, keep_month=True).select(PARTITION, *spec.codes, *spec.numeric)
     return source, published
