@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from claimworks.functions import quoted
 from claimworks.operators.quality import row_text
+from claimworks.session import scratch_dir, small_methods
 
 BUCKETS = 1024
 _BUCKET = "_bucket"
@@ -73,16 +74,27 @@ def row_differences_by_bucket(left: DataFrame, right: DataFrame, by: str, bucket
     Tables that agree cost two scans and no exchange of rows. Otherwise the rows whose bucket number is
     unequal in some group are compared by their content, nulls equal to nulls. The driver holds those
     numbers, ``buckets`` at most.
+    The result is written to the scratch folder at once.
     Equality rests on 128-bit sums, differences on the rows themselves.
     """
     columns = left.columns
-    found = differing_buckets(left, right, by, buckets).select(_BUCKET).distinct().collect()
-    numbers = [r[0] for r in found]  # at most ``buckets``
-    sides = []
-    for side, df in ((1, left), (0, right.select(*map(quoted, columns)))):
-        some = _marked(df, by, buckets).where(F.col(_BUCKET).isin(numbers)) if numbers else df.limit(0)
-        sides.append(some.select(*map(quoted, columns), F.lit(side).alias("_left")))
-    counted = sides[0].unionByName(sides[1]).groupBy(*map(quoted, columns)).agg(
-        F.sum("_left").cast("long").alias("left_copies"), F.sum(1 - F.col("_left")).cast("long").alias("right_copies")
-    )
-    return counted.where("left_copies <> right_copies")
+    spark = left.sparkSession
+    path = scratch_dir(spark, "differences")
+    # The text of a wide row and groups by all its columns make methods too long for HotSpot.
+    with small_methods(spark):
+        found = differing_buckets(left, right, by, buckets).select(_BUCKET).distinct().collect()
+        numbers = [r[0] for r in found]  # at most ``buckets``
+        sides = []
+        for side, df in ((1, left), (0, right.select(*map(quoted, columns)))):
+            if len(numbers) == buckets:  # every bucket is asked for, so none need be told from the others
+                some = df
+            else:
+                some = _marked(df, by, buckets).where(F.col(_BUCKET).isin(numbers)) if numbers else df.limit(0)
+            sides.append(some.select(*map(quoted, columns), F.lit(side).alias("_left")))
+        counted = sides[0].unionByName(sides[1]).groupBy(*map(quoted, columns)).agg(
+            F.sum("_left").cast("long").alias("left_copies"),
+            F.sum(1 - F.col("_left")).cast("long").alias("right_copies"),
+        )
+        differing = counted.where("left_copies <> right_copies")
+        differing.write.parquet(path)
+    return spark.read.schema(differing.schema).parquet(path)
