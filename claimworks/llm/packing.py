@@ -13,7 +13,9 @@ from __future__ import annotations
 import heapq
 import os
 import sys
+import types
 from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +39,8 @@ OUT_ROWS = 512
 KNOWN_UNITS = 700_000  # tokenised units that a worker remembers, twice
 KNOWN_BYTES = 48 << 20  # and their bytes
 TEXT_BYTES = 1 << 18  # text that is split at once
-MARK = b"\xfe"  # between texts; neither it nor 0xff is in any UTF-8 text
-
-_ENCODERS: dict[str, Encoder] = {}
+CUT = b"\xff"  # between units and between texts; in no UTF-8 text
+KEPT = "claimworks_encoders"  # a module of the worker that holds its encoders
 
 
 def pack(
@@ -225,9 +226,11 @@ def _partial(sums, heads, tails, k: int, made: int) -> tuple:
 
 
 def _encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """The encoder of a worker. Tasks get this module by value, each anew; what they learn outlives them."""
+    kept = vars(sys.modules.setdefault(KEPT, types.ModuleType(KEPT)))
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 class Encoder:
@@ -248,7 +251,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         if not str(self.tokenizer.pre_tokenizer).startswith("ByteLevel(add_prefix_space=False"):
             raise ValueError(f"{path}: not a byte-level vocabulary")
-        self.known: dict[bytes, bytes] = {MARK: b""}
+        self.known: dict[bytes, bytes] = {b"": b""}
         self.older: dict[bytes, bytes] = {}
         self.held = 0
 
@@ -257,17 +260,17 @@ class Encoder:
 
     def ids_of(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, given in UTF-8, as little-endian unsigned 32-bit numbers."""
-        units = _units((b"\xff" + MARK + b"\xff").join(texts))
+        units, firsts = _units(texts)
         codes = list(map(self.known.get, units))
-        missing = [i for i, code in enumerate(codes) if code is None]
-        if missing:
+        if None in codes:
+            missing = [i for i, code in enumerate(codes) if code is None]
             self._learn({units[i]: None for i in missing})
             for i in missing:
                 codes[i] = self.known[units[i]]
             if len(self.known) > KNOWN_UNITS or self.held > KNOWN_BYTES:  # what is not met for long is forgotten
-                self.older, self.known, self.held = self.known, {MARK: b""}, 0
-        ends = [i for i, u in enumerate(units) if u == MARK]
-        return [b"".join(codes[a:b]) for a, b in zip([0, *[i + 1 for i in ends]], [*ends, len(units)], strict=True)]
+                self.older, self.known, self.held = self.known, {b"": b""}, 0
+        codes = iter(codes)
+        return [b"".join(islice(codes, n)) for n in np.diff(firsts).tolist()]
 
     def _learn(self, units: dict) -> None:
         new = []
@@ -282,7 +285,9 @@ class Encoder:
         self.known.update(zip(new, (array("I", c.ids).tobytes() for c in coded), strict=True))
 
 
-def _units(data: bytes) -> list[bytes]:
+def _units(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The units of all texts, and the number of each text's first unit, then that of all units."""
+    data = CUT.join(texts)
     x = np.frombuffer(b"\0\0\0" + data, np.uint8)  # places before the text are neither visible nor letters
     two = (x >= 128) & _shifted((x >= 0xC3) & (x <= 0xDF))  # ends of two-byte characters, none of them blank
     latin = (x >= 128) & _shifted(x == 0xC3) & (x != 0x97) & (x != 0xB7)
@@ -290,7 +295,14 @@ def _units(data: bytes) -> list[bytes]:
     cut = (x == 32) & _shifted(visible)
     cut |= _STOPS[x] & _shifted(_LETTERS[x] | latin)
     cut |= _LETTERS[x] & _shifted((x == 10) & _shifted(visible))
-    return np.insert(x, np.flatnonzero(cut), 255)[3:].tobytes().split(b"\xff")
+    at = np.flatnonzero(cut[3:])
+    with_cuts = np.full(len(data) + len(at), CUT[0], np.uint8)
+    kept = np.ones(len(with_cuts), bool)
+    kept[at + np.arange(len(at))] = False
+    with_cuts[kept] = x[3:]
+    starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    firsts = np.searchsorted(at, starts) + np.arange(len(starts))
+    return with_cuts.tobytes().split(CUT), firsts
 
 
 def _shifted(flags: np.ndarray) -> np.ndarray:

@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -65,6 +66,20 @@ def test_units_leave_the_ids_alone(text):
     assert [*array("I", encoder.ids(text)), 1] == plain()(text)
 
 
+def test_tasks_of_a_worker_share_an_encoder():
+    # every task unpickles the module anew
+    sent = cloudpickle.dumps(packing._encoder)
+    first, second = (cloudpickle.loads(sent)(PATH) for _ in range(2))
+    assert first is second
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ALPHABET), max_size=8).map("".join), max_size=6))
+def test_texts_split_together_keep_their_units(texts):
+    ids = packing._encoder(PATH).ids_of([t.encode() for t in texts])
+    assert [[*array("I", i), 1] for i in ids] == list(map(plain(), texts))
+
+
 def test_a_forgetful_encoder_gives_the_same(monkeypatch):
     monkeypatch.setattr(packing, "KNOWN_UNITS", 3)
     encoder = packing.Encoder(PATH)
