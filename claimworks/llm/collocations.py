@@ -18,7 +18,8 @@ from __future__ import annotations
 import itertools
 import sys
 import uuid
-from collections import Counter
+from array import array
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -186,26 +187,24 @@ def _striper(size: int, seed: int, allowed: _Bits, sliced: _Bits, buckets: int,
     """Stripes of all prefixes of ``size`` words in a task's texts."""
 
     def run(batches):
-        parts, held, known = [], 0, {}
+        parts, held, known, hashes, number = [], 0, {}, array("q", [0]), itertools.count(1)
         for batch in batches:
             for lang, texts in _by_lang(batch).items():
                 found = tokens(texts)
-                table = known.setdefault(lang, {BREAK: 0})
-                hashes = list(map(table.get, found))
-                for i in [i for i, h in enumerate(hashes) if h is None]:
-                    word = found[i]
-                    if word not in table:
-                        table[word] = word_hash(lang, word, seed)
-                    hashes[i] = table[word]
-                parts += [np.array(hashes, np.int64), np.zeros(1, np.int64)]
+                if lang not in known:
+                    known[lang] = defaultdict(number.__next__, {BREAK: 0})
+                table = known[lang]
+                before = len(table)
+                parts += [np.fromiter(map(table.__getitem__, found), np.int64, len(found)), np.zeros(1, np.int64)]
+                hashes.extend(word_hash(lang, word, seed) for word in itertools.islice(table, before, None))
                 held += len(found)
-            if sum(map(len, known.values())) > WORD_ROWS:
-                known = {}
-            if held >= chunk_words:
-                yield from _stripes(np.concatenate(parts).view(U64), size, allowed, sliced, buckets)
+            if held >= chunk_words or len(hashes) > 2 * WORD_ROWS:
+                yield from _stripes(np.concatenate(parts), np.array(hashes).view(U64), size, allowed, sliced, buckets)
                 parts, held = [], 0
+                if len(hashes) > WORD_ROWS:
+                    known, hashes, number = {}, array("q", [0]), itertools.count(1)
         if held:
-            yield from _stripes(np.concatenate(parts).view(U64), size, allowed, sliced, buckets)
+            yield from _stripes(np.concatenate(parts), np.array(hashes).view(U64), size, allowed, sliced, buckets)
 
     return run
 
@@ -218,47 +217,47 @@ def phrase_key(words: list) -> np.ndarray:
     return key
 
 
-def _stripes(hashes: np.ndarray, size: int, allowed: _Bits, sliced: _Bits, buckets: int):
+def _stripes(words: np.ndarray, hashes: np.ndarray, size: int, allowed: _Bits, sliced: _Bits, buckets: int):
     """Arrow rows ``bucket, first, rest, next, n``: the stripes of all prefixes with one first word.
 
-    ``rest`` holds the other words of each entry's prefix; ``next`` 0 stands for breaks and words that do
-    not matter.
+    ``words`` are numbers of words, 0 for breaks, and ``hashes`` the hashes by number. ``rest`` holds the
+    other words of each entry's prefix; ``next`` 0 stands for breaks and words that do not matter.
     """
-    n = len(hashes) - size  # the last word of all is a break
+    n = len(words) - size  # the last word of all is a break
     if n <= 0:
         return
-    windows = [hashes[i : i + n] for i in range(size)]
-    whole = np.logical_and.reduce([w != 0 for w in windows])
-    at = np.flatnonzero(whole)
-    keys = phrase_key([w[at] for w in windows])
-    good = allowed.has(keys)
-    at, keys = at[good], keys[good]
+    at = np.flatnonzero(np.logical_and.reduce([words[i : i + n] != 0 for i in range(size)]))
+    at = at[allowed.has(phrase_key([hashes[words[at + i]] for i in range(size)]))]
     if not len(at):
         return
     ok = np.zeros(n + 1, bool)
     ok[at] = True
-    following = np.where(ok[at + 1], hashes[at + size], U64(0))
-    del windows, whole, good, ok
-    distinct, word = np.unique(hashes, return_inverse=True)
-    v = np.int64(len(distinct))
-    group = word[at]
+    following = np.where(ok[at + 1], words[at + size], 0)
+    del ok
+    v = np.int64(len(hashes))
+    group, pairs = words[at], []
     for i in range(1, size):
-        _, group = np.unique(group * v + word[at + i], return_inverse=True)
-    following_id = np.searchsorted(distinct, following)
-    zero = distinct[0] == 0
-    code, first, count = np.unique(
-        group * (v + 1) + np.where(following == 0, 0, following_id + (0 if zero else 1)), return_index=True, return_counts=True
-    )
-    following, at = following[first], at[first]
-    word, second = hashes[at], following if size == 1 else hashes[at + 1]
-    deal = np.where(sliced.has(word), mix(second ^ STEP) % U64(SLICES), U64(0))
-    bucket = ((mix(word ^ STEP) >> U64(1)) + deal) % U64(buckets)
-    order = np.lexsort((bucket, word))
-    word, bucket, at = word[order], bucket[order].astype(np.int32), at[order]
-    following, count = following[order].view(np.int64), count[order].astype(np.int32)
+        distinct, group = np.unique(group * v + words[at + i], return_inverse=True)
+        pairs.append(distinct)
+    code = np.sort(group * v + following)
+    del group, following, at
+    starts = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+    count = np.diff(starts, append=len(code))
+    word, following = np.divmod(code[starts], v)
+    others = []
+    for distinct in reversed(pairs):
+        word, other = np.divmod(distinct[word], v)
+        others.insert(0, hashes[other])
+    head, following = hashes[word], hashes[following]
+    second = others[0] if others else following
+    deal = np.where(sliced.has(head), mix(second ^ STEP) % U64(SLICES), U64(0))
+    bucket = (((mix(head ^ STEP) >> U64(1)) + deal) % U64(buckets)).astype(np.int64)
+    order = np.argsort(word * np.int64(buckets) + bucket, kind="stable")  # in runs already, one for each word
+    word, bucket, count = head[order], bucket[order].astype(np.int32), count[order].astype(np.int32)
+    following = following[order].view(np.int64)
+    rest = np.stack([o[order] for o in others], axis=1).ravel().view(np.int64) if others else np.zeros(0, np.int64)
     starts = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (bucket[1:] != bucket[:-1]))))
     ends = np.append(starts, len(order)).astype(np.int32)
-    rest = np.stack([hashes[at + i] for i in range(1, size)], axis=1).ravel().view(np.int64) if size > 1 else np.zeros(0, np.int64)
     step = 2_000
     for a in range(0, len(starts), step):
         b = min(a + step, len(starts))

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from claimworks.llm import collocations as C
@@ -105,3 +106,29 @@ def test_bit_table_holds_every_key(spark):
         assert table.has(keys.view(np.uint64)).all()
     other = np.random.default_rng(2).integers(-(1 << 63), (1 << 63) - 1, 5_000)
     assert table.has(other.view(np.uint64)).mean() < 0.01
+
+
+class _Every:
+    def has(self, keys):
+        return np.ones(len(keys), bool)
+
+
+@pytest.mark.parametrize("most", [1, 4, C.WORD_ROWS])
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_stripes_of_numbered_words(size, most, monkeypatch):
+    """Numbers of words start anew after a chunk; hashes, buckets and counts are those of the words."""
+    monkeypatch.setattr(C, "WORD_ROWS", most)
+    rows = [("und" if lang is None else lang, text or "") for lang, text in corpus(5)]
+    batches = [pa.RecordBatch.from_pylist([{"lang": a, "text": t} for a, t in rows[i : i + 7]]) for i in range(0, len(rows), 7)]
+    wanted, found = Counter(), Counter()
+    for lang, text in rows:
+        h = [0 if w == C.BREAK else C.word_hash(lang, w, 1) for w in [*C.tokens([text]), *[C.BREAK] * size]]
+        for i in range(len(h) - size):
+            if all(h[i : i + size]):
+                wanted[tuple(h[i : i + size]), h[i + size] if all(h[i + 1 : i + size + 1]) else 0] += 1
+    for row in pa.Table.from_batches(C._striper(size, 1, _Every(), _Every(), 5, 50)(iter(batches))).to_pylist():
+        for j, (following, n) in enumerate(zip(row["next"], row["n"], strict=True)):
+            found[(row["first"], *row["rest"][j * (size - 1) : (j + 1) * (size - 1)]), following] += n
+    assert found == wanted
+    with pytest.raises(StopIteration):
+        next(C._stripes(np.array([1, 0]), np.array([0, 7], np.uint64), 2, _Every(), _Every(), 5))
