@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from claimworks import queries
 from claimworks.operators import fingerprints
 from claimworks.plans import bindings, verify
+from claimworks.schema import CLAIMS
 from claimworks.session import METHOD_LIMIT
+from claimworks.sources.archives import CSV_TEXT
 from claimworks.sources.decode import parse_blocks
 
 
@@ -86,3 +88,22 @@ def test_blanks_of_archives_are_cut_at_both_ends(spark, monkeypatch):
     source, _ = verify.source_and_curated(spark, "r", ["202503"], spec, "raw", "([0-9]{6})", "{month}")
     assert "regexp_replace" not in source._jdf.queryExecution().optimizedPlan().toString()
     assert [tuple(r) for r in source.select("c", "n").collect()] == [("a b", Decimal("7.5")), (None, None)]
+
+
+def test_amounts_bound_alike(spark):
+    found = bindings.alike(list(CLAIMS.numeric))
+    assert found["FLT_PAI_MNT"] == found["PRS_PAI_MNT"] and found["PRS_REM_MNT"] != found["PRS_PAI_MNT"]
+    # a revision damages this one, so nothing else may be written from it
+    assert [c for c, first in found.items() if first == "FLT_REM_MNT"] == ["FLT_REM_MNT"]
+
+
+def test_archives_hold_every_amount_as_spelled(spark, tmp_path):
+    folder, amounts = str(tmp_path), list(CLAIMS.numeric)
+    put_tables(spark, folder, [(o, n, 1000.25 * o + n) for o in (1, 2, 3, 4, 1021) for n in (1, 4)] * 2)
+    for damaged, table in ((False, bindings.claims), (True, bindings.revision)):
+        rows = table(spark, folder, keep=["l_orderkey"])
+        spelled = bindings.as_text(rows, amounts, F.col("l_orderkey") % 4)
+        wanted = spelled.select(*[F.trim(c).alias(c) for c in amounts])  # Spark's writer leaves outer blanks out
+        found = spark.read.options(**CSV_TEXT, sep=";").csv(queries._raw_files(spark, folder, damaged)).select(*amounts)
+        assert found.count() == wanted.count() == 20
+        assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
