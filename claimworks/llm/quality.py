@@ -5,7 +5,8 @@ never gathered: texts lie in groups by content, groups send their pairs and word
 buckets answer with what the whole corpus holds (``rounds.py``). Of each pair one group is the owner;
 owners add up what pairs say of their words, so a word, however common, is one entry per group. Pairs
 and words that no other text holds count as unseen when a text is scored, else a text unlike all others
-would look certain to itself.
+would look certain to itself. Pairs are counted in a job of their own, whose shuffle files go when the
+answers are stored; texts travel compressed, those of a task and a group together.
 
 Unseen words are spelled by a model of three symbols per language. Symbols are the bytes of the text,
 those beyond ASCII folded to 32; only this base is bounded by the alphabet and sent to the tasks, as
@@ -27,6 +28,7 @@ from claimworks.llm import arrays as A
 from claimworks.llm import rounds as R
 from claimworks.llm.substring import by_bucket
 from claimworks.llm.tables import digest, small_batches, stored
+from claimworks.session import settings
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(R)
@@ -40,6 +42,9 @@ QUOTED = 0.25  # share of a text that may be foreign and then goes unscored
 BIN = 0.001  # width of a step of log perplexity in the statistics of a language
 LEAST_TEXTS = 100  # texts of about one length that make a statistic of their own
 RECENT = 1 << 16  # digests by which a task knows its copies
+HELD = 64 << 20  # bytes of text that a task packs at a time
+TEXT_LEVEL = 6  # of zstd, for texts that travel
+FREED = {"spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true"}  # shuffle files go with their job
 SIGNS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 COLUMN = "quality"
 KEYS = ("__k1", "__k2")
@@ -56,14 +61,37 @@ _QUALITY = pa.struct([
 _SCORED = pa.schema([(KEYS[0], pa.int64()), (KEYS[1], pa.int64()), (COLUMN, _QUALITY)])
 
 
-def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """Counts for each text: words, their code points, signs, repeated lines, repeated 3-word windows."""
-    starts, ends, first = A.words(data, offsets, A.SPACE)
+def numbered(codes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(first place of each distinct code, number of each place's code)``, codes ascending below ``2**bits``."""
+    n = len(codes)
+    shift = n.bit_length()
+    if bits + shift <= 64:  # one plain sort of code and place together
+        both = np.sort(codes.astype(U64) << U64(shift) | np.arange(n, dtype=U64))
+        place, code = (both & U64((1 << shift) - 1)).astype(np.int64), both >> U64(shift)
+    else:
+        place = np.argsort(codes, kind="stable")
+        code = codes[place]
+    new = np.ones(n, bool)
+    new[1:] = code[1:] != code[:-1]
+    number = np.empty(n, np.int64)
+    number[place] = np.cumsum(new) - 1
+    return place[new], number
+
+
+def text_counts(data: np.ndarray, offsets: np.ndarray, found=None) -> dict[str, np.ndarray]:
+    """Counts for each text: words, their code points, signs, repeated lines, repeated 3-word windows.
+
+    ``found`` are starts, ends, first and hashes of the words where they are known.
+    """
+    if found is None:
+        found = A.words(data, offsets, A.SPACE)
+        found = (*found, A.word_hashes(data, *found[:2]))
+    starts, ends, first, hashes = found
     per_doc = lambda flags: np.diff(np.concatenate(([0], np.cumsum(flags)))[offsets])
     n, docs = len(starts), len(offsets) - 1
     doc = A.segment_of(first, n)
 
-    words = A.Spans(A.word_hashes(data, starts, ends))
+    words = A.Spans(hashes)
     at = np.flatnonzero(first[1:][doc] - np.arange(n) >= 3)
     window = A.mix(A.mix(words.at(at, 3)) + doc[at].astype(np.uint64))
     _, back, times = np.unique(window, return_inverse=True, return_counts=True)
@@ -95,8 +123,9 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The trigram that ends at each byte; a text begins after two zero symbols."""
-    s = np.where(data < SYMBOLS, data, data & 31).astype(np.int64)
-    one, two = np.concatenate(([0], s[:-1])), np.concatenate(([0, 0], s[:-2]))[: len(s)]
+    s = np.where(data < SYMBOLS, data, data & 31).astype(np.int32)
+    one, two = np.zeros(len(s), np.int32), np.zeros(len(s), np.int32)
+    one[1:], two[2:] = s[:-1], s[:-2]
     begin = offsets[:-1][offsets[1:] > offsets[:-1]]
     one[begin], two[begin] = 0, 0
     next_ = begin[np.isin(begin + 1, begin, invert=True) & (begin + 1 < len(s))] + 1
@@ -106,7 +135,10 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _slices(column):
     """``(low, high, bytes, offsets)`` of consecutive rows with about ``SLICE`` bytes."""
-    data, offsets = A.texts(column)
+    yield from _cut(*A.texts(column))
+
+
+def _cut(data: np.ndarray, offsets: np.ndarray):
     cut = np.unique(np.searchsorted(offsets[:-1], np.arange(0, len(data) + 1, SLICE)))
     for low, high in itertools.pairwise([*cut.tolist(), len(offsets) - 1]):
         at = offsets[low : high + 1]
@@ -265,16 +297,52 @@ def score(docs: DataFrame, models: list[KneserNey], languages: tuple[str, ...],
         F.col("text").cast("string"), F.col("lang").cast("string"), *KEYS,
     )
     # A copy that many rows share leaves a task once, so that its group stays small.
-    rows = rows.mapInArrow(_without_copies, rows.schema)
-    asked = R.ask(rows, lambda t: _ask_totals(_Texts(t, languages), buckets))
-    totals = R.answer(asked, _totals)
-    shares = R.ask_again(rows, totals, lambda t, bodies: _ask_words(_Texts(t, languages), bodies, buckets))
+    rows = rows.mapInArrow(lambda batches: _packed_texts(_without_copies(batches)), f"{R.GROUP} int, {R.BODY} binary")
+    asked = R.ask(rows, lambda t: _ask_totals(_Texts(_texts_of(t), languages), buckets))
+    totals = stored(R.answer(asked, _totals), "pair_totals")
+    shares = R.ask_again(
+        rows, totals, lambda t, bodies: _ask_words(_Texts(_texts_of(t), languages), bodies, buckets)
+    )
     about = R.answer(shares, _sums)
     return R.finish(
-        rows, [totals, about], lambda t, one, two: _Texts(t, languages).scored(one, two, models), SCORED, _SCORED
+        rows, [totals, about], lambda t, one, two: _Texts(_texts_of(t), languages).scored(one, two, models),
+        SCORED, _SCORED,
     )
 
 
+def _packed_texts(batches):
+    """Rows of one group in one body; a task holds about ``HELD`` bytes of text before it sends them."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= HELD:
+            yield from _sent(held)
+            held, size = [], 0
+    if size:
+        yield from _sent(held)
+
+
+def _sent(batches):
+    rows = pa.Table.from_batches(batches)
+    group = rows.column(R.GROUP).to_numpy()
+    order = np.argsort(group, kind="stable")
+    edges = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1))
+    rows = rows.drop_columns([R.GROUP])
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=TEXT_LEVEL))
+    for low, high in itertools.pairwise(edges.tolist()):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+            out.write_table(rows.take(order[low:high]).combine_chunks())
+        body = pa.array([sink.getvalue().to_pybytes()], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([group[order[low]]], pa.int32()), body], [R.GROUP, R.BODY])
+
+
+def _texts_of(table: pa.Table) -> pa.Table:
+    """The rows that were sent to a group."""
+    return pa.concat_tables(pa.ipc.open_stream(body.as_buffer()).read_all() for body in table.column(R.BODY))
+
+
 def _without_copies(batches):
     seen = set()
     for batch in batches:
@@ -301,18 +369,42 @@ def _unpacked(body: bytes, columns: int) -> np.ndarray:
     return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u8").reshape(columns, n).astype(np.int64)
 
 
-def _message(keys: np.ndarray, *columns: np.ndarray) -> bytes:
+def _sparse(values: np.ndarray) -> bytes:
+    """Whole numbers that are mostly zero: which are not, and those."""
+    some = values != 0
+    body = pa.compress(np.packbits(some).tobytes(), codec="zstd", asbytes=True)
+    return b"".join((len(values).to_bytes(8, "little"), len(body).to_bytes(8, "little"), body, _packed(values[some])))
+
+
+def _whole(body: bytes) -> np.ndarray:
+    n, cut = int.from_bytes(body[:8], "little"), 16 + int.from_bytes(body[8:16], "little")
+    bits = pa.decompress(body[16:cut], decompressed_size=-(-n // 8), codec="zstd", asbytes=True)
+    out = np.zeros(n, np.int64)
+    out[np.unpackbits(np.frombuffer(bits, np.uint8), count=n) > 0] = _unpacked(body[cut:], 1)[0]
+    return out
+
+
+def _keyed(keys: np.ndarray) -> bytes:
     packed = A.pack(keys)
-    return len(packed).to_bytes(8, "little") + packed + _packed(*columns)
+    return len(packed).to_bytes(8, "little") + packed
+
+
+def _cut_keys(body: bytes) -> tuple[np.ndarray, bytes]:
+    cut = 8 + int.from_bytes(body[:8], "little")
+    return A.unpack(body[8:cut]), body[cut:]
+
+
+def _message(keys: np.ndarray, *columns: np.ndarray) -> bytes:
+    return _keyed(keys) + _packed(*columns)
 
 
 def _opened(bodies: list[bytes], columns: int):
     """``(keys, columns, sizes)`` of several messages in a row."""
     keys, rest = [], []
     for body in bodies:
-        cut = 8 + int.from_bytes(body[:8], "little")
-        keys.append(A.unpack(body[8:cut]))
-        rest.append(_unpacked(body[cut:], columns))
+        key, values = _cut_keys(body)
+        keys.append(key)
+        rest.append(_unpacked(values, columns))
     return np.concatenate(keys), np.concatenate(rest, axis=1), [len(k) for k in keys]
 
 
@@ -322,37 +414,72 @@ def _answers(bodies: list[bytes], columns: int) -> np.ndarray:
 
 
 def _ask_totals(texts: _Texts, buckets: int):
-    for bucket, part in by_bucket(texts.grams, 48, buckets):
-        yield bucket, _message(texts.grams[part], texts.times[part])
+    for bucket, part in by_bucket(texts.pairs, 48, buckets):
+        yield bucket, _keyed(texts.pairs[part]) + _sparse(texts.times[part] - 1)
 
 
 def _totals(groups, bodies):
-    """For each pair or word sent: its number in the corpus, and is this group the first to send it?"""
-    keys, (times,), sizes = _opened(bodies, 1)
-    _, first, back = np.unique(keys, return_index=True, return_inverse=True)
+    """For each pair sent: 0 where no other group has it, else how often others do, and is this group the first?"""
+    found = [_cut_keys(body) for body in bodies]
+    keys, sizes = np.concatenate([k for k, _ in found]), [len(k) for k, _ in found]
+    times = np.concatenate([_whole(rest) for _, rest in found]) + 1
+    order, first = _sorted_by_sender(keys, sizes)
     owned = np.zeros(len(keys), np.int64)
-    owned[first] = 1
-    total = np.bincount(back, times).astype(np.int64)[back]
-    return [_packed(x) for x in np.split(total << 1 | owned, np.cumsum(sizes)[:-1])]
+    owned[order[first]] = 1
+    total = np.empty(len(keys), np.int64)
+    total[order] = np.repeat(np.add.reduceat(times[order], first), np.diff(first, append=len(keys)))
+    told = np.where(total > times, total - times << 1 | owned, 0)
+    return [_sparse(x) for x in np.split(told, np.cumsum(sizes)[:-1])]
+
+
+def _sorted_by_sender(keys: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """``(order, first)``: keys of 48 bits ascending, equal ones by message; where each run of them begins."""
+    if len(sizes) <= 1 << 16:
+        sender = np.repeat(np.arange(len(sizes), dtype=U64), sizes)
+        order = np.argsort(keys << U64(16) | sender)  # all different, so any sort gives the same
+    else:
+        order = np.argsort(keys, kind="stable")
+    return order, np.flatnonzero(np.diff(keys[order], prepend=U64(1 << 63)))
 
 
 def _ask_words(texts: _Texts, bodies, buckets: int):
-    shares = texts.shares(_answers(bodies, 1)[0])
-    for bucket, part in by_bucket(texts.names, 48, buckets):
-        yield bucket, _message(texts.names[part], *shares[:, part])
+    """Every bucket is asked, since each tells how many words of a language it holds."""
+    shares = texts.shares(*texts.totals(bodies))
+    parts = dict(by_bucket(texts.names, 48, buckets))
+    for bucket in range(buckets):
+        part = parts.get(bucket, slice(0, 0))
+        yield bucket, _message(texts.names[part], *shares[:, part], texts.kind[part])
 
 
 def _sums(groups, bodies):
-    """For each word sent, the sums over all groups."""
-    keys, shares, sizes = _opened(bodies, FIELDS)
-    _, back = np.unique(keys, return_inverse=True)
-    sums = [np.bincount(back, s).astype(np.int64)[back] for s in shares]
+    """For each word sent, the sums over all groups; and the number of different words by language."""
+    keys, (*shares, kind), sizes = _opened(bodies, FIELDS + 1)
+    order, first = _sorted_by_sender(keys, sizes)
+    sums, times = [], np.diff(first, append=len(keys))
+    for s in shares:
+        sums.append(np.empty(len(keys), np.int64))
+        sums[-1][order] = np.repeat(np.add.reduceat(s[order], first) if len(keys) else s, times)
+    words = _packed(np.bincount(kind[order[first]], minlength=1))
     edges = np.cumsum(sizes)[:-1]
-    return [_packed(*parts) for parts in zip(*(np.split(s, edges) for s in sums), strict=True)]
+    return [
+        len(words).to_bytes(8, "little") + words + _packed(*parts)
+        for parts in zip(*(np.split(s, edges) for s in sums), strict=True)
+    ]
+
 
+def _told(bodies: list[bytes], languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(sums of each name, different words of each language)`` from the answers of all buckets."""
+    words, rest = np.zeros(languages + 1, np.int64), []
+    for body in bodies:
+        cut = 8 + int.from_bytes(body[:8], "little")
+        (of_bucket,) = _unpacked(body[8:cut], 1)
+        words[: len(of_bucket)] += of_bucket
+        rest.append(body[cut:])
+    return _answers(rest, FIELDS), words[1:]
 
-FIELDS = 6  # of a word: tokens before another, pairs it begins seen once, twice, more often, words before it
-# Of a language: pairs, those seen once, twice, three and four times, words.
+
+FIELDS = 6  # of a word: tokens before another, pairs it begins seen once, twice, more often, words before it, tokens
+# Of a language: pairs, those seen once, twice, three and four times.
 
 
 def _inside(keys: np.ndarray) -> np.ndarray:
@@ -370,101 +497,158 @@ class _Texts:
         self.table, self.languages = table.take(order[new]), languages
         self.data, self.offsets = A.texts(self.table.column("text"))
         self.number = _language_numbers(self.table.column("lang"), languages)
-        self.starts, self.ends, self.first = A.words(self.data, self.offsets, A.SPACE)
+        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, U64)]
+        parts = [[part] for part in found]
+        for low, _, data, offsets in _cut(self.data, self.offsets):  # of the size that caches hold
+            starts, ends, first = A.words(data, offsets, A.SPACE)
+            at, before = self.offsets[low], parts[2][-1][-1]
+            for part, more in zip(parts, (starts + at, ends + at, first[1:] + before, A.word_hashes(data, starts, ends)), strict=True):
+                part.append(more)
+        small = np.int32 if len(self.data) < 1 << 30 else np.int64  # of the columns with a place for each word
+        self.starts, self.ends = (np.concatenate(part).astype(small) for part in parts[:2])
+        self.first, self.hashes = (np.concatenate(part) for part in parts[2:])
+        del parts
         n = len(self.starts)
-        self.doc = A.segment_of(self.first, n)
-        salt = A.mix(self.number.astype(U64) + U64(1))
-        word = A.mix(A.word_hashes(self.data, self.starts, self.ends) + salt[self.doc])
-        before = np.concatenate((np.zeros(1, U64), word[:-1]))[:n]
-        begins = self.first[:-1][np.diff(self.first) > 0]
-        before[begins] = salt[self.doc[begins]]  # stands for the beginning of a text
-        pair = _inside(before * U64(A.BASE) + word)
-        every = np.concatenate((pair, _inside(word + U64(3))))
-        self.grams, self.lead, back, self.times = np.unique(
-            every, return_index=True, return_inverse=True, return_counts=True
-        )
-        self.pair, self.word = back[:n], back[n:]
+        self.doc = A.segment_of(self.first, n).astype(small)
+        salt = A.mix(np.arange(1, len(languages) + 2, dtype=U64))
+        word = A.mix(self.hashes + salt[self.number][self.doc])
+        self.begins = self.first[:-1][np.diff(self.first) > 0]
+        spoken = self.number[self.doc[self.begins]]
+
+        # Names are words, the beginnings of texts, and one for all of a language.
         present = np.unique(self.number)
-        parts = np.concatenate((_inside(word), _inside(before)))
-        total = _inside(A.mix(present.astype(U64) + U64(1)) + U64(5))
-        self.names, back = np.unique(np.concatenate((parts, total)), return_inverse=True)
-        self.name, self.context = back[:n], back[n : 2 * n]
-        self.whole = np.zeros(len(languages) + 1, np.int64)
-        self.whole[present] = back[2 * n :]
-
-    def shares(self, totals: np.ndarray) -> np.ndarray:
-        """What the pairs and words that this group owns say of each name."""
-        n, total, owned = len(self.starts), totals >> 1, (totals & 1) > 0
-        out = np.zeros((FIELDS, len(self.names)), np.int64)
-        at = self.lead[owned & (self.lead < n)]  # an owned pair's place
-        many = total[self.pair[at]]
-        context, name, whole = self.context[at], self.name[at], self.whole[self.number[self.doc[at]]]
-        np.add.at(out[0], context, many)
-        for k in (1, 2, 3):
-            np.add.at(out[k], context, (many == k) if k < 3 else (many >= 3))
-        np.add.at(out[4], name, 1)
-        np.add.at(out[0], whole, 1)
+        extra = np.concatenate((_inside(salt[present]), _inside(A.mix(present.astype(U64) + U64(1)) + U64(5))))
+        self.names, back = np.unique(np.concatenate((_inside(word), extra)), return_inverse=True)
+        self.name, opening = back[:n].astype(small), np.zeros(len(salt), np.int64)
+        opening[present] = back[n : n + len(present)]
+        self.whole = np.zeros(len(salt), np.int64)
+        self.whole[present] = back[n + len(present) :]
+        del back
+        self.context = np.concatenate((np.zeros(1, small), self.name[:-1]))[:n]
+        self.context[self.begins] = opening[spoken]  # stands for the beginning of a text
+        self.language = np.zeros(len(self.names), np.int64)  # of each name
+        self.language[opening[present]] = present
+        self.language[self.whole[present]] = present
+        self.language[self.name] = self.number[self.doc]
+        self.kind = np.zeros(len(self.names), np.int64)  # 0, or of a word the number of its language from 1
+        self.kind[self.name] = self.language[self.name] + 1
+
+        bits = len(self.names).bit_length()
+        lead, back = numbered(self.context.astype(np.int64) << bits | self.name, 2 * bits)
+        before = word[lead - 1]
+        opens = np.zeros(n, bool)
+        opens[self.begins] = True
+        opens = opens[lead]
+        before[opens] = salt[self.number[self.doc[lead[opens]]]]
+        self.pairs, again = np.unique(_inside(before * U64(A.BASE) + word[lead]), return_inverse=True)
+        self.pair = again.astype(small)[back]
+        self.lead = np.empty(len(self.pairs), np.int64)
+        self.lead[again[::-1]] = lead[::-1]
+        self.times = np.bincount(self.pair, minlength=len(self.pairs))
+
+    def totals(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``(number of each pair in the corpus, is this group its owner)``."""
+        told = np.concatenate([np.zeros(0, np.int64), *map(_whole, bodies)])
+        if len(told) != len(self.pairs):
+            raise ValueError("the documents changed while their pairs of words were counted")
+        return self.times + (told >> 1), (told == 0) | (told & 1 > 0)
+
+    def shares(self, total: np.ndarray, owned: np.ndarray) -> np.ndarray:
+        """What the pairs that this group owns, and its words, say of each name."""
+        size = len(self.names)
+        at, many = self.lead[owned], total[owned]  # an owned pair's place
+        context = self.context[at]
+        whole = self.whole[self.language[self.name[at]]]
+        out = np.empty((FIELDS, size), np.int64)
+        out[0] = np.bincount(context, many, size)
+        out[1], out[2] = (np.bincount(context[many == k], minlength=size) for k in (1, 2))
+        out[3] = np.bincount(context[many >= 3], minlength=size)
+        out[4] = np.bincount(self.name[at], minlength=size)
+        out[5] = np.bincount(self.name, minlength=size)
+        out[0] += np.bincount(whole, minlength=size)
         for k in (1, 2, 3, 4):
-            np.add.at(out[k], whole, many == k)
-        own = self.lead[owned & (self.lead >= n)] - n
-        np.add.at(out[5], self.whole[self.number[self.doc[own]]], 1)
+            out[k] += np.bincount(whole[many == k], minlength=size)
         return out
 
-    def _own(self, gram: np.ndarray) -> np.ndarray:
-        """How often each place's gram stands in the place's text."""
-        _, back, times = np.unique(self.doc * len(self.grams) + gram, return_inverse=True, return_counts=True)
-        return times[back]
+    def _own(self, codes: np.ndarray, size: int) -> np.ndarray:
+        """How often each place's code stands in the place's text."""
+        bits = size.bit_length()
+        _, back = numbered(self.doc.astype(np.int64) << bits | codes, bits + len(self.offsets).bit_length())
+        return np.bincount(back)[back]
 
-    def word_logs(self, totals: np.ndarray, sums: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+    def word_logs(self, total: np.ndarray, sums: np.ndarray, words: np.ndarray, spelled: np.ndarray) -> np.ndarray:
         """Log probability of each word after the one before it."""
-        total = totals >> 1
-        many, known = total[self.pair], total[self.word] > self._own(self.word)
-        seen = many > self._own(self.pair)
-        whole = sums[:, self.whole[self.number]][:, self.doc]
-        cuts = np.stack([_discount(*sums[1:5, w]) for w in self.whole], axis=1)
-        cut = cuts[:, self.number[self.doc]]
-        with np.errstate(divide="ignore"):
-            scale = np.log(whole[0] + whole[5])
-            base = np.logaddexp(
-                np.log(np.where(known, sums[4, self.name], 0)) - scale, np.log(whole[5]) - scale + spelled
+        name, n = self.name, len(self.starts)
+        known = sums[5, name] > self._own(name, len(self.names))
+        seen = total[self.pair] > self._own(self.pair, len(self.pairs))
+        whole = sums[:, self.whole]
+        cuts = np.stack([_discount(*whole[1:5, i]) for i in range(len(self.whole))], axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            scale = np.log(whole[0] + words)
+            unseen = np.log(words) - scale
+            cut = cuts[:, self.language]
+            held = np.maximum(sums[0], 1)
+            rest = np.log((cut[1] * sums[1] + cut[2] * sums[2] + cut[3] * sums[3]) / held)
+            lower = np.log(sums[4]) - scale[self.language]
+            at = self.lead
+            kept = np.log(
+                (total - cuts[np.minimum(total, 3), self.language[name[at]]]) / held[self.context[at]]
             )
-            c = sums[:, self.context]
-            rest = (cut[1] * c[1] + cut[2] * c[2] + cut[3] * c[3]) / np.maximum(c[0], 1)
-            kept = (many - cut[np.minimum(many, 3), np.arange(len(many))]) / np.maximum(c[0], 1)
-            mixed = np.logaddexp(np.log(np.where(seen, kept, 0)), np.log(rest) + base)
-        begins = np.zeros(len(many), bool)
-        begins[self.first[:-1][np.diff(self.first) > 0]] = True
-        told = begins | np.concatenate(([False], known[:-1]))[: len(known)]  # the word before is known elsewhere
-        return np.where(told, mixed, base)
-
-    def _letters(self, models: list[KneserNey]):
-        """Log probability of each byte by its text's own language, and whether it is of a quotation.
-
-        A block is foreign when another named language spells it better by ``FOREIGN`` nats a byte.
-        Foreign blocks, with the block on either side, are a quotation while they are no more than
-        ``QUOTED`` of the text.
+            told = np.concatenate(([False], known[:-1]))[:n]  # the word before is known elsewhere
+            told[self.begins] = True
+            out = np.empty(n)
+            for low in range(0, n, 1 << 17):  # as much as caches hold
+                part = slice(low, low + (1 << 17))
+                word, pair, context = name[part], self.pair[part], self.context[part]
+                base = unseen[self.language[word]] + spelled[part]
+                some = np.flatnonzero(known[part])
+                base[some] = np.logaddexp(lower[word[some]], base[some])
+                base = np.where(told[part], rest[context] + base, base)
+                some = np.flatnonzero(told[part] & seen[part])
+                base[some] = np.logaddexp(kept[pair[some]], base[some])
+                out[part] = base
+        return out
+
+    def spelling(self, models: list[KneserNey]):
+        """Log probability of each word's bytes, whether the word is judged, and of each text nats a byte.
+
+        The letters are those of the text's own language. A block is foreign when another named language
+        spells it better by ``FOREIGN`` nats a byte. Foreign blocks, with the block on either side, are a
+        quotation while they are no more than ``QUOTED`` of the text; its words are not judged.
         """
-        codes, size = grams(self.data, self.offsets), np.diff(self.offsets)
-        if not len(codes):
-            return np.zeros(0, np.float32), np.zeros(0, bool)
-        number = np.repeat(self.number, size)
-        begin = np.flatnonzero((np.arange(len(codes)) - np.repeat(self.offsets[:-1], size)) % BLOCK == 0)
-        length = np.diff(np.append(begin, len(codes)))
-        present = np.zeros(1 << 21, bool)
-        present[codes] = True
-        known = np.flatnonzero(present)
-        table, letters = np.zeros(1 << 21, np.float32), np.zeros(len(codes), np.float32)
+        parts = [(low, high, offsets, grams(data, offsets)) for low, high, data, offsets in _cut(self.data, self.offsets)]
+        place = np.zeros(1 << 21, np.int32)
+        for *_, codes in parts:
+            place[codes] = 1
+        known = np.flatnonzero(place)
+        place[known] = np.arange(len(known))
+        present = set(self.number.tolist())
+        used = [i for i, m in enumerate(models) if i in present or (i < len(self.languages) and len(m.keys))]
+        tables = {i: models[i].log_probability(known) for i in used}
+        found = [self._spelled(low, high, offsets, place[codes], tables) for low, high, offsets, codes in parts]
+        return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+    def _spelled(self, low: int, high: int, offsets: np.ndarray, at: np.ndarray, tables: dict):
+        """As ``spelling``, for the texts ``low:high`` with the place of each byte's trigram in the tables."""
+        number, size, n = self.number[low:high], np.diff(offsets), offsets[-1]
+        words = slice(self.first[low], self.first[high])
+        if not n:
+            return np.zeros(0), np.zeros(0, bool), np.zeros(high - low)
+        blocks = -(-size // BLOCK)
+        doc = np.repeat(np.arange(high - low), blocks)
+        begin = (np.arange(len(doc)) - (np.cumsum(blocks) - blocks)[doc]) * BLOCK + offsets[:-1][doc]
+        length = np.diff(np.append(begin, n))
+        letters = np.zeros(n, np.float32)
         own, other = np.zeros(len(begin)), np.full(len(begin), -np.inf)
-        for i, model in enumerate(models):
-            table[known] = model.log_probability(known)
-            values, mine = table[codes], number[begin] == i
+        for i, table in tables.items():
+            values, mine = table[at], number[doc] == i
             sums = np.add.reduceat(values, begin, dtype=np.float64)
             own[mine] = sums[mine]
-            np.copyto(letters, values, where=number == i)
-            if i < len(self.languages) and len(model.keys):
+            if mine.any():
+                np.copyto(letters, values, where=np.repeat(number == i, size))
+            if i < len(self.languages):
                 other[~mine] = np.maximum(other, sums)[~mine]
-        foreign = (number[begin] < len(self.languages)) & (other - own > FOREIGN * length)
-        doc = np.searchsorted(self.offsets, begin, "right") - 1
+        foreign = (number[doc] < len(self.languages)) & (other - own > FOREIGN * length)
         same = doc[1:] == doc[:-1]
         edge = np.zeros(len(begin), bool)  # beside a foreign block, so it may hold a passage's ends
         edge[1:] |= foreign[:-1] & same
@@ -472,20 +656,29 @@ class _Texts:
         foreign |= edge
         share = np.bincount(doc, foreign * length, len(size)) / np.maximum(size, 1)
         foreign &= share[doc] <= QUOTED
-        return letters, np.repeat(foreign, length)
+        quoted = np.repeat(foreign, length)
+        run = np.concatenate(([0], np.cumsum(letters, dtype=np.float64)))
+        base = self.offsets[low]
+        starts = self.starts[words] - base
+        ends = np.minimum(self.ends[words] + 1 - base, offsets[1:][self.doc[words] - low])  # with the blank behind it
+        letters[quoted] = 0
+        scored = np.bincount(doc, length * ~foreign, high - low)
+        sums = np.bincount(doc, np.add.reduceat(letters, begin, dtype=np.float64), high - low)
+        return run[ends] - run[starts], ~quoted[starts], -sums / np.maximum(scored, 1)
 
     def scored(self, totals, sums, models: list[KneserNey]) -> pa.Table:
-        counts = text_counts(self.data, self.offsets)
+        parts = []
+        for low, high, data, offsets in _cut(self.data, self.offsets):
+            words, at = slice(self.first[low], self.first[high]), self.offsets[low]
+            found = (
+                self.starts[words] - at, self.ends[words] - at, self.first[low : high + 1] - self.first[low], self.hashes[words],
+            )
+            parts.append(text_counts(data, offsets, found))
+        counts = {c: np.concatenate([part[c] for part in parts]) for c in _COUNTS}
         size, words = np.diff(self.offsets), np.diff(self.first)
-        letters, foreign = self._letters(models)
-        run = np.concatenate(([0], np.cumsum(letters, dtype=np.float64)))
-        ends = np.minimum(self.ends + 1, self.offsets[1:][self.doc])  # a word ends with the blank behind it
-        spelled = run[ends] - run[self.starts]
-        word = self.word_logs(_answers(totals, 1)[0], _answers(sums, FIELDS), spelled)
-        judged = ~foreign[self.starts]
+        spelled, judged, letter = self.spelling(models)
+        word = self.word_logs(self.totals(totals)[0], *_told(sums, len(self.languages) + 1), spelled)
         level = -np.bincount(self.doc, word * judged, len(size)) / np.maximum(np.bincount(self.doc, judged, len(size)), 1)
-        per_doc = lambda values: np.diff(np.concatenate(([0], np.cumsum(values, dtype=np.float64)))[self.offsets])
-        letter = -per_doc(letters * ~foreign) / np.maximum(per_doc(~foreign), 1)
         names = [*self.languages, None]
         fields = [pa.array(counts[c]) for c in _COUNTS]
         fields += [pa.array([names[i] for i in self.number], pa.string()), pa.array(level, mask=words == 0)]
@@ -545,7 +738,7 @@ def _within(field: str, edges: dict):
 
 def judge(
     docs: DataFrame, languages: tuple[str, ...] = ("de", "en", "es", "fr"), spread: float = 4.0,
-    group_bytes: int = 8 << 20, bucket_bytes: int = 32 << 20,
+    group_bytes: int = 14 << 20, bucket_bytes: int = 32 << 20,
 ) -> DataFrame:
     """``docs`` (text, lang, any others) with ``quality``, ``base_failed`` and ``kept``.
 
@@ -558,9 +751,10 @@ def judge(
     Columns called ``quality``, ``base_failed`` or ``kept`` are replaced. Empty table, no rows.
     """
     rows = docs.drop("base_failed", "kept", COLUMN)
-    models = fit(rows, languages)
     keyed = rows.select("*", *digest("text", "lang"))
-    scored = stored(score(keyed, models, languages, group_bytes, bucket_bytes), "scored")
+    with settings(docs.sparkSession, **FREED):
+        models = fit(rows, languages)
+        scored = stored(score(keyed, models, languages, group_bytes, bucket_bytes), "scored")
     words, letters = {}, {}
     for key, (_, middle, high) in bands(scored, "log_perplexity").items():
         words[key] = (0.0, middle + spread * (high - middle + BIN) / QUARTILE)
