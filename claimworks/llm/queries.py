@@ -101,7 +101,7 @@ def op7_license_scan(spark, folder):
 def op8_quality_rules(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return quality.judge(docs).select(
+    return quality.judge(docs, group_bytes=14 << 20).select(  # larger groups send fewer pairs to disk
         "doc_id", *[f"quality.{c}" for c in counts], "base_failed", "kept", "quality.log_perplexity"
     )
 
