@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimworks import queries
 from claimworks.operators import fingerprints
 from claimworks.plans import bindings, verify
+from claimworks.plans.analyses import ANALYSES
 from claimworks.schema import CLAIMS
 from claimworks.session import METHOD_LIMIT
 from claimworks.sources.archives import CSV_TEXT
@@ -107,3 +108,20 @@ def test_archives_hold_every_amount_as_spelled(spark, tmp_path):
         found = spark.read.options(**CSV_TEXT, sep=";").csv(queries._raw_files(spark, folder, damaged)).select(*amounts)
         assert found.count() == wanted.count() == 20
         assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
+
+
+def test_analyses_of_all_months_are_added_up(spark, tmp_path):
+    folder = str(tmp_path)
+    put_tables(spark, folder, [(o, n, 10 * o + n) for o in (1, 2, 3, 4) for n in (1, 2)])
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").localCheckpoint()
+    month = F.make_date(F.col("l_orderkey").cast("int") + 1992, F.col("l_linenumber"), F.lit(5))
+    lines.withColumn("l_shipdate", month).write.mode("overwrite").parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(3, "THREE"), (4, "FOUR")], "n_nationkey int, n_name string").write.parquet(
+        f"{folder}/nation.parquet"
+    )
+    spark.catalog.clearCache()
+    found = queries.QUERIES["analyses_incremental"](spark, folder).collect()
+    months = {f"{year}{n:02d}" for year in range(2018, 2022) for n in (1, 2)}
+    assert {(r["query"], r["mois_traitement"]) for r in found} == {(a, m) for a in ANALYSES for m in months}
+    assert {r["libelle_prestation"] for r in found if r["query"] == "07_prestations_labels"} == {"FOUR"}
+    assert {r["lignes_agregees"] for r in found if r["query"] == "01_monthly"} == {1}
