@@ -9,7 +9,7 @@ from claimworks.functions import total, utc_now
 from claimworks.operators.fingerprints import group_equality
 from claimworks.operators.reconcile import counts_and_sums, raw_amount, reconcile, reconcile_tolerance
 from claimworks.schema import CLAIMS, TableSpec
-from claimworks.session import small_methods
+from claimworks.session import freed_shuffles, small_methods
 from claimworks.sources.archives import CSV_TEXT, MONTH_IN_PATH, read_archives
 from claimworks.sources.curated import PARTITION, read_curated
 from claimworks.sources.metadata import read_manifests
@@ -83,7 +83,7 @@ def verify_rows(
         raise ValueError(f"no published month under {root}")
     left, right = source_and_curated(spark, root, months, spec, raw or f"{root}/data/raw", month_in_path, archive_glob)
     stored = f"{root}/data/staging/rows_verified"
-    with small_methods(spark):
+    with small_methods(spark), freed_shuffles(spark):
         group_equality(left, right, PARTITION).write.mode("overwrite").parquet(stored)
     result = spark.read.parquet(stored)
     different = sorted(r[0] for r in result.where(~F.col("equal")).select(PARTITION).collect())

@@ -1,18 +1,21 @@
 """Publication and row comparison at size: what travels, what runs compiled, what is read anew."""
 
 import datetime
+import uuid
 from decimal import Decimal
 
+import pytest
+from conftest import claim, put_archive, put_text
 from pyspark.sql import functions as F
 
 from claimworks import queries
 from claimworks.operators import fingerprints
-from claimworks.plans import bindings, verify
+from claimworks.plans import bindings, publish, verify
 from claimworks.plans.analyses import ANALYSES
 from claimworks.schema import CLAIMS
 from claimworks.session import METHOD_LIMIT
 from claimworks.sources.archives import CSV_TEXT
-from claimworks.sources.decode import parse_blocks
+from claimworks.sources.decode import decode_archives, parse_blocks
 
 
 def put_tables(spark, folder, lines):
@@ -125,3 +128,58 @@ def test_analyses_of_all_months_are_added_up(spark, tmp_path):
     assert {(r["query"], r["mois_traitement"]) for r in found} == {(a, m) for a in ANALYSES for m in months}
     assert {r["libelle_prestation"] for r in found if r["query"] == "07_prestations_labels"} == {"FOUR"}
     assert {r["lignes_agregees"] for r in found if r["query"] == "01_monthly"} == {1}
+
+
+def folders(root):
+    return sorted(p.name.rsplit("-", 1)[0] for p in root.iterdir())
+
+
+def test_stored_lines_are_the_claims_and_the_last_join_stays(spark, tmp_path, monkeypatch):
+    folder, shared = str(tmp_path / "tables"), tmp_path / "shared"
+    put_tables(spark, folder, [(o, n, o + n) for o in range(9) for n in (1, 2)])
+    more = [(1, 4), (1, 5), (None, 6)]  # customer 1 comes twice more, and keys may be null
+    spark.createDataFrame(more, "c_custkey long, c_nationkey int").write.mode("append").parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([(None, 1, None), (3, None, None)], "o_orderkey long, o_custkey long, o_orderdate date").write.mode(
+        "append"
+    ).parquet(f"{folder}/orders.parquet")
+    for module in (bindings, queries, fingerprints):
+        monkeypatch.setattr(module, "scratch_dir", lambda _, label: f"{shared}/{label}-{uuid.uuid4().hex}")
+    lines, stored = bindings.stored_lines(spark, folder)
+    plain = bindings.claims(spark, folder, keep=["l_orderkey"])
+    assert sorted(map(str, bindings.claims_of(lines, ["l_orderkey"]).collect())) == sorted(map(str, plain.collect()))
+    assert plain.count() == 9 * 2 * 3 + 2
+    assert folders(shared) == ["lines"] and stored.startswith(str(shared))
+    queries._raw_files(spark, folder)
+    assert folders(shared) == ["lines", "raw"]
+
+
+def test_archives_are_inflated_by_tasks_of_their_own(spark, tmp_path):
+    names = [f"file:{put_text(tmp_path, ['a;b', f'{i};2'], name=f'A20250{i}.csv.gz')}" for i in range(1, 6)]
+    listed = spark.createDataFrame([(n, "202503") for n in names], "path string, month string").coalesce(1)
+    decoded = decode_archives(listed, str(tmp_path / "decoded"))
+    assert len(decoded.inputFiles()) == 5
+    assert sorted(r["text"] for r in decoded.where("text IS NOT NULL").collect()) == [f"{i};2\n" for i in range(1, 6)]
+
+
+def test_months_are_published_in_waves_and_their_text_goes(spark, tmp_path, monkeypatch):
+    months, waves = ["202503", "202504", "202505", "202506"], []
+    for month in months:
+        # The third month holds a row of another month, so it is blocked and the others are not.
+        put_archive(tmp_path, [claim(FLX_ANN_MOI="202412" if month == "202505" else month)] * 2, month)
+    plain = publish.decode_archives
+
+    def seen(archives, path):
+        waves.append(sorted(r["month"] for r in archives.collect()))
+        return plain(archives, path)
+
+    monkeypatch.setattr(publish, "decode_archives", seen)
+    size = max(p.stat().st_size for p in tmp_path.glob("data/raw/*.csv.gz"))
+    monkeypatch.setattr(publish, "WAVE_BYTES", 2 * size)
+    with pytest.raises(publish.PublishBlocked, match="^202505: "):
+        publish.publish_months(spark, str(tmp_path), months)
+    assert waves == [months[:2], months[2:]]
+    found = publish.read_manifests(spark, str(tmp_path)).select("month", "rows").collect()
+    assert sorted(map(tuple, found)) == [(m, 2) for m in months if m != "202505"]
+    assert not (tmp_path / "data/staging/decoded").exists()
+    monkeypatch.setattr(publish, "WAVE_BYTES", 9)
+    assert publish._waves({"b": 9, "a": 1, "c": 8, "d": 1, "e": 20}) == [["a"], ["b"], ["c", "d"], ["e"]]
