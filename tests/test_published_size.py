@@ -151,6 +151,8 @@ def test_stored_lines_are_the_claims_and_the_last_join_stays(spark, tmp_path, mo
     assert folders(shared) == ["lines"] and stored.startswith(str(shared))
     queries._raw_files(spark, folder)
     assert folders(shared) == ["lines", "raw"]
+    queries.QUERIES["row_fingerprints"](spark, folder).count()
+    assert folders(shared) == ["differences", "lines", "raw"]
 
 
 def test_archives_are_inflated_by_tasks_of_their_own(spark, tmp_path):
@@ -183,3 +185,34 @@ def test_months_are_published_in_waves_and_their_text_goes(spark, tmp_path, monk
     assert not (tmp_path / "data/staging/decoded").exists()
     monkeypatch.setattr(publish, "WAVE_BYTES", 9)
     assert publish._waves({"b": 9, "a": 1, "c": 8, "d": 1, "e": 20}) == [["a"], ["b"], ["c", "d"], ["e"]]
+
+
+@pytest.mark.parametrize("sent", [0, 10])
+def test_few_rows_are_compared_where_all_buckets_differ(spark, tmp_path, monkeypatch, sent):
+    monkeypatch.setattr(fingerprints, "SENT_HASHES", sent)
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 7 > 0, "g").alias("g"), F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("n"),
+        F.when(F.col("id") % 2 > 0, F.col("id").cast("decimal(24,6)")).alias("d"),
+    )
+    rows = rows.unionByName(rows.where("n > 40"))
+    changed = rows.withColumn("g", F.when(F.col("n") == 44, F.lit("other")).otherwise(F.col("g")))
+    changed = changed.where("n IS NULL OR n <> 45 OR d IS NOT NULL")
+    wanted = {}
+    for side, df in enumerate((rows, changed)):
+        for r in map(tuple, df.collect()):
+            wanted.setdefault(r, [0, 0])[side] += 1
+    texts = [df.withColumn("f", F.lit(1.5)) for df in (rows, changed)]  # a floating number: hashed as texts
+    for left, right, more in ((rows, changed, ()), (*texts, (1.5,))):
+        found = fingerprints.row_differences_by_bucket(left, right, "g", 2)
+        assert {tuple(r)[:-2]: list(tuple(r)[-2:]) for r in found.collect()} == {
+            (*r, *more): n for r, n in wanted.items() if n[0] != n[1]
+        }
+
+
+def test_hashes_of_rows_tell_nulls_apart(spark):
+    rows = [(None, "a"), ("a", None), ("a", "a"), (None, None), ("", None), (None, "")]
+    left = spark.createDataFrame([("g", *r) for r in rows], "g string, a string, b string")
+    assert fingerprints.hashable(left, left)
+    marked = fingerprints._marked(left, "g", 4, plain=True).select("_h1", "_h2").collect()
+    assert len({r["_h1"] for r in marked}) == len({r["_h2"] for r in marked}) == len(rows)
+    assert not fingerprints.hashable(left, left.withColumn("b", F.lit(1)))
