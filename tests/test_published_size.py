@@ -9,7 +9,7 @@ from conftest import claim, put_archive, put_text
 from pyspark.sql import functions as F
 
 from claimworks import queries
-from claimworks.operators import fingerprints
+from claimworks.operators import fingerprints, quality
 from claimworks.plans import bindings, publish, verify
 from claimworks.plans.analyses import ANALYSES
 from claimworks.schema import CLAIMS
@@ -216,3 +216,18 @@ def test_hashes_of_rows_tell_nulls_apart(spark):
     marked = fingerprints._marked(left, "g", 4, plain=True).select("_h1", "_h2").collect()
     assert len({r["_h1"] for r in marked}) == len({r["_h2"] for r in marked}) == len(rows)
     assert not fingerprints.hashable(left, left.withColumn("b", F.lit(1)))
+
+
+def test_texts_of_rows_are_told_apart(spark):
+    rows = [
+        (a, n, b, f)
+        for a in (None, "", "-", "1:-", "é;", ";-") for n in (None, -1, 1, 11) for b in (None, "", "-;", "1;", "2:é")
+        for f in (None, 0.0, -0.0, float("nan"))
+    ]
+    frame = spark.createDataFrame(rows, "a string, n long, b string, f double").withColumn(
+        "d", F.col("n").cast("decimal(24,6)")
+    )
+    found = frame.select(quality.row_text(frame).alias("t"), quality.row_digest(frame).alias("h")).collect()
+    assert len({r["t"] for r in found}) == len({bytes(r["h"]) for r in found}) == 6 * 4 * 5 * 3  # both zeros are one
+    plan = frame.select(quality.row_text(frame))._jdf.queryExecution().analyzed().toString()
+    assert "length(cast(a" in plan and "length(cast(n" not in plan and "length(cast(d" not in plan
